@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from axonweave.llm._tables import read_table
+from axonweave.llm.jaccard import jaccard_components
 from axonweave.llm.packing import pack_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,5 +17,29 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sum_of_squares_packing,)}
-ORACLE_SQL: dict[str, str] = {}
+def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sum_of_squares_packing, op5_jaccard_components)}
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_jaccard_components": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+                ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) END AS s FROM words),
+        long AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM shingles),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM long a JOIN long b ON a.x = b.x AND a.doc_id <> b.doc_id
+            WHERE a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM shingles JOIN least USING (doc_id)""",
+}
