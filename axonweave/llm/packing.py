@@ -24,36 +24,69 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 #: White space to Python's str.split but not to the tokenizer.
 _ODD = re.compile("[\x1c-\x1f]")
-_CACHE_WORDS = 400_000
+_PUNCTUATION = "!-/:-@\\[-`{-~"
+#: Latin letters between punctuation: the tokenizer splits just there ("'s" and "<|" start other splits).
+_PLAIN = re.compile(f"([!-&(-/:;=-@\\[-`{{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]*)([{_PUNCTUATION}]*)")
+_CACHE_WORDS = 1_000_000
+_JOIN = 500
 _tokenizers: dict[str, tuple] = {}
 
 
 def _encoder(name: str):
-    """The tokenizer and a cache of what it makes of each word between white space.
+    """The tokenizer, which of its ids end a word, and a cache of the ids of words.
 
     Its splitting never joins characters across white space, so a text's ids are its words' ids in a row.
     """
     if name not in _tokenizers:
         from tokenizers import Tokenizer
 
-        _tokenizers[name] = (Tokenizer.from_file(public_tokenizers.path(name)), {})
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+        ends[[i for w, i in tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
+        _tokenizers[name] = (tokenizer, ends, {})
     return _tokenizers[name]
 
 
+def _learn(words: set[str], name: str) -> None:
+    """Put the ids of words, as little-endian 32-bit bytes, into the cache."""
+    tokenizer, ends, cache = _encoder(name)
+    split = {w: m.groups() for w in words if (m := _PLAIN.fullmatch(w))}
+    cores = [c for c in {core.lower() for _, core, _ in split.values() if core} if c not in cache]
+    for at in range(0, len(cores), _JOIN):  # plain words in one text: an id that ends a word ends its ids
+        part = cores[at : at + _JOIN]
+        ids = np.array(tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(ends[ids]) + 1
+        if len(cuts) == len(part):
+            data = ids.tobytes()
+            cache.update(zip(part, (data[4 * a : 4 * b] for a, b in zip([0, *cuts.tolist()], cuts.tolist()))))
+    single = {x for x in (y for before, core, after in split.values() for y in (before, core.lower(), after)) if x and x not in cache}
+    single = [*single | (words - split.keys())]
+    for w, e in zip(single, tokenizer.encode_batch_fast(single, add_special_tokens=False)):
+        cache[w] = np.array(e.ids, "<u4").tobytes()
+    cache[""] = b""
+    for w, (before, core, after) in split.items():
+        cache[w] = cache[before] + cache[core.lower()] + cache[after]
+
+
 def _encoded(texts: list[str], name: str) -> list[bytes]:
     """Little-endian 32-bit ids of each text."""
-    tokenizer, cache = _encoder(name)
-    words = [None if _ODD.search(t) else t.split() for t in texts]
-    new = list({w for ws in words if ws for w in ws if w not in cache})
-    if len(cache) + len(new) > _CACHE_WORDS:
+    tokenizer, _, cache = _encoder(name)
+    if len(cache) > _CACHE_WORDS:
         cache.clear()
-        new = list({w for ws in words if ws for w in ws})
-    for at in range(0, len(new), 10_000):
-        part = new[at : at + 10_000]
-        for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            cache[w] = np.array(e.ids, "<u4").tobytes()
-    whole = lambda t: np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-    return [whole(t) if ws is None else b"".join([cache[w] for w in ws]) for t, ws in zip(texts, words)]
+    found, missing = [], {}
+    for t in texts:
+        if _ODD.search(t):
+            found.append([np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()])
+            continue
+        words = t.split()
+        found.append(parts := [*map(cache.get, words)])
+        if None in parts:
+            missing[len(found) - 1] = {i: words[i] for i, x in enumerate(parts) if x is None}
+    _learn({w for at in missing.values() for w in at.values()}, name)
+    for k, at in missing.items():
+        for i, w in at.items():
+            found[k][i] = cache[w]
+    return [b"".join(parts) for parts in found]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", limit: int = 2048, end_id: int = 0) -> DataFrame:

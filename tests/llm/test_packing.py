@@ -8,6 +8,7 @@ from axonweave.llm.packing import pack_documents, sum_of_squares
 
 TEXTS = [
     (0, "Hello, World!  it's 12 o'clock"), (1, None), (2, ""), (3, "Straße ÉCOLE İstanbul ΣΑΣ οδός"), (3, "Straße ÉCOLE İstanbul ΣΑΣ οδός"),
+    (11, "don't it's 's 'tis (hi) \"quoted,\" _x_ ×y <b> <|x|> a<|startoftext|> 3rd A1b2 O'Reilly's ...'re we're' '' 'S Øre ÿ µ ª º"),
     (4, "a\x1cb \x85 c d é ́x"), (5, "<|endoftext|> x<|startoftext|>y"), (6, "word " * 9000), (7, "x" * 30_000), (8, "日本語 text 🙂"), (9, "a " * 2047), (10, "a " * 2048),
 ]
 
