@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from axonweave.llm._tables import read_table
+from axonweave.llm.decontamination import contamination
 from axonweave.llm.jaccard import jaccard_components
 from axonweave.llm.packing import pack_documents
 
@@ -21,7 +22,11 @@ def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sum_of_squares_packing, op5_jaccard_components)}
+def op6_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sum_of_squares_packing, op5_jaccard_components, op6_positional_decontamination)}
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -42,4 +47,24 @@ ORACLE_SQL: dict[str, str] = {
             UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
         least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
         SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM shingles JOIN least USING (doc_id)""",
+    "op6_positional_decontamination": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, w[i:i + 12] AS p, len(w[i:i + 12]) AS n
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM windows),
+        spots AS (
+            SELECT doc_id, i, n, w[i:i + n - 1] AS p
+            FROM (SELECT doc_id, w, n, unnest(range(1, greatest(len(w) - n + 1, 0) + 1)) AS i FROM d, sizes)),
+        found AS (SELECT doc_id, i, s.n, item_id FROM spots s JOIN windows USING (p)),
+        hits AS (
+            SELECT doc_id, count(DISTINCT k) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
 }
