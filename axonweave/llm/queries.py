@@ -10,6 +10,7 @@ from axonweave.llm._tables import read_table
 from axonweave.llm.decontamination import contamination
 from axonweave.llm.jaccard import jaccard_components
 from axonweave.llm.packing import pack_documents
+from axonweave.llm.pii import digest, personal_data
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +27,19 @@ def op6_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sum_of_squares_packing, op5_jaccard_components, op6_positional_decontamination)}
+def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(personal_data(read_table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op2_sum_of_squares_packing,
+        op5_jaccard_components,
+        op6_positional_decontamination,
+        op10_bootstrapped_pii,
+    )
+}
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
