@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from axonweave.llm._tables import read_table
 from axonweave.llm.decontamination import contamination
 from axonweave.llm.jaccard import jaccard_components
+from axonweave.llm.lm_scoring import backoff_scores
 from axonweave.llm.packing import pack_documents
 from axonweave.llm.pii import digest, personal_data
+from axonweave.llm.topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +22,14 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op3_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -35,6 +46,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_sum_of_squares_packing,
+        op3_threshold_topk,
+        op4_stupid_backoff,
         op5_jaccard_components,
         op6_positional_decontamination,
         op10_bootstrapped_pii,
@@ -44,6 +57,31 @@ QUERIES: dict[str, Query] = {
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_threshold_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op4_stupid_backoff": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        t AS (SELECT doc_id, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        c1 AS (SELECT b, count(*) AS c FROM t GROUP BY b),
+        c2 AS (SELECT a, b, count(*) AS c FROM t WHERE i > 1 GROUP BY a, b),
+        s AS (
+            SELECT doc_id, i, coalesce(c2.c, 0) >= 2 AS seen, u.c AS cb, v.c AS ca, c2.c AS cab
+            FROM t JOIN c1 u ON u.b = t.b LEFT JOIN c1 v ON v.b = t.a LEFT JOIN c2 ON c2.a = t.a AND c2.b = t.b),
+        v AS (
+            SELECT doc_id, i = 1 OR seen AS top, CASE WHEN seen THEN log10(cab) - log10(ca)
+                ELSE log10(cb) - log10((SELECT count(*) FROM t)) + CASE WHEN i > 1 THEN log10(0.4) ELSE 0 END END AS x FROM s),
+        sums AS (
+            SELECT doc_id, CAST(count_if(top) AS BIGINT) AS n_seen, CAST(sum(CAST(floor(x * 1000000 + 0.5) AS BIGINT)) AS BIGINT) AS score
+            FROM v GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_seen, 0) AS n_seen, coalesce(score, 0) AS score
+        FROM d LEFT JOIN sums USING (doc_id)""",
     "op5_jaccard_components": rf"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
