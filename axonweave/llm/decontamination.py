@@ -2,7 +2,8 @@
 
 One pass over the texts stores the postings (text, position, term) of every test term. Each window of a test
 item is then looked up from its rarest term: that term's postings, shifted by its offset, are the candidates;
-the next rarer term's list is intersected with them, then the lists of all other terms. Only DataFrame
+the lists of the next two rarer terms are intersected with them, then those of all other terms in the texts
+that are left. Only DataFrame
 operations are used.
 """
 
@@ -75,10 +76,13 @@ def matches(postings: DataFrame, windows: DataFrame, terms: DataFrame, slop: int
 
     rarest = _small(ranked.where("rank = 1").withColumnRenamed("off", "first_off"))
     found = store(postings.join(rarest, "term_id").select(*TEXT, "window_id", "len", (F.col("pos") - F.col("first_off")).alias("start")).where("start >= 0").distinct())
-    texts = store(found.select(*TEXT).distinct())
-    near = store(postings.join(_small(texts), [postings.doc_id.eqNullSafe(texts.doc_id), postings.text_key == texts.text_key], "left_semi").select(*TEXT, "pos", "term_id").distinct())
-    for some in (ranked.where("rank = 2"), ranked.where("rank > 2")):
-        lists = store(some.select("window_id", "off", "term_id"))
+    for k in (2, 3, None):
+        lists = store(ranked.where(f"rank = {k}" if k else "rank > 3").select("window_id", "off", "term_id"))
+        if k:  # one list of each window, of its next rarer term
+            near = postings.join(_small(store(lists.select("term_id").distinct())), "term_id", "left_semi")
+        else:  # all other lists, of the few texts that are left
+            texts = _small(store(found.select(*TEXT).distinct()))
+            near = postings.join(texts, [postings.doc_id.eqNullSafe(texts.doc_id), postings.text_key == texts.text_key], "left_semi")
         per = lists.groupBy("window_id").agg(F.count("*").alias("k"))
         wanted = found.join(_small(lists), "window_id").select("*", F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("d")).withColumn("pos", F.col("start") + F.col("off") + F.col("d"))
         keys = [wanted.doc_id.eqNullSafe(near.doc_id), *(wanted[c] == near[c] for c in ("text_key", "pos", "term_id"))]
