@@ -58,6 +58,12 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 def hashed_words(texts: pa.Array, parts: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, A-Z lower-cased, in order; and the number of words of each text."""
+    (hashes,), counts = hashed_prefixes(texts, parts, ())
+    return hashes, counts
+
+
+def hashed_prefixes(texts: pa.Array, parts: np.ndarray, lengths_in_bytes: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+    """hashed_words, and hashes of all words' first bytes, so many as given (a shorter word is all of it)."""
     data, offsets = utf8(texts)
     inside = ~parts[data]
     start = inside.copy()
@@ -67,13 +73,22 @@ def hashed_words(texts: pa.Array, parts: np.ndarray = WHITE) -> tuple[np.ndarray
     at = np.flatnonzero(start)
     counts = np.diff(np.searchsorted(at, offsets))
     if not len(at):
-        return np.zeros(0, np.uint64), counts
+        return [np.zeros(0, np.uint64) for _ in range(1 + len(lengths_in_bytes))], counts
     chars = np.flatnonzero(inside)
     first = np.flatnonzero(start[chars])
     lengths = np.diff(np.append(first, len(chars)))
     place = np.arange(len(chars)) - np.repeat(first, lengths)
     terms = _CODES[_FOLD[data[chars]]] * _power(int(lengths.max()))[place]
-    return mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64)), counts
+    hashes = [mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64))]
+    for k in lengths_in_bytes:
+        hashes.append(mix(np.add.reduceat(np.where(place < k, terms, np.uint64(0)), first) + np.uint64(1000 + k)))
+    return hashes, counts
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by sorting (numpy's own function hashes, which is slower here)."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -81,13 +96,23 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """Whole numbers, compressed with bytes of equal weight together."""
+    x = x.astype(np.uint64)
+    planes = x.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(x).to_bytes(8, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.Codec("zstd").decompress(data[8:], 8 * n, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
 def packed(sorted_hashes: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as differences, bytes of equal weight together: the block compression of
-    shuffle files then drops the high bytes, which are zero."""
-    gaps = np.diff(sorted_hashes, prepend=np.uint64(0))
-    return gaps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted 64-bit numbers as differences, whose high bytes are zero."""
+    return squeezed(np.diff(sorted_hashes, prepend=np.uint64(0)))
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    gaps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
-    return np.add.accumulate(gaps)
+    return np.add.accumulate(unsqueezed(data))

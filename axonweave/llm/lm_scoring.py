@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from axonweave.llm._hashing import hashed_words, joined, packed, slices, unpacked
+from axonweave.llm._hashing import hashed_words, joined, packed, slices, squeezed, unpacked, unsqueezed
 from axonweave.llm._tables import store
 
 #: Words of a chunk, about; and n-grams of a bucket, about.
@@ -27,7 +27,7 @@ BUCKET_GRAMS = 1_000_000
 #: Scores are sums of log10 in millionths, so that any order of summing gives the same result.
 UNIT = 1_000_000
 
-CHUNK = "chunk long, words long, docs binary, unnamed binary, lengths binary, stream binary, vocabulary binary, counts binary"
+CHUNK = "chunk long, words long, docs binary, unnamed binary, lengths binary, stream binary, vocabulary binary"
 
 
 def _encoded(docs: DataFrame) -> DataFrame:
@@ -39,8 +39,11 @@ def _encoded(docs: DataFrame) -> DataFrame:
         def chunk() -> pa.RecordBatch:
             stream = np.concatenate([r[3] for r in rows])
             vocabulary, place, counts = np.unique(stream, return_inverse=True, return_counts=True)
-            blobs = [np.concatenate([r[k] for r in rows]).astype(t) for k, t in ((0, np.int64), (1, bool), (2, np.int32))] + [place.astype(np.uint32)]
-            values = [(TaskContext.get().partitionId() << 32) + at, len(stream), *(b.tobytes() for b in blobs), vocabulary.tobytes(), counts.astype(np.int64).tobytes()]
+            by_count = np.argsort(-counts, kind="stable")  # small places for frequent words
+            rank = np.empty(len(by_count), np.uint64)
+            rank[by_count] = np.arange(len(by_count))
+            ids, unnamed, lengths = (np.concatenate([r[k] for r in rows]) for k in range(3))
+            values = [(TaskContext.get().partitionId() << 32) + at, len(stream), ids.astype(np.int64).tobytes(), unnamed.tobytes(), lengths.astype(np.int32).tobytes(), squeezed(rank[place]), vocabulary[by_count].tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if i < 2 else pa.binary()) for i, v in enumerate(values)], names=[c.split()[0] for c in CHUNK.split(", ")])
 
         for whole in batches:
@@ -59,12 +62,16 @@ def _encoded(docs: DataFrame) -> DataFrame:
 
 
 def _grams(stream: np.ndarray, lengths: np.ndarray, vocabulary: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For orders from 2 on: distinct hashes, sorted; the place among them of the n-gram that ends at each word
+    """For all orders: distinct hashes, sorted; the place among them of the n-gram that ends at each word
     (-1: its text has too few words before it); and their counts."""
     first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     within = np.arange(len(stream)) - np.repeat(first, lengths)
     words = vocabulary[stream]
-    grown, out = words, []
+    sort = np.argsort(vocabulary)
+    place = np.empty(len(sort), np.int64)
+    place[sort] = np.arange(len(sort))
+    out = [(vocabulary[sort], place[stream], np.bincount(stream, minlength=len(sort))[sort])]
+    grown = words
     for n in range(2, order + 1):
         grown = np.concatenate([np.zeros(min(1, len(words)), np.uint64), joined(grown[:-1], words[1:])])
         full = within >= n - 1
@@ -76,7 +83,7 @@ def _grams(stream: np.ndarray, lengths: np.ndarray, vocabulary: np.ndarray, orde
 
 
 def _parts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row["stream"], np.uint32), np.frombuffer(row["lengths"], np.int32), np.frombuffer(row["vocabulary"], np.uint64)
+    return unsqueezed(row["stream"]).astype(np.int64), np.frombuffer(row["lengths"], np.int32), np.frombuffer(row["vocabulary"], np.uint64)
 
 
 def _entries(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
@@ -87,24 +94,23 @@ def _entries(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 stream, lengths, vocabulary = _parts(row)
-                counted = [(vocabulary, None, np.frombuffer(row["counts"], np.int64)), *_grams(stream, lengths, vocabulary, order)]
                 out = []
-                for n, (hashes, _, counts) in enumerate(counted, 1):
+                for n, (hashes, _, counts) in enumerate(_grams(stream, lengths, vocabulary, order), 1):
                     cuts = [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
-                    out += [(row["chunk"], n, b, packed(hashes[i:j]), counts[i:j].astype(np.uint32).tobytes()) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+                    out += [(row["chunk"], n, b, packed(hashes[i:j]), squeezed(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "n", "bucket", "hashes", "counts"])
 
-    return chunks.select("chunk", "lengths", "stream", "vocabulary", "counts").mapInArrow(run, "chunk long, n int, bucket int, hashes binary, counts binary")
+    return chunks.select("chunk", "lengths", "stream", "vocabulary").mapInArrow(run, "chunk long, n int, bucket int, hashes binary, counts binary")
 
 
 def _totals(rows: pd.DataFrame) -> pd.DataFrame:
     """The corpus count of each entry of one bucket."""
     hashes = [unpacked(h) for h in rows["hashes"]]
     _, place = np.unique(np.concatenate(hashes), return_inverse=True)
-    sums = np.bincount(place, weights=np.concatenate([np.frombuffer(c, np.uint32) for c in rows["counts"]]))
+    sums = np.bincount(place, weights=np.concatenate([unsqueezed(c) for c in rows["counts"]]))
     cuts = np.cumsum([len(h) for h in hashes])[:-1]
-    return pd.DataFrame({"chunk": rows["chunk"], "n": rows["n"], "bucket": rows["bucket"], "totals": [p.astype(np.uint64).tobytes() for p in np.split(sums[place], cuts)]})
+    return pd.DataFrame({"chunk": rows["chunk"], "n": rows["n"], "bucket": rows["bucket"], "totals": [squeezed(p) for p in np.split(sums[place], cuts)]})
 
 
 def _log(x: np.ndarray) -> np.ndarray:
@@ -135,13 +141,13 @@ def backoff_scores(docs: DataFrame, order: int = 2, least: int = 2, alpha: float
         stream, lengths, vocabulary = _parts(row)
         found = found.sort_values(["n", "bucket"])
         grams = _grams(stream, lengths, vocabulary, order)
-        counts = [np.concatenate([np.zeros(0), *(np.frombuffer(b, np.uint64) for b in found.loc[found["n"] == n, "totals"])]) for n in range(1, order + 1)]
+        counts = [np.concatenate([np.zeros(0), *(unsqueezed(b) for b in found.loc[found["n"] == n, "totals"])]) for n in range(1, order + 1)]
         # counts of the n-gram that ends at each word, by order
-        ended = [counts[0][stream]] + [np.where(g[1] >= 0, c[np.maximum(g[1], 0)] if len(c) else 0, 0) for g, c in zip(grams, counts[1:])]
+        ended = [np.where(g[1] >= 0, c[np.maximum(g[1], 0)] if len(c) else 0, 0) for g, c in zip(grams, counts)]
         value = _log(ended[0]) - np.log10(max(words, 1))
         reach = np.ones(len(stream), np.int64)
         for n in range(2, order + 1):
-            can = grams[n - 2][1] >= 0
+            can = grams[n - 1][1] >= 0
             before = np.concatenate([np.ones(min(1, len(stream))), ended[n - 2][:-1]])
             seen = can & (ended[n - 1] >= least)
             value = np.where(seen, _log(ended[n - 1]) - _log(before), value + np.where(can, cost, 0))
