@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from axonweave.llm._hashing import hashed_words, joined, mix, slices
+from axonweave.llm._hashing import distinct, hashed_words, joined, mix, slices
 from axonweave.llm._tables import store
 from axonweave.llm.components import components
 
@@ -46,7 +46,7 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     found, at = [], 0
     for n in counts.tolist():
         if n >= width:
-            found.append(np.unique(grown[at : at + n - width + 1]))
+            found.append(distinct(grown[at : at + n - width + 1]))
         elif n:
             one = mix(words[at : at + 1] + np.uint64(n))
             for k in range(1, n):

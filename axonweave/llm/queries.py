@@ -13,11 +13,16 @@ from axonweave.llm.jaccard import jaccard_components
 from axonweave.llm.lm_scoring import backoff_scores
 from axonweave.llm.packing import pack_documents
 from axonweave.llm.pii import digest, personal_data
+from axonweave.llm.quality import quality_scores
 from axonweave.llm.topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_ordinal_quality,
         op2_sum_of_squares_packing,
         op3_threshold_topk,
         op4_stupid_backoff,
