@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from axonweave.llm._tables import read_table
 from axonweave.llm.decontamination import contamination
+from axonweave.llm.html_extraction import extract
 from axonweave.llm.jaccard import jaccard_components
+from axonweave.llm.language_id import identify
 from axonweave.llm.lm_scoring import backoff_scores
 from axonweave.llm.packing import pack_documents
 from axonweave.llm.pii import digest, personal_data
 from axonweave.llm.quality import quality_scores
+from axonweave.llm.secrets import scan
 from axonweave.llm.topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +46,18 @@ def op6_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
+def op8_hierarchical_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
+def op9_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(personal_data(read_table(spark, sf_dir, "documents")))
 
@@ -56,6 +71,9 @@ QUERIES: dict[str, Query] = {
         op4_stupid_backoff,
         op5_jaccard_components,
         op6_positional_decontamination,
+        op7_entropy_secrets,
+        op8_hierarchical_langid,
+        op9_tag_path_extraction,
         op10_bootstrapped_pii,
     )
 }
