@@ -100,7 +100,8 @@ def _sketch(profiles: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "counts"])
 
     rows = profiles.where("part is not null").select("part", "counts").mapInArrow(add, "part int, counts binary").repartition(SKETCH_PARTS, "part").mapInArrow(add, "part int, counts binary").collect()
-    return np.concatenate([np.frombuffer(r.counts, np.uint32) for r in sorted(rows, key=lambda r: r.part)])
+    parts = [np.frombuffer(r.counts, np.uint32) for r in sorted(rows, key=lambda r: r.part)]
+    return np.concatenate(parts) if parts else np.zeros(1 << SKETCH_BITS, np.uint32)  # a table without partitions
 
 
 def _entries(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:

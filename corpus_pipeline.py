@@ -1,10 +1,78 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
 
-STAGES = []
+Each stage reads all that its predecessor kept, from Parquet, and all but the last return rows with the columns
+of documents: the quality classifier drops documents it rejects, the Jaccard join leaves one document of each
+group of near copies, decontamination drops contaminated documents, personal data is masked in the texts, and
+best-fit packing places what is left into sequences.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+import uuid
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from axonweave.llm._tables import read_table, shared_dir
+from axonweave.llm.decontamination import contamination
+from axonweave.llm.jaccard import jaccard_components
+from axonweave.llm.packing import pack_documents
+from axonweave.llm.pii import masked
+from axonweave.llm.quality import selected
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of the best grade is one half or more."""
+    return selected(docs, read_table(spark, sf_dir, "labels"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component; rows without an id stay."""
+    found = jaccard_components(docs)
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by benchmark items."""
+    bad = contamination(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked; n_chars follows the text."""
+    hidden = masked(docs)
+    return hidden.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences of at most 2048 tokens."""
+    return pack_documents(docs)
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("best-fit packing", packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to documents; what lies between them is written to the shared folder."""
+    docs = read_table(spark, sf_dir, "documents")
+    folder = f"{shared_dir(spark)}/corpus_pipeline/{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{k}")
+            docs = spark.read.parquet(f"{folder}/{k}")
+    return docs
+
+
+#: The first and the last stage cannot be said in SQL; tests hold the others against brute force.
 ORACLE_SQL = None
