@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +62,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _sums(at: np.ndarray, n: int, values: np.ndarray | None = None, of: np.ndarray | None = None) -> np.ndarray:
+    """Sums of values[of] (or counts) by place, a part of the entries at a time, so that no copy of all is made."""
+    total = np.zeros(n)
+    for k in range(0, len(at), 1 << 20):
+        part = slice(k, k + (1 << 20))
+        total += np.bincount(at[part], weights=None if values is None else values[of[part]], minlength=n)
+    return total
+
+
 class CumulativeLink:
     """Weights per feature, and one threshold fewer than grades."""
 
@@ -74,7 +84,7 @@ class CumulativeLink:
         Only features whose score test exceeds least_z get weights: first against constant grades, then against
         the fit so far.
         """
-        n, rows = len(counts), np.repeat(np.arange(len(counts)), counts)
+        n, rows, all_ = len(counts), np.repeat(np.arange(len(counts), dtype=np.int32), counts), 1 << BITS
         share = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / max(n, 1), 0.5 / (n + 1), 1 - 0.5 / (n + 1))
         theta = np.log(share / (1 - share)) + 1e-9 * np.arange(n_grades - 1)
         top, bottom = grades < n_grades - 1, grades > 0
@@ -83,16 +93,16 @@ class CumulativeLink:
             """P(grade <= own) and P(grade < own); 1 - both is the slope of the loss in s."""
             return _sigmoid(np.append(theta, np.inf)[grades] - s), _sigmoid(np.insert(theta, 0, -np.inf)[grades] - s)
 
-        seen = np.bincount(columns, minlength=1 << BITS)
-        weights, s = np.zeros(1 << BITS), np.zeros(n)
+        seen = _sums(columns, all_)
+        weights, s = np.zeros(all_), np.zeros(n)
         for _ in range(2):  # features that count once others are known come second
             upper, lower = ends(s)
             slopes = 1 - upper - lower
-            z = np.bincount(columns, weights=slopes[rows], minlength=1 << BITS) / np.sqrt(np.maximum(seen * np.mean(slopes**2), 1e-12))
+            z = _sums(columns, all_, slopes, rows) / np.sqrt(np.maximum(seen * np.mean(slopes**2), 1e-12))
             used = np.flatnonzero((seen >= LEAST_TEXTS) & (np.abs(z) >= least_z) | (weights != 0))
-            place = np.full(1 << BITS, -1)
+            place = np.full(all_, -1, np.int32)
             place[used] = np.arange(len(used))
-            kept = place[columns] >= 0
+            kept = (place >= 0)[columns]
             r, c = rows[kept], place[columns[kept]]
             width = np.bincount(r, minlength=n) + 1.0
             bound = 0.25 * np.bincount(c, weights=width[r], minlength=len(used)) + ridge
@@ -109,7 +119,7 @@ class CumulativeLink:
                     curve[k] += np.sum((upper * (1 - upper))[under]) + np.sum((lower * (1 - lower))[over])
                 theta = np.maximum.accumulate(theta - np.clip(0.5 * slope / curve, -0.2, 0.2)) + 1e-9 * np.arange(n_grades - 1)
             weights[used] = w
-            s = np.bincount(rows, weights=weights[columns], minlength=n)
+            s = _sums(rows, n, weights, columns)
         return cls(weights, theta)
 
     def predict(self, columns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,11 +147,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Cum
                 columns, counts = features(batch.column("text"))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(columns.astype(np.int32)))], names=["doc_id", "grade", "columns"])
 
-    found = rows.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade int, columns array<int>").toArrow().sort_by("doc_id")
+    found = rows.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade int, columns array<int>").toArrow()
     if not len(found):
         return None
+    found = found.take(pa.compute.sort_indices(found.column("doc_id"))).combine_chunks()
     lists = found.column("columns").combine_chunks()
-    return CumulativeLink.fit(lists.flatten().to_numpy().astype(np.int64), lists.value_lengths().to_numpy().astype(np.int64), found.column("grade").to_numpy().astype(np.int64), 3)
+    return CumulativeLink.fit(lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64), found.column("grade").to_numpy().astype(np.int64), 3)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
