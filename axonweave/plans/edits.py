@@ -32,26 +32,37 @@ def new_edits(edits: DataFrame, applied: DataFrame | None) -> DataFrame:
     return edits.where("mutation_key IS NULL").unionByName(keyed.join(first, ["mutation_key", "seq"], "left_semi"))
 
 
-def _exists_at(events: DataFrame, state: DataFrame, key: str, adds: tuple[str, ...], drops: tuple[str, ...], ask: DataFrame) -> DataFrame:
-    """The rows of ask (key, seq, ...) whose key exists just before their seq, by state and earlier events."""
-    change = events.where(F.col("kind").isin(*adds, *drops)).select(F.col(key).alias("_k"), F.col("seq").alias("_s"), F.col("kind").isin(*adds).alias("_on"))
-    met = ask.join(change, (F.col(key) == F.col("_k")) & (F.col("_s") < F.col("seq")), "left").groupBy(*ask.columns).agg(F.max_by("_on", "_s").alias("_on"))
+def _there(events: DataFrame, state: DataFrame, key: str, ask: DataFrame) -> DataFrame:
+    """The rows of ask (key, seq) whose key exists just before their seq, by state and by events(_k, _s, _on)."""
+    met = ask.join(events, (F.col(key) == F.col("_k")) & (F.col("_s") < F.col("seq")), "left").groupBy(*ask.columns).agg(F.max_by("_on", "_s").alias("_on"))
     base = state.select(F.col(key).alias("_b")).distinct()
     return met.join(base, F.col(key) == F.col("_b"), "left").where(F.coalesce("_on", F.col("_b").isNotNull())).select(*ask.columns)
 
 
+def _event(edits: DataFrame, kind: str, key, on: bool) -> DataFrame:
+    return edits.where(F.col("kind") == kind).select(key.alias("_k"), F.col("seq").alias("_s"), F.lit(on).alias("_on"))
+
+
 def checked(graph: Graph, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edits that hold at their seq, and the rejected ones with a reason."""
-    asks = {
-        "unknown synapse": (("add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", "add_link"), "syn_id", graph["synapse"], ("add_synapse",), ("delete_synapse",), True),
-        "synapse exists": (("add_synapse",), "syn_id", graph["synapse"], ("add_synapse",), ("delete_synapse",), False),
-        "unknown body": (("update_properties", "set_properties", "delete_property", "add_synapse_to_segment", "add_skeleton", "delete_neuron", "split"), "body_id", graph["body"], ("add_neuron",), ("delete_neuron",), True),
-        "body exists": (("add_neuron",), "body_id", graph["body"], ("add_neuron",), ("delete_neuron",), False),
-    }
+    """Edits that hold at their seq, and the rejected ones with a reason.
+
+    What an edit adds or removes counts for later edits even if it is itself rejected for another reason.
+    """
+    first, syn, body = F.get("bodies", F.lit(0)), F.col("syn_id"), F.col("body_id")
+    synapses = _event(edits, "add_synapse", syn, True).union(_event(edits, "delete_synapse", syn, False))
+    merged = edits.where("kind = 'merge'").select(F.explode(F.slice("bodies", F.lit(2), F.greatest(F.size("bodies") - 1, F.lit(0)))).alias("_k"), F.col("seq").alias("_s"), F.lit(False).alias("_on"))
+    bodies = _event(edits, "add_neuron", body, True).union(_event(edits, "delete_neuron", body, False)).union(_event(edits, "split", first, True)).union(merged)
+    on_body = ("update_properties", "set_properties", "delete_property", "add_synapse_to_segment", "add_skeleton", "delete_neuron", "split")
+    asks = [
+        ("unknown synapse", ("add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", "add_link"), "syn_id", graph["synapse"], synapses, True),
+        ("synapse exists", ("add_synapse",), "syn_id", graph["synapse"], synapses, False),
+        ("unknown body", on_body, "body_id", graph["body"], bodies, True),
+        ("body exists", ("add_neuron",), "body_id", graph["body"], bodies, False),
+    ]
     bad = edits.where("(kind = 'split' AND (size(bodies) < 1 OR size(synapses) < 1)) OR (kind = 'merge' AND size(bodies) < 2) OR (kind = 'add_synapse' AND coalesce(type, '') NOT IN ('pre', 'post'))").select("seq", F.lit("malformed").alias("reason"))
-    for why, (kinds, key, state, adds, drops, wanted) in asks.items():
+    for why, kinds, key, state, events, wanted in asks:
         ask = edits.where(F.col("kind").isin(*kinds)).select(key, "seq").distinct()
-        there = _exists_at(edits, state, key, adds, drops, ask)
+        there = _there(events, state, key, ask)
         bad = bad.union((ask.join(there, "seq", "left_anti") if wanted else there).select("seq", F.lit(why).alias("reason")))
     reasons = bad.groupBy("seq").agg(F.min("reason").alias("reason"))
     return edits.join(reasons, "seq", "left_anti"), edits.join(reasons, "seq")
@@ -111,17 +122,17 @@ def _bodies(graph: Graph, edits: DataFrame) -> DataFrame:
     heirs = child.join(bodies, F.col("parent") == F.col("body_id")).select(F.col("child").alias("body_id"), *(F.lit(None).cast(t).alias(c) if c == "soma" else F.col(c) for c, t in bodies.dtypes if c != "body_id"))
     bodies = bodies.unionByName(heirs.join(bodies.select("body_id"), "body_id", "left_anti"))
     bodies = _properties(bodies, edits)
-    merges = edits.where("kind = 'merge'").select("seq", F.get("bodies", F.lit(0)).alias("target"), F.posexplode("bodies").alias("position", "body_id"))
+    place = F.array(F.col("seq") * 1000 + F.col("position"))  # lists of positions, from the last merge inwards
+    merges = edits.where("kind = 'merge'").select("seq", F.get("bodies", F.lit(0)).alias("target"), F.posexplode("bodies").alias("position", "body_id")).select("target", "body_id", place.alias("position"))
     if not merges.isEmpty():
-        gone = merges.where("body_id <> target").select("body_id", "seq", "target")
-        top = checkpointed(merges.select("target", "body_id", F.col("seq").cast("string").alias("order"), "position"))
+        up = checkpointed(merges.where("body_id <> target").select(F.col("body_id").alias("target"), F.col("target").alias("above"), F.col("position").alias("over")))
+        top = checkpointed(merges)
         while True:  # chains: what is merged into a body that is merged later ends at the last target
-            up = gone.select(F.col("body_id").alias("target"), F.col("target").alias("above")).distinct()
             moved = top.join(up, "target", "left")
             if moved.where("above IS NOT NULL").isEmpty():
                 break
-            top = checkpointed(moved.select(F.coalesce("above", "target").alias("target"), "body_id", "order", "position"))
-        lists = top.groupBy("target", "body_id").agg(F.min(F.when(F.col("body_id") == F.col("target"), -1).otherwise(F.col("position"))).cast("long").alias("position"))
+            top = checkpointed(moved.select(F.coalesce("above", "target").alias("target"), "body_id", F.when(F.col("above").isNull(), F.col("position")).otherwise(F.concat("over", "position")).alias("position")))
+        lists = top.groupBy("target", "body_id").agg(F.min("position").alias("position"))
         joined = checkpointed(merge_properties(bodies, lists, sums=("size",)).select(*bodies.columns))
         touched = lists.select("body_id").union(lists.select("target")).distinct()
         bodies = bodies.join(touched, "body_id", "left_anti").unionByName(joined)
@@ -149,13 +160,13 @@ def apply_edits(graph: Graph, edits: DataFrame) -> tuple[Graph, DataFrame, DataF
     good, bad = (checkpointed(x) for x in checked(graph, fresh))
     synapse = checkpointed(_synapses(graph, good))
     ids = synapse.select("syn_id")
-    added = good.where("kind = 'add_link'").select(F.col("syn_id").alias("pre_id"), "post_id").distinct()
+    added = good.where("kind = 'add_link'").select(F.col("syn_id").alias("pre_id"), "post_id", "seq")
     sides = synapse.select("syn_id", "type")
     fit = added.join(sides.where("type = 'pre'").select(F.col("syn_id").alias("pre_id")), "pre_id", "left_semi").join(sides.where("type = 'post'").select(F.col("syn_id").alias("post_id")), "post_id", "left_semi")
-    links = graph["syn_edge"].unionByName(fit).distinct()
-    gone = good.where("kind = 'delete_synapse'").select("syn_id").distinct()  # links of a synapse go with it, even if it is added anew
+    links = graph["syn_edge"].select("pre_id", "post_id", F.lit(-1).cast("long").alias("seq")).unionByName(fit).groupBy("pre_id", "post_id").agg(F.max("seq").alias("seq"))
+    gone = good.where("kind = 'delete_synapse'").groupBy("syn_id").agg(F.max("seq").alias("at"))  # links go with a synapse, even if it is added anew
     for end in ("pre_id", "post_id"):
-        links = links.join(gone.withColumnRenamed("syn_id", end), end, "left_anti")
+        links = links.join(gone.select(F.col("syn_id").alias(end), F.col("at").alias(f"_{end}")), end, "left").where(F.coalesce(F.col(f"_{end}") < F.col("seq"), F.lit(True)))
     membership = checkpointed(_owners(graph, good).join(ids, "syn_id", "left_semi"))
     bodies = checkpointed(_bodies(graph, good))
     membership = membership.join(bodies.select("body_id"), "body_id", "left_semi").select("body_id", "syn_id")
