@@ -119,8 +119,12 @@ def _bodies(graph: Graph, edits: DataFrame) -> DataFrame:
     new = edits.where("kind = 'add_neuron'").select("body_id").distinct().join(bodies.select("body_id"), "body_id", "left_anti")
     bodies = bodies.unionByName(new, allowMissingColumns=True)
     child = edits.where("kind = 'split'").select(F.col("body_id").alias("parent"), F.get("bodies", F.lit(0)).alias("child"))
-    heirs = child.join(bodies, F.col("parent") == F.col("body_id")).select(F.col("child").alias("body_id"), *(F.lit(None).cast(t).alias(c) if c == "soma" else F.col(c) for c, t in bodies.dtypes if c != "body_id"))
-    bodies = bodies.unionByName(heirs.join(bodies.select("body_id"), "body_id", "left_anti"))
+    while True:  # a part may be split again
+        heirs = child.join(bodies, F.col("parent") == F.col("body_id")).select(F.col("child").alias("body_id"), *(F.lit(None).cast(t).alias(c) if c == "soma" else F.col(c) for c, t in bodies.dtypes if c != "body_id"))
+        heirs = checkpointed(heirs.join(bodies.select("body_id"), "body_id", "left_anti"))
+        if heirs.isEmpty():
+            break
+        bodies = checkpointed(bodies.unionByName(heirs))
     bodies = _properties(bodies, edits)
     place = F.array(F.col("seq") * 1000 + F.col("position"))  # lists of positions, from the last merge inwards
     merges = edits.where("kind = 'merge'").select("seq", F.get("bodies", F.lit(0)).alias("target"), F.posexplode("bodies").alias("position", "body_id")).select("target", "body_id", place.alias("position"))
