@@ -21,6 +21,8 @@ from axonweave.llm._hashing import slices, utf8
 #: Fitted on so many texts of each language at most.
 SAMPLE = 400
 BITS = 14
+#: The table of languages is sent to every task if it has no more rows.
+BROADCAST_LANGS = 10_000
 # Language codes by family; a code that is not listed is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb",
@@ -62,21 +64,28 @@ def _lettered(texts: pa.Array) -> np.ndarray:
     return some
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int = 200) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear machine with squared hinge loss, by accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * cost
-    v = np.ones(x.shape[1])
+def _svm(x: np.ndarray, scale: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int = 200) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear machine with squared hinge loss on scaled columns, by accelerated gradient
+    steps. y is 1, -1, or 0 for rows that take no part; x is never copied."""
+    share = cost * 0.5 * ((y > 0) / max((y > 0).sum(), 1) + (y < 0) / max((y < 0).sum(), 1))
+
+    def value(w: np.ndarray) -> np.ndarray:
+        return x @ (scale * w[:-1]).astype(np.float32) + w[-1]
+
+    def back(v: np.ndarray) -> np.ndarray:
+        return np.append(scale * (v.astype(np.float32) @ x), v.sum())
+
+    v = np.ones(x.shape[1] + 1)
     for _ in range(20):
-        v = x.T @ (share * (x @ v))
+        v = back(share * value(v))
         v /= np.linalg.norm(v)
-    bound = 1e-3 + 2 * float(v @ (x.T @ (share * (x @ v)))) * 1.1
-    w = last = np.zeros(x.shape[1])
+    bound = 1e-3 + 2.2 * float(v @ back(share * value(v)))
+    w = last = np.zeros(x.shape[1] + 1)
     for t in range(steps):
         look = w + t / (t + 3) * (w - last)
-        slack = np.maximum(1 - y * (x @ look), 0)
-        last, w = w, look - (1e-3 * look - 2 * x.T @ (share * y * slack)) / bound
-    return w[:-1], float(w[-1])
+        slack = np.maximum(1 - y * value(look), 0)
+        last, w = w, look - (1e-3 * look - 2 * back(share * y * slack)) / bound
+    return scale * w[:-1], float(w[-1])
 
 
 class Hierarchy:
@@ -93,10 +102,9 @@ class Hierarchy:
         groups = [(family, sorted(self.families))] + [(langs, members) for members in self.families.values()]
         for of, classes in groups:
             for a, b in combinations(classes, 2):
-                rows = (of == a) | (of == b)
-                w, bias = _svm(x[rows] * scale, np.where(of[rows] == a, 1.0, -1.0))
+                w, bias = _svm(x, scale, (of == a) * 1.0 - (of == b))
                 self.pairs.append((a, b))
-                weights.append(w * scale)
+                weights.append(w)
                 self.biases.append(bias)
         self.weights = np.array(weights, np.float32).reshape(len(weights), -1)
 
@@ -139,6 +147,7 @@ def fit_languages(docs: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
     """Fit on docs(doc_id, text, lang): of each language, at most sample texts by the smallest hashes of ids."""
     known = docs.where("doc_id is not null and text is not null and lang is not null").withColumn("h", F.xxhash64("doc_id"))
     sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_LANGS else sizes
     # Hashes are even: few more rows than needed are left to be ranked.
     near = known.select("doc_id", "lang", "h").join(sizes, "lang").where((F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n") <= F.lit(2.0 * sample + 50))
     chosen = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("r") <= sample).select("doc_id").distinct()
