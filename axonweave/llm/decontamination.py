@@ -67,7 +67,7 @@ def matches(postings: DataFrame, windows: DataFrame, terms: DataFrame, slop: int
     With slop 0 these are exact phrases; else proximity matches, in which every term of the window stands within
     slop words of its place relative to the window's rarest term.
     """
-    counts = postings.groupBy("term_id").agg(F.count("*").alias("n"))
+    counts = _small(store(postings.groupBy("term_id").agg(F.count("*").alias("n"))))
     placed = windows.select("window_id", F.size("words").alias("len"), F.posexplode("words").alias("off", "term")).join(terms.select("term", "term_id"), "term")
     placed = placed.join(counts, "term_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     by_window = Window.partitionBy("window_id")
