@@ -185,13 +185,19 @@ def _derived(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return pairs.join(bounds, ["a", "b"], "left").select("a", "b", "na", "nb", F.coalesce("low", F.lit(0)).alias("low"), F.coalesce("high", F.least("na", "nb")).alias("high"), _needed(F.col("na"), F.col("nb"), percent).alias("least"))
 
 
+def _by_document(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links between the smallest documents of the sets: the smallest node of a component is then its id."""
+    rep = lambda c: groups.select(F.col("sid").alias(c), F.col("rep").alias(f"{c}_rep"))
+    return links.join(rep("a"), "a").join(rep("b"), "b").select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).where("a <> b").distinct()
+
+
 def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, component_id, set_id; a row for each row of docs.
 
     Words are runs of characters other than space and \\t to \\r, A-Z lower-cased. Texts link when
     100 * overlap >= percent * union of their distinct width-word shingles. A null or empty text, or one without
     words, has an empty set and links with nothing. component_id is the smallest doc_id that links reach.
-    Shingles are compared by 64-bit hashes. A row without doc_id cannot stand for its set: unless another row
+    Rows that share a doc_id are one node. Shingles are compared by 64-bit hashes. A row without doc_id cannot stand for its set: unless another row
     has the same set, it links with nothing. Other columns of docs are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -201,7 +207,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     entries = store(_entries(docs, width, percent, sketch))
     several = entries.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("token")
     index = store(entries.join(several, "token").distinct())
-    groups = store(rows.join(index.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("groups").alias("groups")))
+    groups = rows.where("doc_id is not null").join(index.select("sid").distinct(), "sid", "left_semi")
+    groups = store(groups.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("groups").alias("groups")))
 
     # Each set against the pivots of its lists.
     pivots = index.groupBy("token").agg(F.min(F.struct("pos", "n", "sid")).alias("p"))
@@ -211,10 +218,10 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     star = store(star)
     known = store(_verified(store(_bounded(star, groups, percent)), groups, docs, width, percent))
     links = known.where(F.col("shared") >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
-    labels = components(links)
+    labels = components(_by_document(links, groups))
 
     # What is left: entries outside their list's largest component, against the blocks of the list.
-    placed = index.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    placed = index.join(groups.select("sid", "rep"), "sid").join(labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("label", "rep")).drop("rep", "node")
     placed = store(placed.withColumns({"band": _band(F.col("n"), percent), "block": F.floor(F.col("pos") / BLOCK)}))
     parts = placed.groupBy("token", "label").agg(F.count("*").alias("k"))
     mixed = parts.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1").select("token", F.col("m.label").alias("main"))
@@ -236,8 +243,9 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         more = more.union(late.where(F.col("shared") >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b"))
     more = store(more)
     if not more.isEmpty():
-        labels = components(links.union(more))
+        labels = components(_by_document(links.union(more), groups))
 
-    held = rows.select("doc_id", "n", "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    least = held.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least_id"))
-    return held.join(least, "label", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least_id", "doc_id").alias("component_id"), F.col("sid").alias("set_id"))
+    # A set's component: the smallest document of any set with its label.
+    sets = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first"))
+    found = store(sets.join(groups.select("sid", "rep"), "sid", "left").join(labels, F.col("rep") == F.col("node"), "left").select("sid", F.coalesce("label", "first").alias("component")))
+    return rows.select("doc_id", "n", "sid").join(found, "sid", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), F.col("sid").alias("set_id"))
