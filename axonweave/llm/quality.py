@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from axonweave.llm._hashing import WHITE, distinct, hashed_prefixes, hashed_words, mix, slices, utf8
+from axonweave.llm._tables import store
 
 BITS = 20
 #: At most so many rated texts are fitted on.
@@ -62,15 +63,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _sums(at: np.ndarray, n: int, values: np.ndarray | None = None, of: np.ndarray | None = None) -> np.ndarray:
-    """Sums of values[of] (or counts) by place, a part of the entries at a time, so that no copy of all is made."""
-    total = np.zeros(n)
-    for k in range(0, len(at), 1 << 20):
-        part = slice(k, k + (1 << 20))
-        total += np.bincount(at[part], weights=None if values is None else values[of[part]], minlength=n)
-    return total
-
-
 class CumulativeLink:
     """Weights per feature, and one threshold fewer than grades."""
 
@@ -78,49 +70,42 @@ class CumulativeLink:
         self.weights, self.thresholds = weights, thresholds
 
     @classmethod
-    def fit(cls, columns: np.ndarray, counts: np.ndarray, grades: np.ndarray, n_grades: int, ridge: float = 0.1, least_z: float = 3.5, steps: int = 300) -> CumulativeLink:
-        """Penalised maximum likelihood by accelerated gradient steps under a diagonal bound of the curvature.
-
-        Only features whose score test exceeds least_z get weights: first against constant grades, then against
-        the fit so far.
-        """
-        n, rows, all_ = len(counts), np.repeat(np.arange(len(counts), dtype=np.int32), counts), 1 << BITS
+    def constant(cls, grades: np.ndarray, n_grades: int) -> CumulativeLink:
+        """The model that gives every text the shares of the grades."""
+        n = len(grades)
         share = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / max(n, 1), 0.5 / (n + 1), 1 - 0.5 / (n + 1))
-        theta = np.log(share / (1 - share)) + 1e-9 * np.arange(n_grades - 1)
-        top, bottom = grades < n_grades - 1, grades > 0
-
-        def ends(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """P(grade <= own) and P(grade < own); 1 - both is the slope of the loss in s."""
-            return _sigmoid(np.append(theta, np.inf)[grades] - s), _sigmoid(np.insert(theta, 0, -np.inf)[grades] - s)
-
-        seen = _sums(columns, all_)
-        weights, s = np.zeros(all_), np.zeros(n)
-        for _ in range(2):  # features that count once others are known come second
-            upper, lower = ends(s)
-            slopes = 1 - upper - lower
-            z = _sums(columns, all_, slopes, rows) / np.sqrt(np.maximum(seen * np.mean(slopes**2), 1e-12))
-            used = np.flatnonzero((seen >= LEAST_TEXTS) & (np.abs(z) >= least_z) | (weights != 0))
-            place = np.full(all_, -1, np.int32)
-            place[used] = np.arange(len(used))
-            kept = (place >= 0)[columns]
-            r, c = rows[kept], place[columns[kept]]
-            width = np.bincount(r, minlength=n) + 1.0
-            bound = 0.25 * np.bincount(c, weights=width[r], minlength=len(used)) + ridge
-            w = last = weights[used]
-            for t in range(steps):
-                look = w + t / (t + 3) * (w - last)
-                upper, lower = ends(np.bincount(r, weights=look[c], minlength=n))
-                last, w = w, look - (np.bincount(c, weights=(1 - upper - lower)[r], minlength=len(used)) + ridge * look) / bound
-                p = np.maximum(upper - lower, 1e-9)
-                slope, curve = np.zeros(n_grades - 1), np.full(n_grades - 1, 1.0)
-                for k in range(n_grades - 1):
-                    under, over = top & (grades == k), bottom & (grades == k + 1)
-                    slope[k] = np.sum((lower * (1 - lower) / p)[over]) - np.sum((upper * (1 - upper) / p)[under])
-                    curve[k] += np.sum((upper * (1 - upper))[under]) + np.sum((lower * (1 - lower))[over])
-                theta = np.maximum.accumulate(theta - np.clip(0.5 * slope / curve, -0.2, 0.2)) + 1e-9 * np.arange(n_grades - 1)
-            weights[used] = w
-            s = _sums(rows, n, weights, columns)
-        return cls(weights, theta)
+        return cls(np.zeros(1 << BITS), np.log(share / (1 - share)) + 1e-9 * np.arange(n_grades - 1))
+
+    def _ends(self, s: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """P(grade <= own) and P(grade < own) at scores s."""
+        return _sigmoid(np.append(self.thresholds, np.inf)[grades] - s), _sigmoid(np.insert(self.thresholds, 0, -np.inf)[grades] - s)
+
+    def slopes(self, s: np.ndarray, grades: np.ndarray) -> np.ndarray:
+        """The loss's slopes in the scores."""
+        upper, lower = self._ends(s, grades)
+        return 1 - upper - lower
+
+    def refine(self, rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, ridge: float = 0.1, steps: int = 300) -> np.ndarray:
+        """Penalised maximum likelihood over the features in columns (entries of texts in rows), by accelerated
+        gradient steps under a diagonal bound of the curvature. Returns the texts' scores."""
+        n, n_grades = len(grades), len(self.thresholds) + 1
+        used, c = np.unique(columns, return_inverse=True)
+        width = np.bincount(rows, minlength=n) + 1.0
+        bound = 0.25 * np.bincount(c, weights=width[rows], minlength=len(used)) + ridge
+        w = last = self.weights[used]
+        for t in range(steps):
+            look = w + t / (t + 3) * (w - last)
+            upper, lower = self._ends(np.bincount(rows, weights=look[c], minlength=n), grades)
+            last, w = w, look - (np.bincount(c, weights=(1 - upper - lower)[rows], minlength=len(used)) + ridge * look) / bound
+            p = np.maximum(upper - lower, 1e-9)
+            slope, curve = np.zeros(n_grades - 1), np.full(n_grades - 1, 1.0)
+            for k in range(n_grades - 1):
+                under, over = grades == k, grades == k + 1
+                slope[k] = np.sum((lower * (1 - lower) / p)[over]) - np.sum((upper * (1 - upper) / p)[under])
+                curve[k] += np.sum((upper * (1 - upper))[under]) + np.sum((lower * (1 - lower))[over])
+            self.thresholds = np.maximum.accumulate(self.thresholds - np.clip(0.5 * slope / curve, -0.2, 0.2)) + 1e-9 * np.arange(n_grades - 1)
+        self.weights[used] = w
+        return np.bincount(rows, weights=w[c], minlength=n)
 
     def predict(self, columns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Expected grade and probability of the best grade of each text."""
@@ -136,8 +121,13 @@ def _graded(labels: DataFrame) -> DataFrame:
     return rated.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min(F.col("quality").cast("int")) + 1 - F.max(F.col("toxic").cast("int"))).alias("grade"))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> CumulativeLink | None:
-    """Fit on at most sample rated documents, taken by the smallest hashes of their ids; None if there are none."""
+def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_z: float = 3.5) -> CumulativeLink | None:
+    """Fit on at most sample rated documents, taken by the smallest hashes of their ids; None if there are none.
+
+    A feature gets a weight if its score test exceeds least_z: first against constant grades, then against the fit
+    so far. The tests are aggregations over the sample's features in Spark; the driver sees the entries of tested
+    features only.
+    """
     chosen = _graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
@@ -147,12 +137,30 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Cum
                 columns, counts = features(batch.column("text"))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(columns.astype(np.int32)))], names=["doc_id", "grade", "columns"])
 
-    found = rows.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade int, columns array<int>").toArrow()
-    if not len(found):
+    table = store(rows.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade int, columns array<int>"))
+    rated = table.select("doc_id", "grade").toPandas().sort_values("doc_id")
+    if not len(rated):
         return None
-    found = found.take(pa.compute.sort_indices(found.column("doc_id"))).combine_chunks()
-    lists = found.column("columns").combine_chunks()
-    return CumulativeLink.fit(lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64), found.column("grade").to_numpy().astype(np.int64), 3)
+    grades = rated["grade"].to_numpy().astype(np.int64)
+    ids = rated["doc_id"].to_numpy()
+    entries = table.select("doc_id", F.explode("columns").alias("column"))
+    model = CumulativeLink.constant(grades, 3)
+    s = np.zeros(len(ids))
+    for _ in range(2):
+        slopes = model.slopes(s, grades)
+        by_doc = F.broadcast(docs.sparkSession.createDataFrame(pd.DataFrame({"doc_id": ids, "slope": slopes})))
+        tests = entries.join(by_doc, "doc_id").groupBy("column").agg(F.count("*").alias("n"), F.sum("slope").alias("t"))
+        z = F.abs(F.col("t")) / F.sqrt(F.col("n") * float(max(np.mean(slopes**2), 1e-12)))
+        known = np.flatnonzero(model.weights)
+        tested = tests.where((F.col("n") >= LEAST_TEXTS) & (z >= least_z)).select("column").toPandas()["column"].to_numpy()
+        wanted = np.zeros(1 << BITS, bool)
+        wanted[known] = wanted[tested] = True
+        if not wanted.any():
+            break
+        picked = F.broadcast(docs.sparkSession.createDataFrame(pd.DataFrame({"column": np.flatnonzero(wanted).astype(np.int32)})))
+        found = entries.join(picked, "column", "left_semi").toPandas().sort_values(["doc_id", "column"])
+        s = model.refine(np.searchsorted(ids, found["doc_id"].to_numpy()), found["column"].to_numpy(), grades)
+    return model
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
