@@ -27,7 +27,7 @@ _ODD = re.compile("[\x1c-\x1f]")
 _PUNCTUATION = "!-/:-@\\[-`{-~"
 #: Latin letters between punctuation: the tokenizer splits just there ("'s" and "<|" start other splits).
 _PLAIN = re.compile(f"([!-&(-/:;=-@\\[-`{{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]*)([{_PUNCTUATION}]*)")
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS = 800_000
 _JOIN = 500
 _tokenizers: dict[str, tuple] = {}
 
