@@ -21,7 +21,7 @@ from axonweave.llm._tables import store
 
 BITS = 20
 #: At most so many rated texts are fitted on.
-SAMPLE = 8192
+SAMPLE = 4096
 #: Features of fewer texts of the sample have no weight.
 LEAST_TEXTS = 3
 _BYTE = np.arange(256)
@@ -89,7 +89,10 @@ class CumulativeLink:
         """Penalised maximum likelihood over the features in columns (entries of texts in rows), by accelerated
         gradient steps under a diagonal bound of the curvature. Returns the texts' scores."""
         n, n_grades = len(grades), len(self.thresholds) + 1
-        used, c = np.unique(columns, return_inverse=True)
+        used = np.flatnonzero(np.bincount(columns, minlength=1 << BITS))
+        place = np.zeros(1 << BITS, np.int32)
+        place[used] = np.arange(len(used))
+        c = place[columns]
         width = np.bincount(rows, minlength=n) + 1.0
         bound = 0.25 * np.bincount(c, weights=width[rows], minlength=len(used)) + ridge
         w = last = self.weights[used]
@@ -121,6 +124,18 @@ def _graded(labels: DataFrame) -> DataFrame:
     return rated.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min(F.col("quality").cast("int")) + 1 - F.max(F.col("toxic").cast("int"))).alias("grade"))
 
 
+def _entries_of(table: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """doc_id and, as bytes of 32-bit numbers, those of its features that are wanted."""
+    shared = table.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = [x.values.to_numpy() for x in b.column("columns")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x[shared.value[x]].tobytes() for x in lists], pa.binary())], names=["doc_id", "columns"])
+
+    return table.select("doc_id", "columns").mapInArrow(run, "doc_id long, columns binary")
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_z: float = 3.5) -> CumulativeLink | None:
     """Fit on at most sample rated documents, taken by the smallest hashes of their ids; None if there are none.
 
@@ -157,9 +172,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_
         wanted[known] = wanted[tested] = True
         if not wanted.any():
             break
-        picked = F.broadcast(docs.sparkSession.createDataFrame(pd.DataFrame({"column": np.flatnonzero(wanted).astype(np.int32)})))
-        found = entries.join(picked, "column", "left_semi").toPandas().sort_values(["doc_id", "column"])
-        s = model.refine(np.searchsorted(ids, found["doc_id"].to_numpy()), found["column"].to_numpy(), grades)
+        found = sorted(_entries_of(table, wanted).collect(), key=lambda r: r.doc_id)
+        columns = np.frombuffer(b"".join(r.columns for r in found), np.int32)
+        s = model.refine(np.repeat(np.arange(len(ids), dtype=np.int32), [len(r.columns) // 4 for r in found]), columns, grades)
     return model
 
 
