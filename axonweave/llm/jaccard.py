@@ -207,8 +207,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     entries = store(_entries(docs, width, percent, sketch))
     several = entries.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("token")
     index = store(entries.join(several, "token").distinct())
-    groups = rows.where("doc_id is not null").join(index.select("sid").distinct(), "sid", "left_semi")
-    groups = store(groups.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("groups").alias("groups")))
+    groups = rows.where("doc_id is not null and sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("groups").alias("groups"))
+    groups = store(groups.join(index.select("sid").distinct(), "sid", "left_semi"))
 
     # Each set against the pivots of its lists.
     pivots = index.groupBy("token").agg(F.min(F.struct("pos", "n", "sid")).alias("p"))
