@@ -22,6 +22,10 @@ from axonweave.llm.pii import masked
 from axonweave.llm.quality import selected
 
 
+#: Near copies: words of a shingle, and the least share of shingles in common, of those in either text.
+WIDTH, PERCENT = 5, 80
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of the best grade is one half or more."""
     return selected(docs, read_table(spark, sf_dir, "labels"))
@@ -29,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component; rows without an id stay."""
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, width=WIDTH, percent=PERCENT)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)

@@ -47,3 +47,17 @@ def test_odd_rows(spark):
     for _, stage in cp.STAGES:
         assert stage(spark, docs, SF).count() >= 1
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_near_copies_of_five_words(spark, tmp_path):
+    def text(name, n, changed=()):
+        return " ".join(f"{name}x{i}" if i in changed else f"{name}{i}" for i in range(n))
+
+    texts = {1: text("a", 102), 2: text("a", 102, (30, 70)), 3: text("b", 1000), 4: text("b", 1000, range(25, 1000, 50)), 5: text("c", 100), 6: text("c", 115), 7: text("d", 60), 8: text("d", 60, (20, 40))}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], spark.read.parquet(f"{SF}/documents.parquet").schema)
+    assert sorted(r.doc_id for r in cp.near_copies(spark, docs, SF).collect()) == [1, 3, 5, 7, 8]
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = sorted(d for d, _, c in brute_components(rows, 5, 80) if d == c)
+    assert sorted(r.doc_id for r in cp.near_copies(spark, docs, SF).collect()) == want
