@@ -62,9 +62,13 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def numbered(df: DataFrame, order: list[str], first: int, column: str = "syn_id") -> DataFrame:
     """Ids from first on in the given order, over all rows: a range sort, counts per partition, and an offset for
-    each, so no task sees all rows."""
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    at = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    each, so no task sees all rows. The sorted rows are checkpointed with their places, as another range sort could deal
+    them otherwise."""
+    from axonweave.operators.graph import checkpointed  # graph imports this module
+
+    places = F.monotonically_increasing_id()  # the partition above 33 bits of the row's place in it
+    parts = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", places))
+    parts = parts.withColumns({"_p": F.shiftright("_m", 33), "_i": F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_m")
     sizes = parts.groupBy("_p").agg(F.count("*").alias("_c"))
     before = sizes.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_b"))  # a row per partition
-    return at.join(F.broadcast(before), "_p").withColumn(column, F.col("_b") + F.col("_i") - 1 + first).drop("_p", "_i", "_b")
+    return parts.join(F.broadcast(before), "_p").withColumn(column, F.col("_b") + F.col("_i") + first).drop("_p", "_i", "_b")
