@@ -2,9 +2,10 @@
 
 A page becomes blocks of text with the tag path from the root to the block. Per path, text outside links and
 punctuation are added up and divided by the number of blocks; both ratios are smoothed along the page, fused,
-and compared with a threshold of the page. Blocks of paths that pass name their containers, whose other blocks
-(headings, short lines) belong to the article too. Parts that are furniture by their element or by the words of
-their class, id or role never count.
+and compared with a threshold of the page. An article or main element is a weight in the fusion, by the share of
+the page's text it holds. Blocks of paths that pass name their containers, whose other blocks (headings, short
+lines) belong to the article too; paths of links alone do not. Parts that are furniture by their element or by
+the words of their class, id or role never count, but words do not reach an article or main element below them.
 """
 
 from __future__ import annotations
@@ -36,24 +37,29 @@ KEPT = frozenset("html body main article".split())
 _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
+_HEADING = re.compile("/h[1-6]$")
+#: Weight of an article or main element that holds all text of the page, beyond 1.
+ARTICLE = 24
 _WEIGHTS = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 #: What a start tag closes if it is open.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 
-def _furniture(tag: str, attributes: str, within: bool) -> bool:
+def _furniture(tag: str, attributes: str, within: int) -> int:
+    """0: none, 1: by a word of its class or id, 2: by its element, role or style."""
     if tag in FURNITURE or (tag == "header" and not within):
-        return True
+        return 2
     if not attributes or tag in KEPT:
-        return False
+        return 0
+    worded = 0
     for name, value in _NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         words = re.findall("[a-z]+", value)
         if name in ("class", "id") and (not WORDS.isdisjoint(words) or ("header" in words and not within)):
-            return True
+            worded = 1
         if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return 2
+    return worded
 
 
 class _Block:
@@ -64,10 +70,11 @@ class _Block:
 
 
 def blocks(page: str) -> list[tuple[str, str, int, bool, int]]:
-    """Text, tag path, container, whether in an article or main element, and linked characters, per block."""
+    """Text, tag path, container, whether an article or main element speaks for it, and linked characters, per block."""
     out: list[_Block] = []
-    #: open elements: name, path of blocks, container, furniture, within an article, under a link
-    stack: list[tuple[str, str, int, bool, bool, bool]] = [("", "", 0, False, False, False)]
+    #: open elements: name, path of blocks, container, furniture (as _furniture), within an article (1: one below
+    #: furniture by words, 2: another), under a link
+    stack: list[tuple[str, str, int, int, int, bool]] = [("", "", 0, 0, 0, False)]
     block: _Block | None = None
     at, n = 0, 0
 
@@ -79,7 +86,7 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, int]]:
         if block is None:
             if not part.strip():
                 return
-            block = _Block(path, container, within)
+            block = _Block(path, container, within == 2)
             out.append(block)
         block.parts.append(html.unescape(part) if "&" in part else part)
         if link:
@@ -129,7 +136,11 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, int]]:
         n += 1
         if tag not in INLINE:
             path = f"{path}/{tag}"
-        stack.append((tag, path, n if tag in CONTAINERS else container, skip or _furniture(tag, attributes, within), within or tag in ("article", "main"), link or tag == "a"))
+        skip = max(skip, _furniture(tag, attributes, within))
+        if tag in ("article", "main"):
+            within = 1 if skip == 1 else within or 2
+            skip = 0 if skip == 1 else skip
+        stack.append((tag, path, n if tag in CONTAINERS else container, skip, within, link or tag == "a"))
     joined = ((" ".join("".join(b.parts).split()), b) for b in out)
     return [(t, b.path, b.container, b.within, b.linked) for t, b in joined if t]
 
@@ -142,8 +153,6 @@ def main_text(page: str, share: float = 0.5) -> str:
     """The article of one page: chosen blocks in page order, one per line. share: the threshold's share of the
     page's mean fused ratio, weighted by text."""
     found = blocks(page)
-    if any(b[3] for b in found):
-        found = [b for b in found if b[3]]  # what an article or main element holds
     if not found:
         return ""
     paths, place = np.unique([b[1] for b in found], return_inverse=True)
@@ -152,13 +161,16 @@ def main_text(page: str, share: float = 0.5) -> str:
     count = np.bincount(place)
     by_length, by_marks = (np.bincount(place, weights=x) / count for x in (length, marks))
     fused = _smooth(by_length[place]) * (1 + _smooth(by_marks[place]))
+    inside = np.array([b[3] for b in found])
+    if length.sum():
+        fused = fused * np.where(inside, 1 + ARTICLE * length[inside].sum() / length.sum(), 1)
     threshold = share * np.average(fused, weights=length) if length.sum() else 0.0
     good = fused >= threshold
     by_path = np.bincount(place, weights=np.where(good, length, 0)) >= 0.5 * np.bincount(place, weights=length)
-    chosen = good | by_path[place] & (length > 0)
-    within = found[0][3]
+    textual = (by_length[place] > 0) | np.array([bool(_HEADING.search(b[1])) for b in found]) | (not length.sum())
+    chosen = (good | by_path[place] & (length > 0)) & textual
     containers = {b[2] for b, c in zip(found, chosen) if c}
-    return "\n".join(b[0] for b, c in zip(found, chosen) if c or within or b[2] in containers)
+    return "\n".join(b[0] for b, c, t in zip(found, chosen, textual) if c or t and b[2] in containers)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -48,3 +48,22 @@ def test_null_and_empty(spark):
     pages = spark.createDataFrame([(1, None, None, 3), (1, None, None, 3), (2, "u", "", 4)], "page_id long, url string, html string, text int")
     assert sorted(map(tuple, extract(pages).collect()), key=str) == [(1, None, "", 0), (1, None, "", 0), (2, "u", "", 0)]
     assert extract(pages.limit(0)).collect() == []
+
+
+LONG = [f"Paragraph {i} has many words, commas, and more; it goes on and on, for as long as the reader likes, and then ends." for i in range(6)]
+BODY = "".join(f"<p>{x}</p>" for x in LONG)
+
+
+@pytest.mark.parametrize("page, want", [
+    # against an article: it holds teasers, the text is in a div
+    (f"<body><div><h1>T</h1>{BODY}</div><article><h3>Next</h3><p>Read this too.</p></article></body>", ["T", *LONG]),
+    # within an article: an unnamed advert and a link list
+    (f"<article><h1>T</h1>{BODY}<div>Buy now</div>{BODY}<ul><li><a href='1'>One</a></li><li><a href='2'>Two</a></li></ul></article>", ["T", *LONG, *LONG]),
+    # a class word above an article
+    (f"<div class='layout has-sidebar'><article>{BODY}</article></div>", LONG),
+    (f"<div class='layout has-sidebar'><main>{BODY}<div class='sidebar'>x</div></main></div>", LONG),
+    (f"<article>{BODY}</article><div class='comments'><article><p>Nice, thanks.</p></article></div>", LONG),
+    (f"<nav><article>{BODY}</article></nav><p>Left, over.</p>", ["Left, over."]),
+])
+def test_ratios_decide(page, want):
+    assert main_text(page) == "\n".join(want)
