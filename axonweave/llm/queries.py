@@ -35,7 +35,7 @@ def op3_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_scores(read_table(spark, sf_dir, "documents"))
+    return backoff_scores(read_table(spark, sf_dir, "documents"), order=3, least=1)
 
 
 def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,3 +39,11 @@ def test_against_brute_force(spark, monkeypatch, order, chunk):
 
 def test_empty(spark):
     assert lm.backoff_scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_registered_query_counts_three_words_and_single_occurrences(spark):
+    from axonweave.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    assert sorted(map(tuple, QUERIES["op4_stupid_backoff"](spark, folder).collect()), key=str) == brute(rows, 3, least=1)
