@@ -105,9 +105,9 @@ def read_roi_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_roi_tree(spark: SparkSession, path: str, depth: int = 8) -> DataFrame:
-    """name, parent, level of a nested JSON tree of names and children, depth levels at most."""
+    """name, parent, level of a nested JSON tree of names and children; one with more than depth levels is an error."""
     kind = "STRUCT<name: STRING>"
-    for _ in range(depth - 1):
+    for _ in range(depth):  # a level more, to see whether the last one has children
         kind = f"STRUCT<name: STRING, children: ARRAY<{kind}>>"
     level = spark.read.schema(kind.removeprefix("STRUCT<").removesuffix(">").replace("name: STRING, children: ", "name STRING, children ", 1)).option("multiLine", True).json(path)
     out, parent = None, F.lit(None).cast("string")
@@ -117,6 +117,8 @@ def read_roi_tree(spark: SparkSession, path: str, depth: int = 8) -> DataFrame:
         if k < depth - 1:
             level = level.select(F.col("name").alias("_parent"), F.inline("children"))
             parent = F.col("_parent")
+    if not level.where(F.size("children") > 0).isEmpty():
+        raise ValueError(f"{path} has more than {depth} levels of regions")
     return out.where("name IS NOT NULL")
 
 
