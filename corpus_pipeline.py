@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from axonweave.llm._tables import read_table, shared_dir
+from axonweave.llm._tables import read_table, shared_dir, store
 from axonweave.llm.decontamination import contamination
 from axonweave.llm.jaccard import jaccard_components
 from axonweave.llm.packing import pack_documents
@@ -27,32 +27,66 @@ WIDTH, PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of the best grade is one half or more."""
+    """Documents whose probability of the best grade is one half or more, by labels(doc_id, quality, toxic).
+
+    Each row is judged by its own text, so rows that share a doc_id are judged one by one and repeated rows share
+    their fate. A null text counts as empty and is scored so; texts are read whole. Without usable labels all rows
+    stay. Columns beyond those of documents go along; an empty table stays empty.
+    """
     return selected(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component; rows without an id stay."""
-    found = jaccard_components(docs, width=WIDTH, percent=PERCENT)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One document of each group of near copies: the one with the smallest doc_id (null last), then the smallest
+    hash of the whole row.
+
+    Nodes are texts, not ids: two texts under one doc_id are two nodes, and rows without a doc_id are compared like
+    all others. Rows that repeat in every column are one document. Texts that are null or have no word are copies
+    of nothing, so all of them stay. Columns beyond those of documents go along; an empty table stays empty.
+    """
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.select("*", F.xxhash64("text").alias("_text"), F.xxhash64(*docs.columns).alias("_row")).where(worded)
+    links = jaccard_components(keyed.select(F.col("_text").alias("doc_id"), "text"), width=WIDTH, percent=PERCENT)
+    groups = links.select(F.col("doc_id").alias("_text"), F.col("component_id").alias("_group")).distinct()
+    # Copies are counted before the join, so a text that a third of all rows share is one row in it.
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c"))
+    first = keyed.groupBy("_text").agg(F.min(order).alias("m")).join(groups, "_text").groupBy("_group").agg(F.min("m").alias("m")).select(F.col("m.c").alias("_row"))
+    times = keyed.groupBy("_row").agg(F.count("*").alias("_times")).join(first, "_row", "left_semi")
+    kept = keyed.join(store(times), "_row")
+    once = kept.where("_times = 1").unionByName(kept.where("_times > 1").dropDuplicates(["_row"]))
+    return once.select(*docs.columns).unionByName(docs.where(~worded))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark items."""
-    bad = contamination(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Documents whose text is not contaminated by items of benchmark(item_id, text).
+
+    The decision is the text's, whatever its doc_id: a contaminated text without an id goes, and a clean text that
+    shares an id with a contaminated one stays. Null and empty texts have no words and stay; repeated rows share
+    their fate; texts are read whole. Columns beyond those of documents go along; an empty table stays empty.
+    """
+    keyed = docs.withColumn("_text", F.xxhash64("text"))
+    judged = contamination(keyed.select(F.col("_text").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
+    bad = judged.where("contaminated").select(F.col("doc_id").alias("_text")).distinct()
+    return keyed.join(bad, "_text", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data masked; n_chars follows the text."""
+    """All documents, with personal data masked; n_chars follows the text.
+
+    Rows are matched to their findings by doc_id (null too) and text, so rows that share an id keep their own
+    texts, and repeated rows stay as often as they occur. A null text stays null with its n_chars. Columns beyond
+    those of documents go along; an empty table stays empty.
+    """
     hidden = masked(docs)
     return hidden.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in sequences of at most 2048 tokens."""
+    """Pieces of all documents with their places in sequences of at most 2048 tokens.
+
+    A null text is empty and has the end token alone; a null doc_id is kept as null; repeated rows are packed as
+    often as they occur; other columns do not go along. An empty table has no pieces.
+    """
     return pack_documents(docs)
 
 
