@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from test_decontamination import brute as brute_contamination
 from test_jaccard import brute as brute_components
@@ -15,7 +17,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert kept.columns == columns and 0 < kept.count() < docs.count()
 
     rows = [(r.doc_id, r.text) for r in kept.collect()]
-    want = {d for d, _, c in brute_components(rows) if d == c}
+    want = {d for d, _, c in brute_components(rows, cp.WIDTH, cp.PERCENT) if d == c}
     first = cp.near_copies(spark, kept, SF)
     first.write.parquet(str(tmp_path / "1"))
     first = spark.read.parquet(str(tmp_path / "1"))
@@ -49,6 +51,27 @@ def test_odd_rows(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_exact_rows_with_odd_ids(spark):
+    """Rows without id, two texts under one id, repeated rows, null texts, and a column more."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").orderBy("item_id").first().text
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    rows = [
+        (1, words("a", 40)), (1, words("b", 40)), (None, words("a", 40)), (None, words("c", 40)), (None, words("c", 40)), (7, words("c", 40)), (9, words("d", 40)), (9, words("d", 40)),
+        (2, None), (3, None), (4, " "), (5, item), (None, item + " end"), (5, words("e", 40)),
+    ]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema).withColumn("_row_no", F.lit(1)).withColumn("component_id", F.lit("x"))
+    show = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+    first = cp.near_copies(spark, docs, SF)
+    assert first.columns == docs.columns
+    assert show(first) == sorted([(1, words("a", 40)), (1, words("b", 40)), (7, words("c", 40)), (9, words("d", 40)), (2, None), (3, None), (4, " "), (5, item), (5, words("e", 40))], key=str)
+    clean = cp.decontamination(spark, docs, SF)
+    assert clean.columns == docs.columns and show(clean) == sorted([r for r in rows if item not in (r[1] or "")], key=str)
+    assert show(cp.personal_data(spark, docs, SF)) == sorted([(d, t) for d, t in rows if item not in (t or "")] + show(cp.personal_data(spark, docs.where(docs.text.contains(item)), SF)), key=str)
+    assert sorted((r.doc_id for r in cp.packing(spark, docs, SF).collect()), key=str) == sorted((d for d, _ in rows), key=str)
+
+
 def test_near_copies_of_five_words(spark, tmp_path):
     def text(name, n, changed=()):
         return " ".join(f"{name}x{i}" if i in changed else f"{name}{i}" for i in range(n))
