@@ -1,8 +1,8 @@
 """Operator 7, secret scans: base patterns, and strings whose characters are too evenly spread.
 
-Beyond the base patterns, candidate strings are read by a sliding window per character class. The window's
-Shannon entropy comes from counts that change by one character in and one out; windows above the class's
-threshold make a span, unless the allow list knows the string.
+Beyond the base patterns, candidate strings are read by a sliding window. The window's Shannon entropy and its
+counts per character class change by one character in and one out; windows that reach the threshold of their
+classes make a span, unless the allow list knows the string. All steps are linear in the text's length.
 """
 
 from __future__ import annotations
@@ -10,7 +10,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,39 +24,66 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 HINTS = ("passw", "secret", "token", "apikey", "api_key")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 WINDOW = 20
-#: Character classes, with the bits per character that a window of random characters reaches and words do not.
-CLASSES = ((re.compile(r"[0-9A-F]{20,}"), 3.1), (re.compile(r"[A-Za-z0-9]{20,}"), 3.75), (re.compile(r"[A-Za-z0-9+/]{20,}"), 3.75), (re.compile(r"[A-Za-z0-9_-]{20,}"), 3.75))
-#: Strings that are no secrets however they are spread.
+#: Bits per character from which a window is hot, by the characters in it. Set between what strings of words reach
+#: and what random strings of the class do (figures in the README); windows without letters are never hot.
+HEX_BITS, ONE_CASE_BITS, MIXED_LETTERS_BITS, DIGITS_ONE_CASE_BITS, OTHER_BITS = 3.05, 3.6, 3.7, 3.5, 3.75
+#: Strings that are no secrets however they are spread. No pattern backtracks: what may follow a part differs from it.
 ALLOWED = tuple(
     re.compile(p)
     for p in (
-        r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # a universally unique id
-        r"[^0-9]*|[^a-z]*[^A-Za-z][^a-z]*(?<![0-9A-F])|[0-9+/=_-]*",  # without digits, or digits alone
-        r"(?i).*(example|sample|dummy|placeholder|changeme|abcdefgh|01234567|12345678).*",
-        r"([A-Za-z]+[_/-])+[A-Za-z]+[0-9]{0,4}|[A-Za-z]+[0-9]{1,4}([_/-][A-Za-z]+)*",  # names and paths
+        r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # a universally unique id
+        r"[A-Za-z]+(?:[_/-][A-Za-z]+)+[0-9]{0,4}|[A-Za-z]+[0-9]{1,4}(?:[_/-][A-Za-z]+)*",  # names and paths
+        r"[A-Z]?[a-z]{2,}(?:[A-Z]{1,3}[a-z]{2,})+[0-9]{0,4}",  # names in camel case
     )
 )
+#: Words that show a string to be made up.
+MADE_UP = ("example", "sample", "dummy", "placeholder", "changeme", "abcdefgh", "01234567", "12345678")
 
+_VALUE = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+#: A character's place among the counts per class: digit, A-F, other capital, a-f, other small letter, sign.
+_CLASS = {c: k for k, cs in enumerate(("0123456789", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "abcdef", "ghijklmnopqrstuvwxyz", "+/_-=")) for c in cs}
 
-def hot_windows(text: str, window: int, least: float) -> Iterator[tuple[int, int]]:
-    """Unions of the windows with entropy of least bits or more. Sum of c * log2 c is kept up by single steps."""
-    value = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
-    counts: dict[str, int] = {}
-    total, first, last = 0.0, None, None
+
+def allowed(text: str) -> bool:
+    low = text.lower()
+    return any(w in low for w in MADE_UP) or any(p.fullmatch(text) for p in ALLOWED)
+
+
+def threshold(classes: list[int]) -> float:
+    """The bits from which a window with these counts per class is hot."""
+    digits, hex_upper, upper, hex_lower, lower, signs = classes
+    big, small = hex_upper + upper, hex_lower + lower
+    if not big + small:
+        return math.inf
+    if digits and not signs and not upper + lower and (not hex_upper or not hex_lower):
+        return HEX_BITS
+    one_case = big <= 1 or not small
+    if not digits and not signs:
+        return ONE_CASE_BITS if one_case else MIXED_LETTERS_BITS
+    return DIGITS_ONE_CASE_BITS if one_case and not signs else OTHER_BITS
+
+
+def hot_windows(text: str) -> Iterator[tuple[int, int]]:
+    """Unions of the windows whose entropy reaches the threshold of their classes. The sum of c * log2 c over the
+    window's characters and the counts per class are kept up by one step in and one step out."""
+    counts: dict[str, int] = dict.fromkeys(text, 0)
+    classes = [0] * 6
+    total, first, last = 0.0, None, 0
     for i, c in enumerate(text):
-        k = counts.get(c, 0)
-        total += value[k + 1] - value[k] if k < window else 0
-        counts[c] = k + 1
-        if i >= window:
-            old = text[i - window]
+        if i >= WINDOW:
+            old = text[i - WINDOW]
             k = counts[old]
-            if k <= window:
-                total -= value[k] - value[k - 1]
+            total -= _VALUE[k] - _VALUE[k - 1]
             counts[old] = k - 1
-        if i >= window - 1 and math.log2(window) - total / window >= least:
-            start = i - window + 1
+            classes[_CLASS[old]] -= 1
+        k = counts[c]
+        total += _VALUE[k + 1] - _VALUE[k]
+        counts[c] = k + 1
+        classes[_CLASS[c]] += 1
+        if i >= WINDOW - 1 and math.log2(WINDOW) - total / WINDOW >= threshold(classes) - 1e-9:
+            start = i - WINDOW + 1
             if first is not None and start > last:
                 yield first, last
                 first = None
@@ -77,21 +106,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans beyond base; they overlap neither base spans nor each other."""
     out: list[tuple[int, int, int]] = []
+    starts = [s for s, _, _ in base]
+    ends = list(accumulate((e for _, _, e in base), max))  # the furthest end of all base spans that start so early
     for m in CANDIDATE.finditer(text):
-        if any(p.fullmatch(m[0]) for p in ALLOWED):
+        if allowed(m[0]):
             continue
-        found = sorted((r.start() + a, r.start() + b) for pattern, least in CLASSES for r in pattern.finditer(m[0]) for a, b in hot_windows(r[0], WINDOW, least))
-        end = -1
-        for a, b in found:
+        for a, b in hot_windows(m[0]):
             a, b = a + m.start(), b + m.start()
-            part = text[a:b]
-            if any(p.fullmatch(part) for p in ALLOWED) or any(s < b and a < e for s, _, e in base):
-                continue
-            if a < end:
-                out[-1] = (out[-1][0], 3, max(end, b))
-            else:
+            before = bisect_left(starts, b)
+            if not (before and ends[before - 1] > a) and not allowed(text[a:b]):
                 out.append((a, 3, b))
-            end = max(end, b)
     return out
 
 
@@ -103,8 +127,9 @@ def scan(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_assign, n_access, n_hex, base_sha256, spans; a row for each row of docs.
 
     Null text is empty. spans are kind:start:end by start, then kind, comma-joined; places count code points
-    from 0 and ends are exclusive. Spans of kind entropy never overlap base spans. Repeated rows get equal
-    results; other columns are ignored.
+    from 0 and ends are exclusive. Spans of kind entropy never overlap base spans; of spans that start at one place
+    the kind listed first comes first. Texts are read whole, in time in proportion to their length. Repeated rows
+    get equal results; other columns are ignored; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,14 @@
 import hashlib
+import math
+import random
 import re
+import string
+import time
+from collections import Counter
 
-from axonweave.llm.secrets import base_spans, entropy_spans, hot_windows, scan
+import pytest
+
+from axonweave.llm.secrets import WINDOW, allowed, base_spans, entropy_spans, hot_windows, scan
 
 PATTERNS = [("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), ("access", r"AKIA[A-Z0-9]+"), ("hex", r"[0-9a-f]+")]
 
@@ -38,14 +45,85 @@ def test_base_on_table(spark):
     assert all(got[d.doc_id] == hashlib.sha256(brute(d.text).encode()).hexdigest() for d in docs.collect())
 
 
+def found_in(text):
+    return entropy_spans(text, base_spans(text))
+
+
 def test_entropy_counts_and_allow_list():
-    import math
-    from collections import Counter
-
-    text = "aaaaaaaaaabcdefghij0123456789zzzzzzzzzz"
-    slow = [i for i in range(len(text) - 19) if -sum(c / 20 * math.log2(c / 20) for c in Counter(text[i : i + 20]).values()) >= 3.75]
-    assert list(hot_windows(text, 20, 3.75)) == [(slow[0], slow[-1] + 20)]
-    find = lambda t: entropy_spans(t, base_spans(t))
-    assert find("key zX9qLm2Vb7Tn4Rk8Wp3Yc6Hd1 end") == [(4, 3, 29)]
-    assert find("id 123e4567-e89b-12d3-a456-426614174000 thentionatinghereandthere internationalization_of_words_2024") == []
-    assert find("exampleKey9qLm2Vb7Tn4Rk8Wp3Yc6") == []
+    text = "zzzzzzzzzzabcdefghijKLMN0123456789zzzzzzzzzzzzzzzzzzzzQZ7TXK29MWPLRV84NHYCB6zzzz"
+    slow = [i for i in range(len(text) - WINDOW + 1) if entropy(text[i : i + WINDOW]) >= limit(text[i : i + WINDOW]) - 1e-9]
+    assert slow and {k for a, b in hot_windows(text) for k in range(a, b)} == {k for i in slow for k in range(i, i + WINDOW)}
+    assert found_in("key zX9qLm2Vb7Tn4Rk8Wp3Yc6Hd1 end") == [(4, 3, 29)]
+    for secret in ("QZ7TXK29MWPLRV84NHYCB63D", "QZ7TXK29MWPLRV84NHYCB63Z", "qLmVbTnRkWpYcHdJxZsFgA"):
+        (a, _, b), = found_in(f"x {secret} y")
+        assert 2 <= a and b <= 2 + len(secret) and b - a >= WINDOW
+    assert found_in("id 123e4567-e89b-12d3-a456-426614174000 thentionatinghereandthere internationalization_of_words_2024") == []
+    assert found_in("exampleKey9qLm2Vb7Tn4Rk8Wp3Yc6 getUserAccountInformationFromBackup 12345678901234567890123 src/main/java/org/thing/Reader") == []
+
+
+def entropy(s):
+    return -sum(c / len(s) * math.log2(c / len(s)) for c in Counter(s).values())
+
+
+def limit(s):
+    """The threshold by sets of characters, as the README states it."""
+    digits, letters, signs = any(c.isdigit() for c in s), [c for c in s if c.isalpha()], any(c in "+/_-=" for c in s)
+    big = sum(c.isupper() for c in letters)
+    if not letters:
+        return math.inf
+    if digits and not signs and (set(letters) <= set("ABCDEF") or set(letters) <= set("abcdef")):
+        return 3.05
+    one = big <= 1 or big == len(letters)
+    if not digits and not signs:
+        return 3.6 if one else 3.7
+    return 3.5 if one and not signs else 3.75
+
+
+def test_entropy_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice(rng.choice(["ABCDEF0123456789", "abcdefghij", string.ascii_letters, string.digits + "+/_-", "ab "])) for _ in range(rng.choice([19, 20, 45, 130])))
+        want = set()
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text):
+            want |= {k for i in range(m.start(), m.end() - WINDOW + 1) if entropy(text[i : i + WINDOW]) >= limit(text[i : i + WINDOW]) - 1e-9 for k in range(i, i + WINDOW)}
+        base = base_spans(text)
+        got = {k for a, _, b in found_in(text) for k in range(a, b)}
+        assert got <= want
+        if not base and not any(allowed(m[0]) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text)):
+            assert want - got == set() or any(allowed(text[a:b]) for a, b in hot_windows_of(text))
+
+
+def hot_windows_of(text):
+    return [(m.start() + a, m.start() + b) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text) for a, b in hot_windows(m[0])]
+
+
+def test_planted_secrets_are_found_and_words_are_not(spark):
+    """Random strings of every class, put between words of the documents: share found, and what else is found."""
+    rng = random.Random(11)
+    letters, digits = string.ascii_lowercase, string.digits
+    kinds = {"mixed": string.ascii_letters + digits, "letters": string.ascii_letters, "small": letters, "capitals": letters.upper(), "small and digits": letters + digits, "capitals and digits": letters.upper() + digits, "HEX": "0123456789ABCDEF", "base64": string.ascii_letters + digits + "+/", "url": string.ascii_letters + digits + "_-"}
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect() if r.text]
+    rows, planted = [], {}
+    for n, (d, t) in enumerate(docs):
+        kind = list(kinds)[n % len(kinds)]
+        secret = "".join(rng.choice(kinds[kind]) for _ in range(rng.randint(24, 48)))
+        at = t.rfind(" ", 0, rng.randint(0, len(t))) + 1
+        rows.append((d, f"{t[:at]}{secret} {t[at:]}"))
+        planted[d] = (kind, at, at + len(secret))
+    found = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("entropy")] for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    caught, total, wrong = Counter(), Counter(), 0
+    for d, (kind, a, b) in planted.items():
+        over = [s for s in found[d] if s[0] < b and a < s[1]]
+        total[kind] += 1
+        caught[kind] += sum(min(e, b) - max(s, a) for s, e in over) >= 0.5 * (b - a)
+        wrong += len(found[d]) - len(over)
+    print({k: round(caught[k] / total[k], 3) for k in total}, caught.total() / total.total(), wrong)
+    assert caught.total() >= 0.95 * total.total() and all(caught[k] >= 0.9 * total[k] for k in total)
+    assert wrong <= 0.01 * total.total()
+
+
+@pytest.mark.parametrize("text", ["0123456789ABCDEF" * 60_000, "a-" * 400_000, "aB" * 400_000, "Ab1" * 300_000, "token=abcdef1 " * 60_000, "qLmVbTnRkWpYcHdJxZsFgA " * 40_000])
+def test_linear_time(text):
+    began = time.time()
+    found_in(text)
+    assert time.time() - began < 20
