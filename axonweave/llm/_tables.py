@@ -26,6 +26,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def store_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """store, with rows of equal key in one bucket: groupings and joins by key do not shuffle the table again."""
+    spark = df.sparkSession
+    name = f"axonweave_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", f"{shared_dir(spark)}/axonweave/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def store(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors,
     and keeps later steps from computing it again. The folder may be emptied when the job is over."""

@@ -4,7 +4,8 @@ Texts are encoded in chunks: a chunk holds its distinct n-grams of each order (6
 counts within the chunk. Those explode into count tables that are partitioned by hash, one row per chunk and
 hash bucket; a bucket sums the counts of all chunks and hands each chunk its n-grams' totals. Chunks are joined
 to these totals, and the scores of their n-grams are summed per text. An n-gram that stands in a third of all
-texts is still one entry per chunk, so no bucket is hot.
+texts is still one entry per chunk, so no bucket is hot. Chunks are written once, bucketed by their id, so the
+join does not move them again.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from axonweave.llm._hashing import hashed_words, joined, packed, slices, squeezed, unpacked, unsqueezed
-from axonweave.llm._tables import store
+from axonweave.llm._tables import store_bucketed
 
 #: Words of a chunk, about; and n-grams of a bucket, about.
 CHUNK_WORDS = 1_000_000
@@ -88,7 +89,6 @@ def _parts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _entries(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
     """A row per chunk, order and bucket that has n-grams: their sorted hashes and counts."""
-    edges = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,8 +96,9 @@ def _entries(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
                 stream, lengths, vocabulary = _parts(row)
                 out = []
                 for n, (hashes, _, counts) in enumerate(_grams(stream, lengths, vocabulary, order), 1):
-                    cuts = [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
-                    out += [(row["chunk"], n, b, packed(hashes[i:j]), squeezed(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+                    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # in the order of hashes
+                    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(hashes)]
+                    out += [(row["chunk"], n, int(bucket[i]), packed(hashes[i:j]), squeezed(counts[i:j])) for i, j in zip(cuts, cuts[1:]) if j > i]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "n", "bucket", "hashes", "counts"])
 
@@ -117,21 +118,30 @@ def _log(x: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(x, 1))
 
 
-def backoff_scores(docs: DataFrame, order: int = 2, least: int = 2, alpha: float = 0.4) -> DataFrame:
+def _own(owner: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How often the n-gram that ends at each word occurs in that word's text."""
+    _, place, times = np.unique((owner << 32) + ends, return_inverse=True, return_counts=True)
+    return times[place]
+
+
+def backoff_scores(docs: DataFrame, order: int = 3, least: int = 1, alpha: float = 0.4, apart: bool = True) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_words, n_seen, score; a row for each row of docs.
 
-    Words are runs of characters other than space and \\t to \\r, A-Z lower-cased. A word's score is log10 of
-    c(its n-gram) / c(the n-gram without it), from the highest order at which the n-gram occurs least times or
-    more in all texts; each step down costs log10(alpha); at one word it is c(word) / all words. A text's first
+    Words are runs of characters other than space and \\t to \\r, A-Z lower-cased. Counts c are over all texts; with
+    apart, over all texts but the one that is scored, as a text that counts itself never backs off. A word's score
+    is log10 of c(its n-gram) / c(the n-gram without it), from the highest order at which the n-gram occurs least
+    times or more; each step down costs log10(alpha); at one word it is c(word), or 1, / all words. A text's first
     words have shorter n-grams and no cost for that. score is the sum over the text's words in millionths, each
-    rounded (half up); n_seen counts the words that were scored at the highest order they could have.
-    Null and empty texts have 0 words and score 0. Repeated rows count as often as they occur; other columns
-    are ignored; an empty table gives no rows. n-grams are told apart by 64-bit hashes.
+    rounded (half up); n_seen counts the words whose longest n-gram occurs least times or more.
+    Null and empty texts have 0 words and score 0. Repeated rows are texts of their own and count for each other;
+    texts of any length are read whole; other columns are ignored; an empty table gives no rows. n-grams are told
+    apart by 64-bit hashes.
     """
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    chunks = store(_encoded(texts))
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = store_bucketed(_encoded(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))), "chunk", parts)
     words = chunks.agg(F.sum("words")).first()[0] or 0
-    buckets = max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-words * (order - 1) // BUCKET_GRAMS))
+    buckets = max(parts, -(-words * order // BUCKET_GRAMS))
     entries = _entries(chunks, order, buckets)
     totals = entries.groupBy("bucket", "n").applyInPandas(_totals, "chunk long, n int, bucket int, totals binary")
     cost = float(np.log10(alpha))
@@ -140,18 +150,22 @@ def backoff_scores(docs: DataFrame, order: int = 2, least: int = 2, alpha: float
         row = chunk.iloc[0]
         stream, lengths, vocabulary = _parts(row)
         found = found.sort_values(["n", "bucket"])
-        grams = _grams(stream, lengths, vocabulary, order)
-        counts = [np.concatenate([np.zeros(0), *(unsqueezed(b) for b in found.loc[found["n"] == n, "totals"])]) for n in range(1, order + 1)]
-        # counts of the n-gram that ends at each word, by order
-        ended = [np.where(g[1] >= 0, c[np.maximum(g[1], 0)] if len(c) else 0, 0) for g, c in zip(grams, counts)]
-        value = _log(ended[0]) - np.log10(max(words, 1))
-        reach = np.ones(len(stream), np.int64)
-        for n in range(2, order + 1):
-            can = grams[n - 1][1] >= 0
-            before = np.concatenate([np.ones(min(1, len(stream))), ended[n - 2][:-1]])
-            seen = can & (ended[n - 1] >= least)
-            value = np.where(seen, _log(ended[n - 1]) - _log(before), value + np.where(can, cost, 0))
-            reach = np.where(can, np.where(seen, 1, 0), reach)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        rest = words - (lengths.astype(np.int64)[owner] if apart else 0)
+        value, reach, before = np.zeros(len(stream)), np.zeros(len(stream), np.int64), None
+        for n, (_, ends, _) in enumerate(_grams(stream, lengths, vocabulary, order), 1):
+            counts = np.concatenate([np.zeros(0), *(unsqueezed(b) for b in found.loc[found["n"] == n, "totals"])])
+            can = ends >= 0
+            count = np.where(can, counts[np.maximum(ends, 0)] if len(counts) else 0, 0)
+            if apart:
+                count = np.where(can, count - _own(owner, ends), 0)
+            seen = can & (count >= least)
+            if n == 1:
+                value = _log(count) - _log(rest)
+            else:
+                value = np.where(seen, _log(count) - _log(before), value + np.where(can, cost, 0))
+            reach = np.where(can, seen, reach)
+            before = np.concatenate([np.ones(min(1, len(stream))), count[:-1]])  # of the n-gram that ends a word earlier
         units = np.floor(value * UNIT + 0.5).astype(np.int64)
         edge = np.concatenate([[0], np.cumsum(lengths)])
 
@@ -159,6 +173,6 @@ def backoff_scores(docs: DataFrame, order: int = 2, least: int = 2, alpha: float
             return np.diff(np.concatenate([[0], np.cumsum(x)])[edge])
 
         ids = pd.arrays.IntegerArray(np.frombuffer(row["docs"], np.int64).copy(), np.frombuffer(row["unnamed"], bool).copy())
-        return pd.DataFrame({"doc_id": ids, "n_words": lengths.astype(np.int64), "n_seen": sums(reach), "score": sums(units)})
+        return pd.DataFrame({"doc_id": ids, "n_words": lengths.astype(np.int64), "n_seen": sums(reach.astype(np.int64)), "score": sums(units)})
 
     return chunks.select("chunk", "docs", "unnamed", "lengths", "stream", "vocabulary").groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInPandas(score, "doc_id long, n_words long, n_seen long, score long")

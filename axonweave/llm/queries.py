@@ -35,7 +35,7 @@ def op3_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_scores(read_table(spark, sf_dir, "documents"), order=3, least=1)
+    return backoff_scores(read_table(spark, sf_dir, "documents"))
 
 
 def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,21 +91,23 @@ ORACLE_SQL: dict[str, str] = {
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op4_stupid_backoff": rf"""
-        WITH d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-        t AS (SELECT doc_id, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
-        c1 AS (SELECT b, count(*) AS c FROM t GROUP BY b),
-        c2 AS (SELECT a, b, count(*) AS c FROM t WHERE i > 1 GROUP BY a, b),
-        s AS (
-            SELECT doc_id, i, coalesce(c2.c, 0) >= 2 AS seen, u.c AS cb, v.c AS ca, c2.c AS cab
-            FROM t JOIN c1 u ON u.b = t.b LEFT JOIN c1 v ON v.b = t.a LEFT JOIN c2 ON c2.a = t.a AND c2.b = t.b),
-        v AS (
-            SELECT doc_id, i = 1 OR seen AS top, CASE WHEN seen THEN log10(cab) - log10(ca)
-                ELSE log10(cb) - log10((SELECT count(*) FROM t)) + CASE WHEN i > 1 THEN log10(0.4) ELSE 0 END END AS x FROM s),
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        t AS (
+            SELECT r, i, len(w) AS n, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS a
+            FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        o AS (
+            SELECT r, i, n, count(*) OVER (PARTITION BY c) - count(*) OVER (PARTITION BY r, c) AS o1,
+                CASE WHEN i > 1 THEN count(*) OVER (PARTITION BY b, c) - count(*) OVER (PARTITION BY r, b, c) ELSE 0 END AS o2,
+                CASE WHEN i > 2 THEN count(*) OVER (PARTITION BY a, b, c) - count(*) OVER (PARTITION BY r, a, b, c) ELSE 0 END AS o3 FROM t),
+        x AS (SELECT *, lag(o1) OVER w AS p1, lag(o2) OVER w AS p2 FROM o WINDOW w AS (PARTITION BY r ORDER BY i)),
+        v1 AS (SELECT *, log10(greatest(o1, 1)) - log10(greatest((SELECT count(*) FROM t) - n, 1)) AS v FROM x),
+        v2 AS (SELECT * REPLACE (CASE WHEN o2 >= 1 THEN log10(o2) - log10(p1) WHEN i > 1 THEN v + log10(0.4) ELSE v END AS v) FROM v1),
+        v3 AS (SELECT * REPLACE (CASE WHEN o3 >= 1 THEN log10(o3) - log10(p2) WHEN i > 2 THEN v + log10(0.4) ELSE v END AS v) FROM v2),
         sums AS (
-            SELECT doc_id, CAST(count_if(top) AS BIGINT) AS n_seen, CAST(sum(CAST(floor(x * 1000000 + 0.5) AS BIGINT)) AS BIGINT) AS score
-            FROM v GROUP BY doc_id)
+            SELECT r, CAST(count_if(CASE WHEN i > 2 THEN o3 WHEN i > 1 THEN o2 ELSE o1 END >= 1) AS BIGINT) AS n_seen,
+                CAST(sum(CAST(floor(v * 1000000 + 0.5) AS BIGINT)) AS BIGINT) AS score FROM v3 GROUP BY r)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_seen, 0) AS n_seen, coalesce(score, 0) AS score
-        FROM d LEFT JOIN sums USING (doc_id)""",
+        FROM d LEFT JOIN sums USING (r)""",
     "op5_jaccard_components": rf"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
