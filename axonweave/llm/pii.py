@@ -25,9 +25,11 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _WORD = r"[^\x20\x09-\x0D]"
-#: Strings between white space that hold three digits in a row, or an at sign.
-_CANDIDATE = rf"(?<!{_WORD}){_WORD}*?(?:[0-9]{{3}}|@){_WORD}*+"
-_NEAR = 64
+#: Numbers in groups that single spaces part, four numbers that signs part, else strings between white space with
+#: three digits in a row or an at sign. No start within a string is tried again.
+_CANDIDATE = rf"(?<!{_WORD})(?:(?:\(?[0-9][0-9().-]*+(?:\x20\(?[0-9][0-9().-]*+)++|[0-9]++(?:[.,:-][0-9]++){{3}})[.,;:!?]*+(?!{_WORD})|{_WORD}*?(?:[0-9]{{3}}|@){_WORD}*+)"
+#: Sent to every task if there are no more of them.
+BROADCAST_ROWS = 100_000
 SPAN = "array<struct<kind:string,start:int,end:int,value:string,left:string,right:string>>"
 
 
@@ -39,8 +41,8 @@ def _spans(text: Column, hits: Column, pattern: str, kind: str) -> Column:
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["before"])
-        left = F.lower(F.regexp_extract(F.right(x["before"], F.lit(_NEAR)), rf"({_WORD}+)[\x20\x09-\x0D]*$", 1))
-        right = F.lower(F.regexp_extract(F.left(x["after"], F.lit(_NEAR)), rf"^[\x20\x09-\x0D]*({_WORD}+)", 1))
+        left = F.lower(F.regexp_extract(x["before"], rf"(?<!{_WORD})({_WORD}++)[\x20\x09-\x0D]*+$", 1))
+        right = F.lower(F.regexp_extract(x["after"], rf"^[\x20\x09-\x0D]*+({_WORD}++)", 1))
         end = start + F.length(x["hit"])
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["hit"].alias("value"), left.alias("left"), right.alias("right"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
@@ -92,17 +94,18 @@ def _fits(kind: str) -> Column:
     return {
         "email": F.contains(value, F.lit("@")) & (digits < 12),
         "ip": value.rlike(r"^[0-9]{1,3}([.:,-][0-9]{1,3}){3}$"),
-        "card": digits.between(12, 19) & value.rlike(r"^[0-9-]+$"),
-        "phone": digits.between(7, 15) & value.rlike(r"^[0-9().-]+$"),
+        "card": digits.between(12, 19) & value.rlike(r"^[0-9\x20-]+$"),
+        "phone": digits.between(7, 15) & value.rlike(r"^[0-9()\x20.-]+$"),
     }[kind]
 
 
-def discovered(spans: DataFrame, rounds: int = 3, support: int = 3, threshold: float = 0.7) -> DataFrame:
+def discovered(spans: DataFrame, support: int = 3, threshold: float = 0.7, doubt: float = 1.0) -> DataFrame:
     """Identifiers beyond the base patterns: doc_id, text_key and the array of spans added.
 
-    A pattern counts from support known strings on; its score is known / all strings of a fitting form beside it.
-    A string's score is 1 - product(1 - score) over its patterns. Patterns and strings under threshold are
-    not used.
+    A pattern counts from support known strings on; its score is known / (all + doubt) over the strings of a fitting
+    form beside it, so that few strings prove less than many. A string's score is 1 - product(1 - score) over its
+    patterns. Patterns and strings under threshold are not used. Rounds go on until one finds nothing; what is
+    known only grows, so they end.
     """
     trim = F.regexp_extract("value", r"^([^0-9A-Za-z(]*+)(.*?)[^0-9A-Za-z)]*+$", 2)
     lead = F.length(F.regexp_extract("value", r"^([^0-9A-Za-z(]*+)", 1))
@@ -112,9 +115,11 @@ def discovered(spans: DataFrame, rounds: int = 3, support: int = 3, threshold: f
     mentions = store(base.withColumn("known", F.lit(True)).unionByName(other.withColumn("known", F.lit(False))))
     contexts = F.explode(F.array(F.concat(F.lit("l "), "left"), F.concat(F.lit("r "), "right"), F.concat_ws(" ", F.lit("b"), "left", "right")))
     edges = store(mentions.where("left <> '' or right <> ''").select("kind", "value", "known", contexts.alias("pattern")).groupBy("kind", "value", "pattern").agg(F.max("known").alias("known")))
-    for _ in range(rounds):
-        scores = edges.groupBy("kind", "pattern").agg(F.count_if("known").alias("k"), F.count("*").alias("n")).where(F.col("k") >= support).withColumn("score", F.col("k") / F.col("n")).where(F.col("score") >= threshold)
-        rest = edges.where(~F.col("known")).join(scores.select("kind", "pattern", "score"), ["kind", "pattern"])
+    while True:
+        scores = edges.groupBy("kind", "pattern").agg(F.count_if("known").alias("k"), F.count("*").alias("n")).where(f"k >= {support} AND k < n").withColumn("score", F.col("k") / (F.col("n") + doubt))
+        scores = store(scores.where(F.col("score") >= threshold).select("kind", "pattern", "score"))
+        scores = F.broadcast(scores) if scores.count() <= BROADCAST_ROWS else scores
+        rest = edges.where(~F.col("known")).join(scores, ["kind", "pattern"])
         strings = rest.groupBy("kind", "value").agg((1 - F.exp(F.sum(F.log(1 - F.col("score") + 1e-12)))).alias("score")).where(F.col("score") >= threshold)
         new = store(strings.select("kind", "value", F.lit(True).alias("new")))
         if new.isEmpty():
@@ -137,8 +142,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, base and added spans, of each row of docs(doc_id, text).
 
     Null text is empty. Places count code points from 0, ends are exclusive. Strings that the context finds have
-    kinds context_email and so on and never overlap base spans. Repeated rows get equal results; other columns
-    are ignored; an empty table gives no rows.
+    kinds context_email and so on and never overlap base spans; spans that start at one place are listed by kind.
+    Texts and the words beside a span are read whole. Repeated rows get equal results; other columns are ignored;
+    an empty table gives no rows.
     """
     spans = store(found_spans(docs))
     added = discovered(spans).withColumnsRenamed({"doc_id": "d", "text_key": "t"})
@@ -153,7 +159,12 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame) -> DataFrame:
-    """docs with every span replaced by its kind in brackets; overlapping spans become one."""
+    """docs with every span replaced by its kind in brackets; overlapping spans become one, by the kind that starts
+    first (then the one that ends first).
+
+    Rows are matched to their findings by doc_id (null too) and text. A null text stays null; repeated rows stay as
+    often as they occur; all columns stay, whatever their names; texts are read whole; an empty table stays empty.
+    """
     found = personal_data(docs).select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("s"))
     found = found.where(F.size("s") > 0).distinct()
     text = F.col("row.text").cast("string")

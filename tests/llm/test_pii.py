@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+from collections import Counter
 
 from axonweave.llm.pii import KINDS, digest, masked, personal_data
 
@@ -62,6 +64,56 @@ def test_context_finds_unseen(spark):
     assert got[9].spans == "" and got[10].spans == ""
 
 
+def test_rounds_go_on_until_nothing_is_found(spark):
+    """The strings of each step stand beside the word of the step before, and a few beside their own."""
+    texts = [f"w0 +1 (2{i:03}) 555-12{i:02} e{i}" for i in range(200)]
+    for step, n in enumerate((80, 30, 11, 3), 1):
+        for word in (step - 1, step):
+            texts += [f"w{word} {step}55-00{i:02} s{step}x{word}x{i}" for i in range(n)]
+    got = rows(spark, texts)
+    assert all("context_phone" in got[i].spans for i in range(200, len(texts)))
+
+
+def test_contexts_are_read_whole(spark):
+    gap, long = " " * 500, "k" * 300
+    texts = [f"{long}{gap}+1 (2{i:02}) 555-12{i:02}{gap}{i}end" for i in range(8)] + [f"{long}{gap}020 555 00{gap}x", f"{'j' * 200 + long}{gap}020 555 01{gap}y"]
+    got = rows(spark, texts)
+    assert got[8].spans == f"context_phone:{len(long + gap)}:{len(long + gap) + 10}" and got[9].spans == ""
+
+
+def test_planted_contexts_recall_and_precision(spark):
+    """Identifiers that no base pattern takes, beside words that stand beside others that do, put into documents."""
+    rng = random.Random(4)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        d = "4" + digits(14)
+        return next(d + str(x) for x in range(10) if luhn(d + str(x)))
+
+    def bad_card():
+        d = card()
+        return d[:-1] + str((int(d[-1]) + 3) % 10)
+
+    known = {"email": ("write to", lambda: f"n{digits(3)}@mail.example.com", "for"), "ip": ("server at", lambda: f"10.{rng.randint(0, 255)}.3.{rng.randint(0, 255)}", "answers"), "card": ("charged card", card, "expiring"), "phone": ("call me under", lambda: f"+1 (0{digits(2)}) 555-{digits(4)}", "tonight")}
+    unseen = {"email": lambda: f"n{digits(4)}@localhost", "ip": lambda: f"10,{rng.randint(0, 255)},3,{rng.randint(0, 255)}", "card": bad_card, "phone": lambda: f"0{digits(2)} {digits(3)} {digits(4)}"}
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect() if r.text]
+    texts, planted = [], {}
+    for n, (d, t) in enumerate(docs):
+        kind = KINDS[n % 4]
+        before, make, after = known[kind]
+        value = unseen[kind]() if n % 5 == 0 else make()
+        at = t.rfind(" ", 0, rng.randint(0, len(t))) + 1
+        texts.append((d, f"{t[:at]}{before} {value} {after} {t[at:]}"))
+        if n % 5 == 0:
+            planted[d] = (kind, at + len(before) + 1, at + len(before) + 1 + len(value))
+    found = {r.doc_id: [(s.split(":")[0], *map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("context")] for r in digest(personal_data(spark.createDataFrame(texts, "doc_id long, text string"))).collect()}
+    caught = Counter(k for d, (k, a, b) in planted.items() if (f"context_{k}", a, b) in found[d])
+    total = Counter(k for k, _, _ in planted.values())
+    every = sum(map(len, found.values()))
+    print({k: round(caught[k] / total[k], 3) for k in total}, caught.total() / total.total(), "of what is found:", caught.total() / max(every, 1))
+    assert all(caught[k] >= 0.9 * total[k] for k in total) and caught.total() >= 0.9 * every
+
+
 def test_masked(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co or +1 (017) 555-7713.", 3), (2, None, 4), (3, "none", 5), (3, "none", 5)], "doc_id long, text string, s int")
     assert sorted(map(tuple, masked(docs).collect())) == [(1, "mail [EMAIL] or [PHONE].", 3), (2, None, 4), (3, "none", 5), (3, "none", 5)]
