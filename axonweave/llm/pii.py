@@ -36,7 +36,10 @@ SPAN = "array<struct<kind:string,start:int,end:int,value:string,left:string,righ
 def _spans(text: Column, hits: Column, pattern: str, kind: str) -> Column:
     """hits' places in text, found by adding up the lengths of what lies between and of the hits."""
     between = F.split(text, pattern, -1)
-    rows = F.transform(hits, lambda h, i: F.struct(F.get(between, i).alias("before"), h.alias("hit"), F.get(between, i + 1).alias("after")))
+    # arrays are zipped, not indexed: an expression within a function of elements is computed for each of them
+    rows = F.zip_with(hits, between, lambda h, b: F.struct(b.alias("before"), h.alias("hit")))
+    rows = F.zip_with(rows, F.slice(between, 2, F.greatest(F.size(between) - 1, F.lit(0))), lambda r, a: F.struct(r["before"], r["hit"], a.alias("after")))
+    rows = F.filter(rows, lambda r: r["hit"].isNotNull())
     none = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
     def add(acc: Column, x: Column) -> Column:
