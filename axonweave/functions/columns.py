@@ -119,28 +119,40 @@ def _zero(v: Column, field: str) -> Column:
     return F.coalesce(v[field], F.lit(0).cast("long"))
 
 
-def roi_merge(a: Column, b: Column) -> Column:
-    return F.map_zip_with(a, b, lambda k, x, y: F.struct((_zero(x, "pre") + _zero(y, "pre")).alias("pre"), (_zero(x, "post") + _zero(y, "post")).alias("post")))
+COUNTS, COUNTS_HP = ("pre", "post"), ("pre", "post", "preHP", "postHP")
 
 
-def roi_subtract(a: Column, b: Column) -> Column:
-    """a less b; regions whose counts both become 0 go."""
-    left = F.map_zip_with(a, b, lambda k, x, y: F.struct((_zero(x, "pre") - _zero(y, "pre")).alias("pre"), (_zero(x, "post") - _zero(y, "post")).alias("post")))
-    return F.map_filter(left, lambda k, v: (v["pre"] > 0) | (v["post"] > 0))
+def roi_merge(a: Column, b: Column, fields: Sequence[str] = COUNTS) -> Column:
+    """Sums by region; with COUNTS_HP of all four counts."""
+    return F.map_zip_with(a, b, lambda k, x, y: F.struct(*((_zero(x, f) + _zero(y, f)).alias(f) for f in fields)))
 
 
-def one_synapse(rois: Column, type_: Column) -> Column:
-    """What a single synapse adds to its body's region counts."""
-    value = F.struct(F.when(type_ == "pre", 1).otherwise(0).cast("long").alias("pre"), F.when(type_ == "post", 1).otherwise(0).cast("long").alias("post"))
-    return F.map_from_entries(F.transform(rois, lambda r: F.struct(r.alias("key"), value.alias("value"))))
+def roi_subtract(a: Column, b: Column, fields: Sequence[str] = COUNTS) -> Column:
+    """a less b; regions whose pre and post both become 0 go."""
+    left = F.map_zip_with(a, b, lambda k, x, y: F.struct(*((_zero(x, f) - _zero(y, f)).alias(f) for f in fields)))
+    return F.map_filter(left, lambda k, v: (v["pre"] != 0) | (v["post"] != 0))
 
 
-def roi_add(info: Column, rois: Column, type_: Column) -> Column:
-    return roi_merge(info, one_synapse(rois, type_))
+def one_synapse(rois: Column, type_: Column, high: Column | None = None) -> Column:
+    """What a single synapse adds to its body's region counts; with high, also to those of sure synapses."""
+    n = lambda on: F.when(on, 1).otherwise(0).cast("long")
+    counts = [n(type_ == "pre").alias("pre"), n(type_ == "post").alias("post")]
+    if high is not None:
+        counts += [n((type_ == "pre") & high).alias("preHP"), n((type_ == "post") & high).alias("postHP")]
+    return F.map_from_entries(F.transform(rois, lambda r: F.struct(r.alias("key"), F.struct(*counts).alias("value"))))
 
 
-def roi_remove(info: Column, rois: Column, type_: Column) -> Column:
-    return roi_subtract(info, one_synapse(rois, type_))
+def roi_add(info: Column, rois: Column, type_: Column, high: Column | None = None) -> Column:
+    return roi_merge(info, one_synapse(rois, type_, high), COUNTS if high is None else COUNTS_HP)
+
+
+def roi_remove(info: Column, rois: Column, type_: Column, high: Column | None = None) -> Column:
+    return roi_subtract(info, one_synapse(rois, type_, high), COUNTS if high is None else COUNTS_HP)
+
+
+def body_rois(roi_info: Column) -> Column:
+    """The regions of a body, sorted."""
+    return F.array_sort(F.map_keys(roi_info))
 
 
 def composite_id(*parts: Column) -> Column:

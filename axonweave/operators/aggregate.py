@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from axonweave.functions.columns import half_up, is_high, synapse_type
+from axonweave.functions.columns import COUNTS_HP, half_up, is_high, roi_subtract, synapse_type
 from axonweave.operators.rank import top_partners, top_roi
 from axonweave.schemas import HP_RULES, WEIGHT_MODES
 
@@ -185,6 +185,17 @@ def merge_properties(bodies: DataFrame, merges: DataFrame, sums: tuple[str, ...]
     return rows.groupBy(F.col("target").alias("body_id")).agg(*out)
 
 
+def subtract_connections(conns: DataFrame, part: DataFrame) -> DataFrame:
+    """conns less part, by pair: weight, weight_hp and roi_info (with all four counts). Pairs whose weight becomes 0
+    go."""
+    gone = part.select(*PAIR, F.col("weight").alias("_w"), F.col("weight_hp").alias("_h"), F.col("roi_info").alias("_r"))
+    rows = conns.join(gone, PAIR, "left")
+    none = F.create_map().cast(dict(conns.dtypes)["roi_info"])
+    less = lambda a, b: (F.col(a) - F.coalesce(b, F.lit(0))).alias(a)
+    left = rows.select(*PAIR, less("weight", "_w"), less("weight_hp", "_h"), roi_subtract(F.coalesce("roi_info", none), F.coalesce("_r", none), COUNTS_HP).alias("roi_info"))
+    return left.where("weight > 0")
+
+
 def skeleton_stats(skel: DataFrame) -> DataFrame:
     """body_id, nodes, roots, max_degree (links of the best linked node)."""
     children = skel.where("parent_row <> -1").groupBy("body_id", F.col("parent_row").alias("row_no")).agg(F.count("*").alias("c"))

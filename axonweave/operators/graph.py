@@ -6,6 +6,7 @@ Iterations keep their state as DataFrames and cut the lineage each round with ch
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +19,18 @@ from axonweave.operators.rank import nearest_skel_node
 MAX_ROUNDS = 10_000
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared checkpoint folder that the session names. In local mode an unset
-    folder is a temporary one."""
-    spark: SparkSession = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names. In local mode an unset one is a temporary folder."""
     if not spark.sparkContext.getCheckpointDir():
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -58,7 +63,8 @@ def shortest_paths(conns: DataFrame, pairs: DataFrame, max_hops: int = MAX_ROUND
     """pairs(source, target) -> source, target, distance, path (array of bodies): every tied shortest path.
 
     Paths are rebuilt backwards over arcs that lie on shortest paths; arcs of weight 0 are walked at most once per
-    path. Pairs without a path, and sources as their own targets, give no row.
+    path. Pairs without a path, and sources as their own targets, give no row. A path of more than max_hops links
+    is an error.
     """
     best, arcs = shortest_distances(conns, pairs, **options)
     wanted = pairs.select("source", "target").where("source <> target").distinct()
@@ -73,11 +79,8 @@ def shortest_paths(conns: DataFrame, pairs: DataFrame, max_hops: int = MAX_ROUND
         done.append(walk.where("at = source").select("source", "target", "distance", "path"))
         walk = walk.where("at <> source")
         if walk.isEmpty():
-            break
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+            return reduce(DataFrame.unionByName, done)
+    raise RuntimeError(f"paths of more than {max_hops} links")
 
 
 def skeleton_links(skel: DataFrame) -> DataFrame:
@@ -151,8 +154,9 @@ def bodies_in_roi(bodies: DataFrame, by_roi: DataFrame, roi: str, roi_threshold:
     return bodies.where(F.col("pre") + F.col("post") > threshold).join(some, "body_id", "left_semi").select("body_id")
 
 
-def line_graph_roi(edges: DataFrame, bodies: DataFrame, by_roi: DataFrame, roi: str, roi_threshold: int = 0, threshold: int = 0) -> tuple[DataFrame, DataFrame]:
-    return line_graph(edges, bodies_in_roi(bodies, by_roi, roi, roi_threshold, threshold), threshold)
+def line_graph_roi(edges: DataFrame, bodies: DataFrame, by_roi: DataFrame, roi: str, roi_threshold: int = 0, threshold: int = 0, vertex_threshold: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The line graphs of the bodies with more than threshold synapses, more than roi_threshold of them in the region."""
+    return line_graph(edges, bodies_in_roi(bodies, by_roi, roi, roi_threshold, threshold), vertex_threshold)
 
 
 __all__ = ["cable_distance", "centroid", "centroids_and_skeleton", "line_graph", "line_graph_roi", "roots", "shortest_distances", "shortest_paths", "skeleton_links"]

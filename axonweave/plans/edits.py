@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from axonweave.operators.aggregate import merge_properties
 from axonweave.operators.graph import checkpointed
 from axonweave.plans.load import Graph
 
@@ -32,53 +32,116 @@ def new_edits(edits: DataFrame, applied: DataFrame | None) -> DataFrame:
     return edits.where("mutation_key IS NULL").unionByName(keyed.join(first, ["mutation_key", "seq"], "left_semi"))
 
 
-def _there(events: DataFrame, state: DataFrame, key: str, ask: DataFrame) -> DataFrame:
-    """The rows of ask (key, seq) whose key exists just before their seq, by state and by events(_k, _s, _on)."""
-    met = ask.join(events, (F.col(key) == F.col("_k")) & (F.col("_s") < F.col("seq")), "left").groupBy(*ask.columns).agg(F.max_by("_on", "_s").alias("_on"))
-    base = state.select(F.col(key).alias("_b")).distinct()
-    return met.join(base, F.col(key) == F.col("_b"), "left").where(F.coalesce("_on", F.col("_b").isNotNull())).select(*ask.columns)
+def _event(edits: DataFrame, kind: str, key, value) -> DataFrame:
+    return edits.where(F.col("kind") == kind).select(key.alias("key"), "seq", value.alias("value"))
 
 
-def _event(edits: DataFrame, kind: str, key, on: bool) -> DataFrame:
-    return edits.where(F.col("kind") == kind).select(key.alias("_k"), F.col("seq").alias("_s"), F.lit(on).alias("_on"))
+def _before(events: DataFrame, state: DataFrame, asks: DataFrame) -> DataFrame:
+    """asks(key, seq, ...) with value: that of the key's last event(key, seq, value) before seq, else that of
+    state(key, value). One sort per key, no pairs of events and asks."""
+    rest = [c for c in asks.columns if c not in ("key", "seq")]
+    rows = asks.select("key", "seq", F.struct(*rest, F.lit(True).alias("_ask")).alias("ask")).unionByName(events.select("key", "seq", F.struct("value").alias("event")), allowMissingColumns=True)
+    earlier = Window.partitionBy("key").orderBy("seq").rangeBetween(Window.unboundedPreceding, -1)
+    met = rows.withColumn("last", F.last("event", ignorenulls=True).over(earlier)).where("ask IS NOT NULL").select("key", "seq", *(F.col(f"ask.{c}") for c in rest), "last")
+    known = state.join(asks.select("key").distinct(), "key", "left_semi").withColumnRenamed("value", "base")
+    return met.join(known, "key", "left").withColumn("value", F.when(F.col("last").isNotNull(), F.col("last.value")).otherwise(F.col("base"))).drop("last", "base")
+
+
+def _asks(edits: DataFrame, *kinds: str, key: str | None = None, many: str | None = None) -> DataFrame:
+    rows = edits.where(F.col("kind").isin(*kinds))
+    return rows.select(F.explode(many).alias("key") if many else F.col(key).alias("key"), "seq").distinct()
+
+
+def _faults(graph: Graph, edits: DataFrame, events: DataFrame) -> DataFrame:
+    """seq and reason of the edits that do not hold if those in events are the ones that count before them."""
+    first, syn, body = F.get("bodies", F.lit(0)), F.col("syn_id"), F.col("body_id")
+    no = F.lit(None).cast("string")
+    synapses = _event(events, "add_synapse", syn, F.col("type")).union(_event(events, "delete_synapse", syn, no))
+    merged = events.where("kind = 'merge'").select(F.explode(F.slice("bodies", F.lit(2), F.greatest(F.size("bodies") - 1, F.lit(0)))).alias("key"), "seq", no.alias("value"))
+    yes = F.lit("there")
+    bodies = _event(events, "add_neuron", body, yes).union(_event(events, "delete_neuron", body, no)).union(_event(events, "split", first, yes)).union(merged)
+    known_synapses, known_bodies = graph["synapse"].select(F.col("syn_id").alias("key"), F.col("type").alias("value")), graph["body"].select(F.col("body_id").alias("key"), yes.alias("value"))
+    reason = lambda rows, why: rows.select("seq", F.lit(why).alias("reason"))
+
+    malformed = "(kind = 'split' AND (coalesce(size(bodies), 0) < 1 OR coalesce(size(synapses), 0) < 1)) OR (kind = 'merge' AND coalesce(size(bodies), 0) < 2) OR (kind = 'add_synapse' AND coalesce(type, '') NOT IN ('pre', 'post'))"
+    bad = reason(edits.where(malformed), "malformed")
+    wanted = _asks(edits, "add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", key="syn_id").withColumn("type", no)
+    wanted = wanted.unionByName(_asks(edits, "add_neuron", many="synapses").withColumn("type", no))
+    wanted = wanted.unionByName(_asks(edits, "add_link", key="syn_id").withColumn("type", F.lit("pre"))).unionByName(_asks(edits, "add_link", key="post_id").withColumn("type", F.lit("post")))
+    found = _before(synapses, known_synapses, wanted)
+    bad = bad.union(reason(found.where("value IS NULL"), "unknown synapse")).union(reason(found.where("value <> type"), "wrong type of synapse"))
+    bad = bad.union(reason(_before(synapses, known_synapses, _asks(edits, "add_synapse", key="syn_id")).where("value IS NOT NULL"), "synapse exists"))
+
+    # a place is taken by a synapse that is there: of the table, or added before
+    here = edits.where("kind = 'add_synapse' AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL").select("x", "y", "z", F.col("seq").alias("at"), F.col("syn_id").alias("own"))
+    added = events.where("kind = 'add_synapse'").select("x", "y", "z", F.col("syn_id").alias("key"), F.col("seq").alias("since"))
+    at_place = here.join(graph["synapse"].select("x", "y", "z", F.col("syn_id").alias("key")), ["x", "y", "z"]).select("key", F.col("at").alias("seq"), "own")
+    at_place = at_place.union(here.join(added, ["x", "y", "z"]).where("since < at").select("key", F.col("at").alias("seq"), "own")).where("key <> own").distinct()
+    bad = bad.union(reason(_before(synapses, known_synapses, at_place).where("value IS NOT NULL"), "place is taken"))
+
+    on_body = ("update_properties", "set_properties", "delete_property", "add_synapse_to_segment", "add_skeleton", "delete_neuron", "split")
+    there = _before(bodies, known_bodies, _asks(edits, *on_body, key="body_id").union(_asks(edits, "merge", many="bodies")))
+    bad = bad.union(reason(there.where("value IS NULL"), "unknown body"))
+    bad = bad.union(reason(_before(bodies, known_bodies, _asks(edits, "add_neuron", key="body_id").union(edits.where("kind = 'split'").select(first.alias("key"), "seq"))).where("value IS NOT NULL"), "body exists"))
+
+    free = _asks(edits, "add_neuron", many="synapses").union(_asks(edits, "add_link", key="syn_id")).union(_asks(edits, "add_link", key="post_id")).distinct()
+    parts = edits.where("kind = 'split'").select(F.explode("synapses").alias("key"), "seq", F.col("body_id").alias("of"))
+    owners = _owned_before(graph, events, free.withColumn("of", F.lit(None).cast("long")).unionByName(parts).distinct())
+    bad = bad.union(reason(owners.where("of IS NULL AND owner IS NOT NULL"), "synapse has an owner"))
+    bad = bad.union(reason(owners.where("of IS NOT NULL AND NOT owner <=> of"), "synapse is not the body's"))
+    return bad.groupBy("seq").agg(F.min("reason").alias("reason"))
 
 
 def checked(graph: Graph, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edits that hold at their seq, and the rejected ones with a reason.
 
-    What an edit adds or removes counts for later edits even if it is itself rejected for another reason.
+    Only edits that hold count for later ones: the check is made again without those that it rejected until nothing
+    changes. An edit is settled once all edits that it depends on are, so rounds are as many as the longest chain
+    of edits that decide about one another.
     """
-    first, syn, body = F.get("bodies", F.lit(0)), F.col("syn_id"), F.col("body_id")
-    synapses = _event(edits, "add_synapse", syn, True).union(_event(edits, "delete_synapse", syn, False))
-    merged = edits.where("kind = 'merge'").select(F.explode(F.slice("bodies", F.lit(2), F.greatest(F.size("bodies") - 1, F.lit(0)))).alias("_k"), F.col("seq").alias("_s"), F.lit(False).alias("_on"))
-    bodies = _event(edits, "add_neuron", body, True).union(_event(edits, "delete_neuron", body, False)).union(_event(edits, "split", first, True)).union(merged)
-    on_body = ("update_properties", "set_properties", "delete_property", "add_synapse_to_segment", "add_skeleton", "delete_neuron", "split")
-    asks = [
-        ("unknown synapse", ("add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", "add_link"), "syn_id", graph["synapse"], synapses, True),
-        ("synapse exists", ("add_synapse",), "syn_id", graph["synapse"], synapses, False),
-        ("unknown body", on_body, "body_id", graph["body"], bodies, True),
-        ("body exists", ("add_neuron",), "body_id", graph["body"], bodies, False),
-    ]
-    bad = edits.where("(kind = 'split' AND (size(bodies) < 1 OR size(synapses) < 1)) OR (kind = 'merge' AND size(bodies) < 2) OR (kind = 'add_synapse' AND coalesce(type, '') NOT IN ('pre', 'post'))").select("seq", F.lit("malformed").alias("reason"))
-    for why, kinds, key, state, events, wanted in asks:
-        ask = edits.where(F.col("kind").isin(*kinds)).select(key, "seq").distinct()
-        there = _there(events, state, key, ask)
-        bad = bad.union((ask.join(there, "seq", "left_anti") if wanted else there).select("seq", F.lit(why).alias("reason")))
-    reasons = bad.groupBy("seq").agg(F.min("reason").alias("reason"))
-    return edits.join(reasons, "seq", "left_anti"), edits.join(reasons, "seq")
+    bad = checkpointed(_faults(graph, edits, edits))
+    while not bad.isEmpty():
+        again = checkpointed(_faults(graph, edits, edits.join(bad.select("seq"), "seq", "left_anti")))
+        settled = again.exceptAll(bad).isEmpty() and bad.exceptAll(again).isEmpty()
+        bad = again
+        if settled:
+            break
+    return edits.join(bad, "seq", "left_anti"), edits.join(bad, "seq")
+
+
+def _owner_events(edits: DataFrame) -> DataFrame:
+    """key (a synapse), seq and value (the body that it belongs to from then on, or null)."""
+    syn, none = F.col("syn_id"), F.lit(None).cast("long")
+    own = _event(edits, "add_synapse_to_segment", syn, F.col("body_id")).union(_event(edits, "orphan_synapse", syn, none)).union(_event(edits, "delete_synapse", syn, none))
+    return own.union(_event(edits, "add_neuron", F.explode("synapses"), F.col("body_id"))).union(_event(edits, "split", F.explode("synapses"), F.get("bodies", F.lit(0))))
+
+
+def _moves(edits: DataFrame) -> DataFrame:
+    """old, at, next: what becomes of a body's synapses by merges and deletions."""
+    merged = edits.where("kind = 'merge'").select(F.explode("bodies").alias("old"), F.col("seq").alias("at"), F.get("bodies", F.lit(0)).alias("next")).where("old <> next")
+    gone = edits.where("kind = 'delete_neuron'").select(F.col("body_id").alias("old"), F.col("seq").alias("at"), F.lit(None).cast("long").alias("next"))
+    return merged.unionByName(gone)
+
+
+def _owned_before(graph: Graph, edits: DataFrame, asks: DataFrame) -> DataFrame:
+    """asks(key, seq, of) with the owner of the synapse just before seq."""
+    base = graph["membership"].select(F.col("syn_id").alias("key"), F.struct(F.col("body_id").alias("owner"), F.lit(-1).cast("long").alias("since")).alias("value"))
+    events = _owner_events(edits).select("key", "seq", F.struct(F.col("value").alias("owner"), F.col("seq").alias("since")).alias("value"))
+    at = checkpointed(_before(events, base, asks).select("key", "seq", "of", "value.owner", "value.since"))
+    moves = checkpointed(_moves(edits))
+    while True:
+        step = at.where("owner IS NOT NULL").join(moves, (F.col("owner") == F.col("old")) & (F.col("at") > F.col("since")) & (F.col("at") < F.col("seq"))).groupBy("key", "seq").agg(F.min_by(F.struct("at", "next"), "at").alias("m"))
+        if step.isEmpty():
+            return at
+        at = checkpointed(at.join(step, ["key", "seq"], "left").select("key", "seq", "of", F.when(F.col("m").isNotNull(), F.col("m.next")).otherwise(F.col("owner")).alias("owner"), F.coalesce("m.at", "since").alias("since")))
 
 
 def _owners(graph: Graph, edits: DataFrame) -> DataFrame:
     """membership after the edits."""
-    own = edits.where("kind = 'add_synapse_to_segment'").select("syn_id", "seq", F.col("body_id").alias("owner"))
-    none = edits.where("kind IN ('orphan_synapse', 'delete_synapse')").select("syn_id", "seq", F.lit(None).cast("long").alias("owner"))
-    many = edits.where("kind = 'add_neuron'").select(F.explode("synapses").alias("syn_id"), "seq", F.col("body_id").alias("owner"))
-    cut = edits.where("kind = 'split'").select(F.explode("synapses").alias("syn_id"), "seq", F.get("bodies", F.lit(0)).alias("owner"))
+    changes = _owner_events(edits).select(F.col("key").alias("syn_id"), "seq", F.col("value").alias("owner"))
     base = graph["membership"].select("syn_id", F.lit(-1).cast("long").alias("seq"), F.col("body_id").alias("owner"))
-    at = checkpointed(_last(base.unionByName(own).unionByName(none).unionByName(many).unionByName(cut), ["syn_id"], ["owner"]))
-    merged = edits.where("kind = 'merge'").select(F.explode("bodies").alias("old"), F.col("seq").alias("at"), F.get("bodies", F.lit(0)).alias("next")).where("old <> next")
-    gone = edits.where("kind = 'delete_neuron'").select(F.col("body_id").alias("old"), F.col("seq").alias("at"), F.lit(None).cast("long").alias("next"))
-    moves = checkpointed(merged.unionByName(gone))
+    at = checkpointed(_last(base.unionByName(changes), ["syn_id"], ["owner"]))
+    moves = checkpointed(_moves(edits))
     while True:  # as many rounds as the longest chain of merges of one body
         step = at.where("owner IS NOT NULL").join(moves, (F.col("owner") == F.col("old")) & (F.col("at") > F.col("seq"))).groupBy("syn_id").agg(F.min_by(F.struct("at", "next"), "at").alias("m"))
         if step.isEmpty():
@@ -100,11 +163,17 @@ def _synapses(graph: Graph, edits: DataFrame) -> DataFrame:
     return rows.join(sets, "syn_id", "left").withColumn("rois", F.array_union(F.array_except("rois", F.coalesce("minus", none)), F.coalesce("plus", none))).drop("plus", "minus").select(*graph["synapse"].columns)
 
 
-def _properties(bodies: DataFrame, edits: DataFrame) -> DataFrame:
-    """bodies with the last value set for each attribute; null in set_properties and delete_property removes."""
+def _settings(edits: DataFrame) -> DataFrame:
+    """body_id, name, seq, value: each attribute that an edit sets; null in set_properties and delete_property
+    removes."""
     rows = edits.where(F.col("kind").isin(*PROPERTY_KINDS, "add_neuron")).select("body_id", "seq", "kind", F.explode("props").alias("name", "value"))
-    rows = rows.where("value IS NOT NULL OR kind IN ('set_properties', 'delete_property')").withColumn("value", F.when(F.col("kind") == "delete_property", None).otherwise(F.col("value")))
-    last = _last(rows, ["body_id", "name"], ["value"]).groupBy("body_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("_m"))
+    rows = rows.where("value IS NOT NULL OR kind IN ('set_properties', 'delete_property')")
+    return rows.select("body_id", "name", "seq", F.when(F.col("kind") != "delete_property", F.col("value")).alias("value"))
+
+
+def _properties(bodies: DataFrame, settings: DataFrame) -> DataFrame:
+    """bodies with the last value set for each attribute."""
+    last = _last(settings, ["body_id", "name"], ["value"]).groupBy("body_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("_m"))
     out = bodies.join(last, "body_id", "left")
     for c, t in bodies.dtypes:
         if c != "body_id" and not t.startswith(("struct", "array", "map")):
@@ -115,33 +184,44 @@ def _properties(bodies: DataFrame, edits: DataFrame) -> DataFrame:
 
 
 def _bodies(graph: Graph, edits: DataFrame) -> DataFrame:
+    """Bodies after the edits. Merges and splits take attributes as they are at their seq, so the log is cut at them:
+    a body's state is set by its settings, then passed on by the next merge or split, and so forth. Rounds are as
+    many as the longest chain of merges and splits of one body; only bodies that take part are in them."""
     bodies = graph["body"]
+    plain = [c for c, t in bodies.dtypes if c != "body_id" and not t.startswith(("struct", "array", "map"))]
     new = edits.where("kind = 'add_neuron'").select("body_id").distinct().join(bodies.select("body_id"), "body_id", "left_anti")
     bodies = bodies.unionByName(new, allowMissingColumns=True)
-    child = edits.where("kind = 'split'").select(F.col("body_id").alias("parent"), F.get("bodies", F.lit(0)).alias("child"))
-    while True:  # a part may be split again
-        heirs = child.join(bodies, F.col("parent") == F.col("body_id")).select(F.col("child").alias("body_id"), *(F.lit(None).cast(t).alias(c) if c == "soma" else F.col(c) for c, t in bodies.dtypes if c != "body_id"))
-        heirs = checkpointed(heirs.join(bodies.select("body_id"), "body_id", "left_anti"))
-        if heirs.isEmpty():
-            break
-        bodies = checkpointed(bodies.unionByName(heirs))
-    bodies = _properties(bodies, edits)
-    place = F.array(F.col("seq") * 1000 + F.col("position"))  # lists of positions, from the last merge inwards
-    merges = edits.where("kind = 'merge'").select("seq", F.get("bodies", F.lit(0)).alias("target"), F.posexplode("bodies").alias("position", "body_id")).select("target", "body_id", place.alias("position"))
-    if not merges.isEmpty():
-        up = checkpointed(merges.where("body_id <> target").select(F.col("body_id").alias("target"), F.col("target").alias("above"), F.col("position").alias("over")))
-        top = checkpointed(merges)
-        while True:  # chains: what is merged into a body that is merged later ends at the last target
-            moved = top.join(up, "target", "left")
-            if moved.where("above IS NOT NULL").isEmpty():
-                break
-            top = checkpointed(moved.select(F.coalesce("above", "target").alias("target"), "body_id", F.when(F.col("above").isNull(), F.col("position")).otherwise(F.concat("over", "position")).alias("position")))
-        lists = top.groupBy("target", "body_id").agg(F.min("position").alias("position"))
-        joined = checkpointed(merge_properties(bodies, lists, sums=("size",)).select(*bodies.columns))
-        touched = lists.select("body_id").union(lists.select("target")).distinct()
-        bodies = bodies.join(touched, "body_id", "left_anti").unionByName(joined)
+    settings = checkpointed(_settings(edits))
+    merges = edits.where("kind = 'merge'").select("seq", F.get("bodies", F.lit(0)).alias("target"), F.posexplode("bodies").alias("position", "body_id"))
+    splits = edits.where("kind = 'split'").select("seq", F.get("bodies", F.lit(0)).alias("target"), F.explode(F.array(F.struct(F.lit(0).alias("position"), F.get("bodies", F.lit(0)).alias("body_id")), F.struct(F.lit(1).alias("position"), F.col("body_id").alias("body_id")))).alias("p")).select("seq", "target", "p.position", "p.body_id")
+    steps = checkpointed(merges.withColumn("kind", F.lit("merge")).unionByName(splits.withColumn("kind", F.lit("split"))))
+    chained = checkpointed(steps.select("target").union(steps.select("body_id")).distinct().withColumnRenamed("target", "body_id"))
+    state = checkpointed(chained.join(bodies, "body_id", "left").withColumn("_at", F.lit(-1).cast("long")))
+    while not steps.isEmpty():
+        # the steps that no earlier step of one of their bodies is before
+        first = steps.groupBy("body_id").agg(F.min("seq").alias("due"))
+        ready = steps.join(first, "body_id").groupBy("seq").agg(F.bool_and(F.col("due") == F.col("seq")).alias("ok")).where("ok").select("seq")
+        now = checkpointed(steps.join(ready, "seq", "left_semi"))
+        parts = now.join(state, "body_id")
+        due = settings.join(parts.select("body_id", F.col("seq").alias("_to"), "_at"), "body_id").where("seq > _at AND seq < _to").drop("_at", "_to")
+        parts = _properties(parts, due)
+        values = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("position"))).alias(c) if c != "size" else F.when(F.first("kind") == "merge", F.sum("size")).otherwise(F.max("size")).alias(c) for c in plain]
+        values += [F.when(F.first("kind") == "merge", F.min_by(c, F.when(F.col(c).isNotNull(), F.col("position")))).alias(c) for c, t in bodies.dtypes if c != "body_id" and c not in plain]
+        made = parts.groupBy(F.col("target").alias("body_id"), "seq").agg(*values).withColumnRenamed("seq", "_at")
+        # what a merge takes in is gone; a split's old body goes on as it was
+        old = now.where("body_id <> target").join(state, "body_id").select("kind", "seq", *state.columns)
+        rest = state.join(now.select("body_id").union(now.select("target")).distinct(), "body_id", "left_anti")
+        kept = old.where("kind = 'split'").select(*state.columns)
+        state = checkpointed(rest.unionByName(made.select(*state.columns)).unionByName(kept))
+        steps = checkpointed(steps.join(ready, "seq", "left_anti"))
+    taken = checkpointed(edits.where("kind = 'merge'").select(F.explode("bodies").alias("body_id"), "seq", F.get("bodies", F.lit(0)).alias("target")).where("body_id <> target").groupBy("body_id").agg(F.max("seq").alias("_gone")))
+    every = bodies.join(chained, "body_id", "left_anti").withColumn("_at", F.lit(-1).cast("long")).unionByName(state)
+    later = settings.join(every.select("body_id", "_at"), "body_id").where("seq > _at").drop("_at")
+    # a body that is added again after it went starts anew
+    born = edits.where("kind IN ('add_neuron', 'split')").select(F.when(F.col("kind") == "split", F.get("bodies", F.lit(0))).otherwise(F.col("body_id")).alias("body_id"), "seq").groupBy("body_id").agg(F.max("seq").alias("_born"))
+    out = _properties(every, later).drop("_at").join(taken, "body_id", "left").join(born, "body_id", "left").where("_gone IS NULL OR _born > _gone").drop("_gone", "_born")
     last = edits.where("kind IN ('delete_neuron', 'add_neuron')").groupBy("body_id").agg(F.max_by("kind", "seq").alias("kind"))
-    return bodies.join(last.where("kind = 'delete_neuron'"), "body_id", "left_anti")
+    return out.join(last.where("kind = 'delete_neuron'"), "body_id", "left_anti")
 
 
 def _skeletons(graph: Graph, edits: DataFrame, bodies: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from axonweave.functions.columns import cluster_name, composite_id, neuron_by_counts, neuron_by_evidence
 from axonweave.operators.aggregate import as_roi_info, body_counts, body_roi_counts, connection_roi, connections, meta_roi, meta_totals, super_level_rois
+from axonweave.operators.graph import checkpointed
 from axonweave.operators.relate import resolve_edges, with_bodies
 from axonweave.schemas import EVIDENCE
 
@@ -17,11 +18,11 @@ def owned_synapses(graph: Graph) -> DataFrame:
     return with_bodies(graph["synapse"], graph["membership"])
 
 
-def derive(graph: Graph, pre_hp: float = 0.2, post_hp: float = 0.8, threshold: int | None = None, with_regions: bool = True, rois: DataFrame | None = None, dataset: str = "dataset", **options) -> Graph:
+def derive(graph: Graph, pre_hp: float = 0.2, post_hp: float = 0.8, threshold: int | None = None, with_regions: bool = True, rois: DataFrame | None = None, dataset: str = "dataset", supers: DataFrame | None = None, **options) -> Graph:
     """body_info (pre, post, roi_info, is_neuron, cluster_name), connection (weights, roi_info), meta and meta_roi.
 
     Bodies without synapses keep null counts. Neurons are told by evidence, or by counts if a threshold is given.
-    with_regions=False leaves out everything by region.
+    with_regions=False leaves out everything by region. supers(roi): the super regions, if not those of the synapses.
     """
     synapses = owned_synapses(graph)
     edges = resolve_edges(graph["syn_edge"], synapses)
@@ -32,7 +33,7 @@ def derive(graph: Graph, pre_hp: float = 0.2, post_hp: float = 0.8, threshold: i
     neuron = neuron_by_counts(F.col("pre"), F.col("post"), threshold) if threshold is not None else neuron_by_evidence(F.col("pre"), F.col("post"), attributes)
     if with_regions:
         by_roi = body_roi_counts(synapses)
-        supers = super_level_rois(synapses).agg(F.sort_array(F.collect_set("roi")).alias("super_rois"))  # one small row
+        supers = (super_level_rois(synapses) if supers is None else supers).agg(F.sort_array(F.collect_set("roi")).alias("super_rois"))  # one small row
         info = info.join(as_roi_info(by_roi, ["body_id"]), "body_id", "left").withColumn("is_neuron", neuron)
         info = info.crossJoin(F.broadcast(supers)).withColumn("cluster_name", cluster_name(F.col("is_neuron"), F.col("roi_info"), F.col("pre"), F.col("post"), F.col("super_rois"))).drop("super_rois")
         regions = as_roi_info(connection_roi(edges, pre_hp, post_hp), ["pre_body", "post_body"], hp=True)
@@ -56,11 +57,22 @@ def restricted(graph: Graph, bodies: DataFrame) -> Graph:
 
 
 def refresh(old: Graph, graph: Graph, touched: DataFrame, **options) -> Graph:
-    """Derived tables after a change of the bodies in touched: their rows are computed anew, others are kept."""
-    new = derive(restricted(graph, touched), **options)
+    """Derived tables after a change of the bodies in touched: their connections and counts are computed anew, others
+    are kept. Totals, region totals and super regions are those of the whole graph; if the super regions changed,
+    all cluster names are made anew from the counts."""
+    every = owned_synapses(graph)
+    supers = checkpointed(super_level_rois(every))
+    new = derive(restricted(graph, touched), **options, supers=supers)
     ids = touched.select("body_id").distinct()
     kept = old["connection"].join(ids.withColumnRenamed("body_id", "pre_body"), "pre_body", "left_anti").join(ids.withColumnRenamed("body_id", "post_body"), "post_body", "left_anti")
     near = ids.withColumnRenamed("body_id", "pre_body"), ids.withColumnRenamed("body_id", "post_body")
     fresh = new["connection"].join(near[0], "pre_body", "left_semi").unionByName(new["connection"].join(near[0], "pre_body", "left_anti").join(near[1], "post_body", "left_semi"))
     info = old["body_info"].join(ids, "body_id", "left_anti").unionByName(new["body_info"], allowMissingColumns=True)
-    return old | {"connection": kept.unionByName(fresh), "body_info": info}
+    if "cluster_name" in info.columns:
+        names = F.array_sort(F.array(*map(F.lit, (r.roi for r in supers.collect())))).cast("array<string>")  # regions, a few
+        info = info.withColumn("cluster_name", cluster_name(F.col("is_neuron"), F.col("roi_info"), F.col("pre"), F.col("post"), names))
+    dataset = options.get("dataset", "dataset")
+    out = old | {"connection": kept.unionByName(fresh), "body_info": info, "meta": meta_totals(every).withColumn("dataset", F.lit(dataset))}
+    if options.get("rois") is not None:
+        out["meta_roi"] = meta_roi(every, options["rois"], dataset)
+    return out

@@ -17,6 +17,7 @@ from axonweave.operators import validate as V
 from axonweave.plans import edits as K
 from axonweave.plans.load import derive
 from axonweave.plans.project import ORACLE, Tables
+from axonweave.streaming.feed import freshness
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -343,12 +344,6 @@ def v06_duplicate_keys(t: Tables) -> DataFrame:
     return V.duplicates(t.read("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("SELECT reason, count(*) AS n FROM (SELECT CASE WHEN type NOT IN ('pre') THEN 'is no pre' WHEN confidence > 0.9 THEN 'too sure' END AS reason FROM synapse) WHERE reason IS NOT NULL GROUP BY 1")
-def v01_reject_reasons(t: Tables) -> DataFrame:
-    _, bad = V.split(t.synapse, [(F.col("type") != "pre", "is no pre"), (F.col("confidence") > 0.9, "too sure")])
-    return bad.groupBy("reason").agg(F.count("*").alias("n"))
-
-
 # Joins and sets
 
 
@@ -452,7 +447,18 @@ def j01_shortest_paths(t: Tables) -> DataFrame:
     return rows.select("source", "target", "distance", F.size("path").alias("nodes"), F.array_join(F.transform("path", lambda b: b.cast("string")), ">").alias("path"))
 
 
-query()(j01_shortest_paths)
+query("""
+    , src AS (SELECT DISTINCT s AS source FROM (SELECT min_by(body_id, {'a': -pre, 'b': body_id}) AS s FROM body_roi GROUP BY roi)),
+    pairs AS (SELECT DISTINCT source, target FROM (SELECT min_by(body_id, {'a': -pre, 'b': body_id}) AS source, min_by(body_id, {'a': -post, 'b': body_id}) AS target FROM body_roi GROUP BY roi) WHERE source <> target),
+    arc AS (SELECT pre_body AS a, post_body AS b, min(weight) AS w FROM conn GROUP BY 1, 2),
+    walk AS (
+        SELECT source, source AS node, 0 AS d, 0 AS hops FROM src
+        UNION SELECT walk.source, arc.b, walk.d + arc.w, walk.hops + 1 FROM walk JOIN arc ON arc.a = walk.node WHERE walk.hops < 5),
+    best AS (SELECT source, node, min(d) AS d FROM walk GROUP BY 1, 2),
+    back AS (
+        SELECT p.source, p.target, b.d AS distance, p.target AS node, b.d AS rest, CAST(p.target AS VARCHAR) AS path, 1 AS nodes FROM pairs p JOIN best b ON b.source = p.source AND b.node = p.target
+        UNION ALL SELECT k.source, k.target, k.distance, arc.a, b.d, concat(arc.a, '>', k.path), k.nodes + 1 FROM back k JOIN arc ON arc.b = k.node JOIN best b ON b.source = k.source AND b.node = arc.a AND b.d + arc.w = k.rest)
+    SELECT source, target, CAST(distance AS DOUBLE) AS distance, nodes, path FROM back WHERE node = source""")(j01_shortest_paths)
 
 
 @query("""
@@ -534,4 +540,4 @@ def k18_connection_synapses_once(t: Tables) -> DataFrame:
 
 @query("SELECT max(ts) AS last_edit FROM events")
 def l03_freshness(t: Tables) -> DataFrame:
-    return _edit_log(t).agg(F.max("ts").alias("last_edit"))
+    return freshness(_edit_log(t))

@@ -6,7 +6,7 @@ from __future__ import annotations
 SYNAPSE_JSON = "type STRING, location ARRAY<DOUBLE>, confidence DOUBLE, rois ARRAY<STRING>"
 EDGE_JSON = "pre ARRAY<BIGINT>, post ARRAY<BIGINT>"
 BODY_JSON = (
-    "id DOUBLE, status STRING, name STRING, type STRING, instance STRING, primaryNeurite STRING, majorInput STRING, majorOutput STRING, clonalUnit STRING, "
+    "id DECIMAL(38,9), status STRING, name STRING, type STRING, instance STRING, primaryNeurite STRING, majorInput STRING, majorOutput STRING, clonalUnit STRING, "
     "neurotransmitter STRING, property STRING, size BIGINT, rois ARRAY<STRING>, soma STRUCT<location: ARRAY<BIGINT>, radius: DOUBLE>, synapseSet ARRAY<ARRAY<BIGINT>>"
 )
 META_JSON = "neuroglancerInfo STRING, uuid STRING, dvidServer STRING, meshHost STRING, statusDefinitions STRING, info STRING"

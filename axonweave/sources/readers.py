@@ -133,3 +133,32 @@ def stream_edits(spark: SparkSession, path: str) -> DataFrame:
 def read_graph_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One table of a bundle of CSV files with typed headers; the schema says what the header does."""
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+
+
+#: Types in headers of the import format, and what stands for fields without a name.
+HEADER_TYPES = {"int": "INT", "long": "BIGINT", "float": "DOUBLE", "double": "DOUBLE", "boolean": "BOOLEAN", "string": "STRING"}
+HEADER_FIELDS = {"ID": "id", "START_ID": "start_id", "END_ID": "end_id", "LABEL": "label", "TYPE": "type"}
+
+
+def typed_field(header: str) -> str:
+    """A column of a typed header (name:type, :ID(space), :LABEL ...) as name and type. Ids, points, labels and
+    lists stay text, as an id space may hold any text."""
+    name, _, kind = header.partition(":")
+    plain = kind.split("(")[0].split("{")[0]
+    return f"`{name or HEADER_FIELDS.get(plain, plain.lower())}` {HEADER_TYPES.get(plain, 'STRING')}"
+
+
+def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV file, or folder of files, with one typed header."""
+    names = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    return read_graph_csv(spark, path, ", ".join(map(typed_field, names)))
+
+
+def read_typed_bundle(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The tables of a bundle of CSV files with typed headers, by name."""
+    return {name: read_typed_csv(spark, path) for name, path in paths.items()}
+
+
+def described(meta: DataFrame, description: DataFrame) -> DataFrame:
+    """Derived counts of a dataset (one row) with what read_meta says of it (one row)."""
+    return meta.crossJoin(F.broadcast(description.limit(1)))

@@ -84,8 +84,43 @@ def write_set_rois_csv(counts: DataFrame, path: str) -> None:
     _csv(counts.select(F.col("set_id").alias(":START_ID"), F.col("weight").alias("weight:int"), F.col("weight_hp").alias("weightHP:int"), F.col("roi").alias(":END_ID(ROI-ID)")), path)
 
 
+#: Columns of the meta file and their types, in order.
+META_COLUMNS = (
+    "voxelSize:float[]", "voxelUnits:string", "info:string", "logo:string", "postHighAccuracyThreshold:float", "preHPThreshold:float", "postHPThreshold:float", "meshHost:string", "uuid:string",
+    "neuroglancerInfo:string", "neuroglancerMeta:string", "statusDefinitions:string", "latestMutationId:int", "totalPreCount:int", "totalPostCount:int", "lastDatabaseEdit:string", "superLevelRois:string[]",
+    "primaryRois:string[]", "nonHierarchicalROIs:string[]", "roiInfo:string", "roiHierarchy:string", "dataset:string", ":LABEL",
+)
+
+
+def meta_form(meta: DataFrame, roi_counts: DataFrame, dataset: str, super_rois: DataFrame, descriptions: DataFrame | None = None, other_rois: DataFrame | None = None, hierarchy: str | None = None, **fixed) -> DataFrame:
+    """The dataset's row with the columns of the meta file.
+
+    meta: total_pre and total_post; roi_counts: roi, pre, post, the dataset's own name for the totals; descriptions:
+    roi, description, of the regions to be listed (all, if not given); super_rois and other_rois: roi. fixed gives
+    further columns by name, without type; what is not given is empty. Regions number in the hundreds, so their
+    lists are one row.
+    """
+    listed = roi_counts if descriptions is None else descriptions.join(roi_counts, "roi", "left")
+    entry = F.struct(*([] if descriptions is None else ["description"]), "pre", "post")
+    info = listed.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("roi").alias("key"), entry.alias("value")))))).alias("roiInfo"))
+    names = lambda df, c: df.agg(F.array_join(F.sort_array(F.collect_set("roi")), ";").alias(c))
+    rows = meta.crossJoin(F.broadcast(info)).crossJoin(F.broadcast(names(super_rois, "superLevelRois")))
+    rows = rows.crossJoin(F.broadcast(names(other_rois, "nonHierarchicalROIs"))) if other_rois is not None else rows.withColumn("nonHierarchicalROIs", F.lit(""))
+    found = {"totalPreCount": F.col("total_pre"), "totalPostCount": F.col("total_post"), "primaryRois": F.col("superLevelRois"), "roiHierarchy": F.lit(hierarchy).cast("string"), "dataset": F.lit(dataset), "": F.lit(f"Meta;{dataset}_Meta")}
+    found |= {c: F.col(c) for c in ("superLevelRois", "nonHierarchicalROIs", "roiInfo")} | {k: F.lit(v) for k, v in fixed.items()}
+    return rows.select(*(found.get(c.partition(":")[0], F.lit(None).cast("string")).alias(c) for c in META_COLUMNS))
+
+
 def write_meta_csv(meta: DataFrame, path: str) -> None:
-    _csv(meta, path)
+    """meta as meta_form gives it."""
+    _csv(meta.select(*META_COLUMNS), path)
+
+
+def write_resolved_edges_csv(edges: DataFrame, path: str) -> None:
+    """Links with both ends, sorted by the body of the pre end over all files."""
+    side = lambda s, n: [F.col(f"{s}_{c}").alias(f"{n}_{t}") for c, t in (("id", "synId"), ("x", "x"), ("y", "y"), ("z", "z"), ("conf", "conf"))] + [F.array_join(f"{s}_rois", ";").alias(f"{n}_rois"), F.col(f"{s}_body").alias(f"{n}_bodyId")]
+    rows = edges.select(*side("pre", "from"), F.lit("PreSynTo").alias("connection"), *side("post", "to"))
+    _csv(rows.repartitionByRange("from_bodyId").sortWithinPartitions("from_bodyId", "from_synId", "to_synId"), path)
 
 
 def write_body_counts(bodies: DataFrame, path: str) -> None:

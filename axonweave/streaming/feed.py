@@ -24,12 +24,6 @@ def load_snapshot(spark: SparkSession, path: str, version: int) -> Graph:
     return {t: spark.read.parquet(p) for t in TABLES if there(p := f"{path}/v{version}/{t}")}
 
 
-def distinct_edits(edits: DataFrame, bound: str = "1 hour") -> DataFrame:
-    """A stream of edits without repeats of a mutation key within the bound; older repeats are caught by the
-    table of applied keys."""
-    return edits.withWatermark("ts", bound).dropDuplicatesWithinWatermark(["mutation_key"])
-
-
 def follow(edits: DataFrame, path: str, checkpoint: str, on_batch=None, **trigger) -> StreamingQuery:
     """Apply each micro-batch to the graph at path, in order of seq within it, and write the next snapshot.
 

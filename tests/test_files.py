@@ -86,7 +86,7 @@ def test_writers(spark, tmp_path):
     W.write_graph({"synapse": syn}, str(tmp_path / "g"), "ds")
     assert spark.read.parquet(str(tmp_path / "g/synapse")).where("dataset = 'ds'").count() == 2
     assert json.loads(W.as_json_text(syn.select("type", "syn_id"), "type").where("type = 'pre'").first().json) == [{"syn_id": 1}]
-    for f, df in ((W.write_syn_edges_csv, "pre_id long, post_id long"), (W.write_set_members_csv, "set_id string, syn_id long"), (W.write_set_links_csv, "from_set string, to_set string"), (W.write_body_sets_csv, "body_id long, set_id string"), (W.write_body_rois_csv, "body_id long, roi string, pre long, post long"), (W.write_set_rois_csv, "set_id string, roi string, weight long, weight_hp long"), (W.write_meta_csv, "a long"), (W.write_body_ids, "body_id long"), (W.write_connections_csv, "pre_body long, post_body long, weight long, weight_hp long, roi_info map<string,struct<pre:bigint>>")):
+    for f, df in ((W.write_syn_edges_csv, "pre_id long, post_id long"), (W.write_set_members_csv, "set_id string, syn_id long"), (W.write_set_links_csv, "from_set string, to_set string"), (W.write_body_sets_csv, "body_id long, set_id string"), (W.write_body_rois_csv, "body_id long, roi string, pre long, post long"), (W.write_set_rois_csv, "set_id string, roi string, weight long, weight_hp long"), (W.write_body_ids, "body_id long"), (W.write_connections_csv, "pre_body long, post_body long, weight long, weight_hp long, roi_info map<string,struct<pre:bigint>>")):
         f(spark.createDataFrame([], df), str(tmp_path / f.__name__))
     W.write_synapse_sets_csv(spark.createDataFrame([("1_2_pre",)], "set_id string"), str(tmp_path / "sets"), "ds")
 
