@@ -23,8 +23,8 @@ from axonweave.llm._hashing import hashed_words, joined, packed, slices, squeeze
 from axonweave.llm._tables import store_bucketed
 
 #: Words of a chunk, about; and n-grams of a bucket, about.
-CHUNK_WORDS = 1_000_000
-BUCKET_GRAMS = 1_000_000
+CHUNK_WORDS = 1_500_000
+BUCKET_GRAMS = 2_000_000
 #: Scores are sums of log10 in millionths, so that any order of summing gives the same result.
 UNIT = 1_000_000
 
