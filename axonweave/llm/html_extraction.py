@@ -37,12 +37,13 @@ KEPT = frozenset("html body main article".split())
 _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
-_HEADING = re.compile("/h[1-6]$")
+_HEADING = re.compile("h[1-6]$")
 #: Weight of an article or main element that holds all text of the page, beyond 1.
 ARTICLE = 24
 _WEIGHTS = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 #: What a start tag closes if it is open.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+_BOUNDS = ("ul", "ol", "dl", "table", "article", "section", "body")
 
 
 def _furniture(tag: str, attributes: str, within: int) -> int:
@@ -65,16 +66,58 @@ def _furniture(tag: str, attributes: str, within: int) -> int:
 class _Block:
     __slots__ = ("path", "container", "within", "parts", "linked")
 
-    def __init__(self, path: str, container: int, within: bool):
+    def __init__(self, path: int, container: int, within: bool):
         self.path, self.container, self.within, self.parts, self.linked = path, container, within, [], 0
 
 
-def blocks(page: str) -> list[tuple[str, str, int, bool, int]]:
-    """Text, tag path, container, whether an article or main element speaks for it, and linked characters, per block."""
+class _Open:
+    """The open elements: name, path of blocks (a number), container, furniture (as _furniture), within an article
+    (1: one below furniture by words, 2: another), under a link. Places by name make each step short."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, int, int, int, bool]] = [("", 0, 0, 0, 0, False)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = [0]
+
+    def add(self, element: tuple[str, int, int, int, int, bool]) -> None:
+        self.places.setdefault(element[0], []).append(len(self.stack))
+        if element[0] not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
+
+    def last(self, name: str) -> int:
+        return places[-1] if (places := self.places.get(name)) else 0
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all within it; none at 0."""
+        while place and len(self.stack) > place:
+            name = self.stack.pop()[0]
+            self.places[name].pop()
+            if name not in INLINE:
+                self.blocks.pop()
+
+    def close(self, name: str) -> None:
+        """An end tag; that of an inline element does not reach beyond its block."""
+        place = self.last(name)
+        if name not in INLINE or place > self.blocks[-1]:
+            self.cut(place)
+
+    def shut(self, name: str) -> None:
+        """What a start tag closes within the list, table or section that it stands in."""
+        place = self.last(name)
+        if place > max(self.last(b) for b in _BOUNDS if b != name):
+            self.cut(place)
+
+
+def blocks(page: str) -> list[tuple[str, int, int, bool, int, bool]]:
+    """Text, tag path (a number), container, whether an article or main element speaks for it, linked characters, and
+    whether it is a heading, per block. Time and memory grow with the page's length, however deep its elements nest."""
     out: list[_Block] = []
-    #: open elements: name, path of blocks, container, furniture (as _furniture), within an article (1: one below
-    #: furniture by words, 2: another), under a link
-    stack: list[tuple[str, str, int, int, int, bool]] = [("", "", 0, 0, 0, False)]
+    open_ = _Open()
+    stack = open_.stack
+    #: numbers of the paths by the path above and the name, and whether they end in a heading
+    paths: dict[tuple[int, str], int] = {}
+    heads = [False]
     block: _Block | None = None
     at, n = 0, 0
 
@@ -109,12 +152,7 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, int]]:
         elif tag == "br" and block is not None:
             block.parts.append(" ")
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE:
-                    break
+            open_.close(tag)
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at) if not attributes.endswith("/") or tag not in ("svg", "math") else None
@@ -122,27 +160,23 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, int]]:
             continue
         if tag in VOID:
             continue
-        shut = _CLOSES.get(tag, ()) if tag in INLINE or tag in _CLOSES else ()
-        if tag not in INLINE and any(s[0] == "p" for s in stack):  # a block ends an open paragraph
-            shut = (*shut, "p")
-        for name in shut:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("ul", "ol", "dl", "table", "article", "section", "body") and stack[k][0] != name:
-                    break
+        for name in _CLOSES.get(tag, ()):
+            open_.shut(name)
+        if tag not in INLINE:  # a block ends an open paragraph
+            open_.shut("p")
         _, path, container, skip, within, link = stack[-1]
         n += 1
         if tag not in INLINE:
-            path = f"{path}/{tag}"
+            path = paths.setdefault((path, tag), len(heads))
+            if path == len(heads):
+                heads.append(bool(_HEADING.match(tag)))
         skip = max(skip, _furniture(tag, attributes, within))
         if tag in ("article", "main"):
             within = 1 if skip == 1 else within or 2
             skip = 0 if skip == 1 else skip
-        stack.append((tag, path, n if tag in CONTAINERS else container, skip, within, link or tag == "a"))
+        open_.add((tag, path, n if tag in CONTAINERS else container, skip, within, link or tag == "a"))
     joined = ((" ".join("".join(b.parts).split()), b) for b in out)
-    return [(t, b.path, b.container, b.within, b.linked) for t, b in joined if t]
+    return [(t, b.path, b.container, b.within, b.linked, heads[b.path]) for t, b in joined if t]
 
 
 def _smooth(x: np.ndarray) -> np.ndarray:
@@ -167,7 +201,7 @@ def main_text(page: str, share: float = 0.5) -> str:
     threshold = share * np.average(fused, weights=length) if length.sum() else 0.0
     good = fused >= threshold
     by_path = np.bincount(place, weights=np.where(good, length, 0)) >= 0.5 * np.bincount(place, weights=length)
-    textual = (by_length[place] > 0) | np.array([bool(_HEADING.search(b[1])) for b in found]) | (not length.sum())
+    textual = (by_length[place] > 0) | np.array([b[5] for b in found]) | (not length.sum())
     chosen = (good | by_path[place] & (length > 0)) & textual
     containers = {b[2] for b, c in zip(found, chosen) if c}
     return "\n".join(b[0] for b, c, t in zip(found, chosen, textual) if c or t and b[2] in containers)
@@ -177,8 +211,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) -> page_id, url, text, n_chars; a row for each row of pages.
 
     Null html is empty; text is empty if no block is content. Character references are decoded, white space
-    within a block is one space, blocks are parted by one line feed; nothing else is dropped. Repeated rows
-    get equal results, other columns are ignored.
+    within a block is one space, blocks are parted by one line feed; nothing else is dropped. Blocks of equal text
+    all stay, in page order. Pages are read whole, in time in proportion to their length however deep elements nest.
+    Repeated rows get equal results, other columns are ignored, an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -67,3 +68,14 @@ BODY = "".join(f"<p>{x}</p>" for x in LONG)
 ])
 def test_ratios_decide(page, want):
     assert main_text(page) == "\n".join(want)
+
+
+def test_deep_nesting_is_linear():
+    def seconds(page):
+        began = time.time()
+        main_text(page)
+        return time.time() - began
+
+    for make in (lambda n: "<div>" * n + "<p>some words, here.</p>" + "</div>" * n, lambda n: "<i>" * n + "</div>" * n, lambda n: "<i><div>" + "<b>" * n + "</i>" * n, lambda n: "<ul><li>" * n + "<p>text" * n):
+        assert seconds(make(100_000)) < 20
+    assert main_text("<div>" * 100_000 + "<p>some words, here.</p>") == "some words, here."
