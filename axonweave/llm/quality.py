@@ -139,12 +139,12 @@ def _entries_of(table: DataFrame, wanted: np.ndarray) -> DataFrame:
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_z: float = 3.5) -> CumulativeLink | None:
     """Fit on at most sample rated documents, taken by the smallest hashes of their ids; None if there are none.
 
-    A feature gets a weight if its score test exceeds least_z: first against constant grades, then against the fit
+    Of several rows with one id the smallest text counts. A feature gets a weight if its score test exceeds least_z: first against constant grades, then against the fit
     so far. The tests are aggregations over the sample's features in Spark; the driver sees the entries of tested
     features only.
     """
     chosen = _graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -184,7 +184,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, least: float = 0.5, sampl
 
     tail_prob is the probability of the best grade (good and not toxic); keep says whether it reaches least.
     Null and empty texts have no words and are scored so. Without usable labels every text has the middle
-    grade and is kept. Repeated rows get equal results; other columns are ignored.
+    grade and is kept. Of several rated rows with one id the smallest text is fitted on, so the fit is always the
+    same. Texts are read whole. Repeated rows get equal results; other columns are ignored; an empty table gives no rows.
     """
     model = fit_quality(docs, labels, sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)
