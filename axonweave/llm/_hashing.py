@@ -20,7 +20,20 @@ _powers = np.ones(1, np.uint64)
 
 #: Bytes that part words: space and tab to carriage return.
 WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
+
+#: Caches of this worker process by name. Workers serve one operator after another, so operators that do not use
+#: the caches empty them.
+_caches: dict[str, dict] = {}
+
+
+def cache_of(name: str) -> dict:
+    return _caches.setdefault(name, {})
+
+
+def drop_caches() -> None:
+    for cache in _caches.values():
+        cache.clear()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

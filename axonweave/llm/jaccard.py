@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from axonweave.llm._hashing import distinct, hashed_words, joined, mix, slices
+from axonweave.llm._hashing import distinct, drop_caches, hashed_words, joined, mix, slices
 from axonweave.llm._tables import store
 from axonweave.llm.components import components
 
@@ -66,6 +66,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
     """A row per document (id and size of its set, its shingles per hash group), and the parts of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         for whole in batches:
             for batch in slices(whole):
@@ -109,6 +110,7 @@ def _entries(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> D
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         count = shared.value
         for whole in batches:
             for batch in slices(whole):
@@ -129,6 +131,7 @@ def _entries(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> D
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for whole in batches:
             for batch in slices(whole):
                 sets = shingle_sets(batch.column("text"), width)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from axonweave.llm._hashing import slices, utf8
+from axonweave.llm._hashing import drop_caches, slices, utf8
 
 #: Fitted on so many texts of each language at most.
 SAMPLE = 400
@@ -154,6 +154,7 @@ def fit_languages(docs: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
     rows = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for whole in batches:
             for batch in slices(whole):
                 codes, counts = trigrams(batch.column("text"))
@@ -182,6 +183,7 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         model = shared.value
         for whole in batches:
             for batch in slices(whole):

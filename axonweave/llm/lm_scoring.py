@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from axonweave.llm._hashing import hashed_words, joined, packed, slices, squeezed, unpacked, unsqueezed
+from axonweave.llm._hashing import drop_caches, hashed_words, joined, packed, slices, squeezed, unpacked, unsqueezed
 from axonweave.llm._tables import store_bucketed
 
 #: Words of a chunk, about; and n-grams of a bucket, about.
@@ -35,6 +35,7 @@ def _encoded(docs: DataFrame) -> DataFrame:
     """Chunks of texts: ids of the documents, their lengths, and their words as places in a local vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         rows, words, at = [], 0, 0
 
         def chunk() -> pa.RecordBatch:
@@ -91,6 +92,7 @@ def _entries(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
     """A row per chunk, order and bucket that has n-grams: their sorted hashes and counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             for row in batch.to_pylist():
                 stream, lengths, vocabulary = _parts(row)

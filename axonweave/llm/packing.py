@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from axonweave.llm._hashing import slices
+from axonweave.llm._hashing import cache_of, slices
 from axonweave.llm._tables import store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -43,7 +43,7 @@ def _encoder(name: str):
         tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
         ends[[i for w, i in tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
-        _tokenizers[name] = (tokenizer, ends, {})
+        _tokenizers[name] = (tokenizer, ends, cache_of(name))
     return _tokenizers[name]
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from axonweave.llm._hashing import WHITE, distinct, hashed_prefixes, hashed_words, mix, slices, utf8
+from axonweave.llm._hashing import WHITE, distinct, drop_caches, hashed_prefixes, hashed_words, mix, slices, utf8
 from axonweave.llm._tables import store
 
 BITS = 20
@@ -129,6 +129,7 @@ def _entries_of(table: DataFrame, wanted: np.ndarray) -> DataFrame:
     shared = table.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for b in batches:
             lists = [x.values.to_numpy() for x in b.column("columns")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x[shared.value[x]].tobytes() for x in lists], pa.binary())], names=["doc_id", "columns"])
@@ -147,6 +148,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for whole in batches:
             for batch in slices(whole):
                 columns, counts = features(batch.column("text"))
@@ -191,6 +193,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, least: float = 0.5, sampl
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         model = shared.value
         for whole in batches:
             for batch in slices(whole):
@@ -209,6 +212,7 @@ def selected(docs: DataFrame, labels: DataFrame, least: float = 0.5, sample: int
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for whole in batches:
             for batch in slices(whole):
                 yield batch.filter(pa.array(shared.value.predict(*features(batch.column("text")))[1] >= least))
