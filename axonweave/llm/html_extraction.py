@@ -105,7 +105,7 @@ class _Open:
     def shut(self, name: str) -> None:
         """What a start tag closes within the list, table or section that it stands in."""
         place = self.last(name)
-        if place > max(self.last(b) for b in _BOUNDS if b != name):
+        if place and place > max(self.last(b) for b in _BOUNDS if b != name):
             self.cut(place)
 
 
