@@ -59,12 +59,12 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with about SLICE_BYTES of text each."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about size bytes of text each."""
     offsets = utf8(batch.column(column))[1]
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
 

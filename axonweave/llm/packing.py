@@ -29,6 +29,8 @@ _PUNCTUATION = "!-/:-@\\[-`{-~"
 _PLAIN = re.compile(f"([!-&(-/:;=-@\\[-`{{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]*)([{_PUNCTUATION}]*)")
 _CACHE_WORDS = 800_000
 _JOIN = 500
+#: Text that is tokenized at once; new words are looked up together.
+SLICE_BYTES = 2_000_000
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -98,7 +100,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", limit: i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE_BYTES):
                 rows = []
                 for doc, data in zip(batch.column("doc_id").to_pylist(), _encoded(batch.column("text").fill_null("").to_pylist(), tokenizer)):
                     data += end
