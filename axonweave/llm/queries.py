@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from axonweave.llm import oracles, url_filter
 from axonweave.llm._tables import read_table
+from axonweave.llm.conversations import structure_repair
 from axonweave.llm.decontamination import contamination
 from axonweave.llm.html_extraction import extract
 from axonweave.llm.jaccard import jaccard_components
@@ -17,6 +19,7 @@ from axonweave.llm.packing import pack_documents
 from axonweave.llm.pii import digest, personal_data
 from axonweave.llm.quality import quality_scores
 from axonweave.llm.secrets import scan
+from axonweave.llm.spelling import spelling_variants
 from axonweave.llm.topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +65,18 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(personal_data(read_table(spark, sf_dir, "documents")))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages")).drop("score")
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,12 +90,15 @@ QUERIES: dict[str, Query] = {
         op8_hierarchical_langid,
         op9_tag_path_extraction,
         op10_bootstrapped_pii,
+        op11_url_filters,
+        op12_structure_repair,
+        op13_spelling_variants,
     )
 }
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-ORACLE_SQL: dict[str, str] = {
+ORACLE_SQL: dict[str, str] = oracles.SQL | {
     "op3_threshold_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
