@@ -2,20 +2,31 @@
 
 Every edit has a seq. Facts about one key (a synapse's existence, its regions, an attribute of a body) end as
 their last edit by seq says. A synapse's owner follows its own last edit and then, in order of seq, the merges and
-deletions of its body after that; merges may chain. Derived tables are computed anew for the touched bodies, so no
-counter is ever moved by hand and the result equals a full computation.
+deletions of its body after that; merges may chain. Only the rows that a log can read or change are taken from the graph's
+tables; all others pass by. Derived tables are computed anew for the touched bodies, so no counter is ever moved by hand and
+the result equals a full computation.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from axonweave.operators.graph import checkpointed
+from axonweave.plans.changes import KEYS, with_delta
 from axonweave.plans.load import Graph
 
 PROPERTY_KINDS = ("update_properties", "set_properties", "delete_property")
+#: Kinds of edits, and the arguments that each needs.
+KINDS = {
+    "add_neuron": ("body_id",), "delete_neuron": ("body_id",), "update_properties": ("body_id", "props"), "set_properties": ("body_id", "props"), "delete_property": ("body_id", "props"),
+    "add_skeleton": ("body_id", "skeleton"), "delete_skeleton": ("body_id",), "add_roi": ("syn_id", "roi"), "remove_roi": ("syn_id", "roi"), "add_synapse": ("syn_id",), "add_link": ("syn_id", "post_id"),
+    "add_synapse_to_segment": ("syn_id", "body_id"), "delete_synapse": ("syn_id",), "orphan_synapse": ("syn_id",), "merge": ("bodies",), "split": ("body_id", "bodies", "synapses"),
+}
 
 
 def _last(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -24,12 +35,30 @@ def _last(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
 
 def new_edits(edits: DataFrame, applied: DataFrame | None) -> DataFrame:
-    """Edits not applied before, the first of each mutation key; edits without key always count."""
+    """Edits not applied before, one of each mutation key: the one with the least seq, then the least hash of its row.
+    Edits without key always count."""
     keyed = edits.where("mutation_key IS NOT NULL")
     if applied is not None:
         keyed = keyed.join(applied.select("mutation_key"), "mutation_key", "left_anti")
-    first = keyed.groupBy("mutation_key").agg(F.min("seq").alias("seq"))
-    return edits.where("mutation_key IS NULL").unionByName(keyed.join(first, ["mutation_key", "seq"], "left_semi"))
+    order = F.struct(F.col("seq").alias("a"), F.xxhash64(F.to_json(F.struct(*keyed.columns))).alias("b"))
+    first = keyed.groupBy("mutation_key").agg(F.min_by(F.struct(*(c for c in keyed.columns if c != "mutation_key")), order).alias("_e")).select("mutation_key", "_e.*")
+    return edits.where("mutation_key IS NULL").unionByName(first.select(*edits.columns))
+
+
+def formed(edits: DataFrame, body: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edits that say what their kind needs, and those that do not, with a reason. An edit's seq is its own."""
+    plain = {c: t for c, t in body.dtypes if c != "body_id"}
+    absent = reduce(lambda a, b: a | b, ((F.col("kind") == k) & F.col(c).isNull() for k, need in KINDS.items() for c in need))
+    few = "(kind = 'split' AND (coalesce(size(bodies), 0) < 1 OR coalesce(size(synapses), 0) < 1)) OR (kind = 'merge' AND coalesce(size(array_distinct(bodies)), 0) < 2) OR (kind = 'add_synapse' AND coalesce(type, '') NOT IN ('pre', 'post'))"
+    hollow = "exists(coalesce(bodies, array()), b -> b IS NULL) OR exists(coalesce(synapses, array()), s -> s IS NULL) OR (kind = 'merge' AND size(array_distinct(bodies)) < size(bodies))"
+    names = F.map_keys("props")
+    strange = F.col("kind").isin(*PROPERTY_KINDS, "add_neuron") & F.exists(names, lambda n: ~n.isin(*plain))
+    parse = [F.try_element_at("props", F.lit(c)).isNotNull() & (F.try_element_at("props", F.lit(c)).try_cast(t).isNull() if not t.startswith(("struct", "array", "map")) else F.lit(True)) for c, t in plain.items() if t != "string"]
+    wrong = (F.col("kind") != "delete_property") & F.col("kind").isin(*PROPERTY_KINDS, "add_neuron") & reduce(lambda a, b: a | b, parse, F.lit(False))
+    twice = F.count("*").over(Window.partitionBy("seq")) > 1
+    rules = [(F.col("seq").isNull(), "seq is missing"), (F.col("seq") < 0, "seq is negative"), (twice, "seq is not its own"), (~F.coalesce(F.col("kind").isin(*KINDS), F.lit(False)), "unknown kind"), (absent | F.expr(few) | F.expr(hollow), "malformed"), (strange, "unknown attribute"), (wrong, "value does not parse")]
+    marked = edits.withColumn("reason", F.coalesce(*(F.when(F.coalesce(bad, F.lit(False)), F.lit(why)) for bad, why in rules)))
+    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
 
 
 def _event(edits: DataFrame, kind: str, key, value) -> DataFrame:
@@ -52,8 +81,9 @@ def _asks(edits: DataFrame, *kinds: str, key: str | None = None, many: str | Non
     return rows.select(F.explode(many).alias("key") if many else F.col(key).alias("key"), "seq").distinct()
 
 
-def _faults(graph: Graph, edits: DataFrame, events: DataFrame) -> DataFrame:
-    """seq and reason of the edits that do not hold if those in events are the ones that count before them."""
+def _faults(graph: Graph, edits: DataFrame, events: DataFrame, kinds: set[str]) -> DataFrame:
+    """seq and reason of the edits that do not hold if those in events are the ones that count before them. kinds: those
+    that occur; what only others need is not asked."""
     first, syn, body = F.get("bodies", F.lit(0)), F.col("syn_id"), F.col("body_id")
     no = F.lit(None).cast("string")
     synapses = _event(events, "add_synapse", syn, F.col("type")).union(_event(events, "delete_synapse", syn, no))
@@ -62,47 +92,67 @@ def _faults(graph: Graph, edits: DataFrame, events: DataFrame) -> DataFrame:
     bodies = _event(events, "add_neuron", body, yes).union(_event(events, "delete_neuron", body, no)).union(_event(events, "split", first, yes)).union(merged)
     known_synapses, known_bodies = graph["synapse"].select(F.col("syn_id").alias("key"), F.col("type").alias("value")), graph["body"].select(F.col("body_id").alias("key"), yes.alias("value"))
     reason = lambda rows, why: rows.select("seq", F.lit(why).alias("reason"))
-
-    malformed = "(kind = 'split' AND (coalesce(size(bodies), 0) < 1 OR coalesce(size(synapses), 0) < 1)) OR (kind = 'merge' AND coalesce(size(bodies), 0) < 2) OR (kind = 'add_synapse' AND coalesce(type, '') NOT IN ('pre', 'post'))"
-    bad = reason(edits.where(malformed), "malformed")
-    wanted = _asks(edits, "add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", key="syn_id").withColumn("type", no)
-    wanted = wanted.unionByName(_asks(edits, "add_neuron", many="synapses").withColumn("type", no))
-    wanted = wanted.unionByName(_asks(edits, "add_link", key="syn_id").withColumn("type", F.lit("pre"))).unionByName(_asks(edits, "add_link", key="post_id").withColumn("type", F.lit("post")))
-    found = _before(synapses, known_synapses, wanted)
-    bad = bad.union(reason(found.where("value IS NULL"), "unknown synapse")).union(reason(found.where("value <> type"), "wrong type of synapse"))
-    bad = bad.union(reason(_before(synapses, known_synapses, _asks(edits, "add_synapse", key="syn_id")).where("value IS NOT NULL"), "synapse exists"))
-
-    # a place is taken by a synapse that is there: of the table, or added before
-    here = edits.where("kind = 'add_synapse' AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL").select("x", "y", "z", F.col("seq").alias("at"), F.col("syn_id").alias("own"))
-    added = events.where("kind = 'add_synapse'").select("x", "y", "z", F.col("syn_id").alias("key"), F.col("seq").alias("since"))
-    at_place = here.join(graph["synapse"].select("x", "y", "z", F.col("syn_id").alias("key")), ["x", "y", "z"]).select("key", F.col("at").alias("seq"), "own")
-    at_place = at_place.union(here.join(added, ["x", "y", "z"]).where("since < at").select("key", F.col("at").alias("seq"), "own")).where("key <> own").distinct()
-    bad = bad.union(reason(_before(synapses, known_synapses, at_place).where("value IS NOT NULL"), "place is taken"))
-
-    on_body = ("update_properties", "set_properties", "delete_property", "add_synapse_to_segment", "add_skeleton", "delete_neuron", "split")
-    there = _before(bodies, known_bodies, _asks(edits, *on_body, key="body_id").union(_asks(edits, "merge", many="bodies")))
-    bad = bad.union(reason(there.where("value IS NULL"), "unknown body"))
-    bad = bad.union(reason(_before(bodies, known_bodies, _asks(edits, "add_neuron", key="body_id").union(edits.where("kind = 'split'").select(first.alias("key"), "seq"))).where("value IS NOT NULL"), "body exists"))
-
-    free = _asks(edits, "add_neuron", many="synapses").union(_asks(edits, "add_link", key="syn_id")).union(_asks(edits, "add_link", key="post_id")).distinct()
-    parts = edits.where("kind = 'split'").select(F.explode("synapses").alias("key"), "seq", F.col("body_id").alias("of"))
-    owners = _owned_before(graph, events, free.withColumn("of", F.lit(None).cast("long")).unionByName(parts).distinct())
-    bad = bad.union(reason(owners.where("of IS NULL AND owner IS NOT NULL"), "synapse has an owner"))
-    bad = bad.union(reason(owners.where("of IS NOT NULL AND NOT owner <=> of"), "synapse is not the body's"))
-    return bad.groupBy("seq").agg(F.min("reason").alias("reason"))
-
-
-def checked(graph: Graph, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    bad = []
+
+    on_synapse = kinds & {"add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", "add_neuron", "add_link"}
+    if on_synapse:
+        wanted = _asks(edits, "add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", key="syn_id").withColumn("type", no)
+        wanted = wanted.unionByName(_asks(edits, "add_neuron", many="synapses").withColumn("type", no))
+        wanted = wanted.unionByName(_asks(edits, "add_link", key="syn_id").withColumn("type", F.lit("pre"))).unionByName(_asks(edits, "add_link", key="post_id").withColumn("type", F.lit("post")))
+        found = _before(synapses, known_synapses, wanted)
+        bad.append(found.select("seq", F.when(F.col("value").isNull(), "unknown synapse").when(F.col("value") != F.col("type"), "wrong type of synapse").alias("reason")).where("reason IS NOT NULL"))
+
+    if "add_synapse" in kinds:
+        new = edits.where("kind = 'add_synapse'")
+        bad.append(reason(new.where("x IS NULL OR y IS NULL OR z IS NULL"), "synapse has no place"))
+        bad.append(reason(new.where("NOT coalesce(confidence, 0) BETWEEN 0 AND 1 OR isnan(confidence)"), "synapse has a confidence outside 0 to 1"))
+        bad.append(reason(_before(synapses, known_synapses, _asks(edits, "add_synapse", key="syn_id")).where("value IS NOT NULL"), "synapse exists"))
+        # a place is taken by a synapse that is there: of the table, or added before
+        here = new.where("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL").select("x", "y", "z", F.col("seq").alias("at"), F.col("syn_id").alias("own"))
+        added = events.where("kind = 'add_synapse'").select("x", "y", "z", F.col("syn_id").alias("key"), F.col("seq").alias("since"))
+        at_place = here.join(graph["synapse"].select("x", "y", "z", F.col("syn_id").alias("key")), ["x", "y", "z"]).select("key", F.col("at").alias("seq"), "own")
+        at_place = at_place.union(here.join(added, ["x", "y", "z"]).where("since < at").select("key", F.col("at").alias("seq"), "own")).where("key <> own").distinct()
+        bad.append(reason(_before(synapses, known_synapses, at_place).where("value IS NOT NULL"), "place is taken"))
+
+    on_body = {"update_properties", "set_properties", "delete_property", "add_synapse_to_segment", "add_skeleton", "delete_skeleton", "delete_neuron", "split"}
+    if kinds & (on_body | {"merge", "add_neuron"}):
+        asks = _asks(edits, *on_body, key="body_id").union(_asks(edits, "merge", many="bodies")).withColumn("new", F.lit(False))
+        asks = asks.unionByName(_asks(edits, "add_neuron", key="body_id").union(edits.where("kind = 'split'").select(first.alias("key"), "seq")).withColumn("new", F.lit(True)))
+        there = _before(bodies, known_bodies, asks)
+        bad.append(there.select("seq", F.when(F.col("new") & F.col("value").isNotNull(), "body exists").when(~F.col("new") & F.col("value").isNull(), "unknown body").alias("reason")).where("reason IS NOT NULL"))
+
+    if kinds & {"add_skeleton", "delete_skeleton"}:
+        drawn = _event(events, "add_skeleton", body, yes).union(_event(events, "delete_skeleton", body, no)).union(_event(events, "delete_neuron", body, no)).union(merged)
+        known = graph["skel_node"].select(F.col("body_id").alias("key"), yes.alias("value")).distinct()
+        asks = _asks(edits, "add_skeleton", key="body_id").withColumn("new", F.lit(True)).unionByName(_asks(edits, "delete_skeleton", key="body_id").withColumn("new", F.lit(False)))
+        there = _before(drawn, known, asks)
+        bad.append(there.select("seq", F.when(F.col("new") & F.col("value").isNotNull(), "skeleton exists").when(~F.col("new") & F.col("value").isNull(), "skeleton is absent").alias("reason")).where("reason IS NOT NULL"))
+
+    if kinds & {"add_neuron", "add_link", "split"}:
+        free = _asks(edits, "add_neuron", many="synapses").union(_asks(edits, "add_link", key="syn_id")).union(_asks(edits, "add_link", key="post_id")).distinct()
+        parts = edits.where("kind = 'split'").select(F.explode("synapses").alias("key"), "seq", F.col("body_id").alias("of"))
+        asks = checkpointed(free.withColumn("of", F.lit(None).cast("long")).unionByName(parts).distinct())
+        if not asks.isEmpty():
+            owners = _owned_before(graph, events, asks, kinds)
+            bad.append(reason(owners.where("of IS NULL AND owner IS NOT NULL"), "synapse has an owner"))
+            bad.append(reason(owners.where("of IS NOT NULL AND NOT owner <=> of"), "synapse is not the body's"))
+    every = reduce(DataFrame.union, bad) if bad else edits.select("seq", no.alias("reason")).where("false")
+    return every.groupBy("seq").agg(F.min("reason").alias("reason"))
+
+
+def checked(graph: Graph, edits: DataFrame, kinds: set[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Edits that hold at their seq, and the rejected ones with a reason.
 
     Only edits that hold count for later ones: the check is made again without those that it rejected until nothing
     changes. An edit is settled once all edits that it depends on are, so rounds are as many as the longest chain
     of edits that decide about one another.
     """
-    bad = checkpointed(_faults(graph, edits, edits))
+    kinds = set(KINDS) if kinds is None else kinds
+    bad = checkpointed(_faults(graph, edits, edits, kinds))
     while not bad.isEmpty():
-        again = checkpointed(_faults(graph, edits, edits.join(bad.select("seq"), "seq", "left_anti")))
-        settled = again.exceptAll(bad).isEmpty() and bad.exceptAll(again).isEmpty()
+        again = checkpointed(_faults(graph, edits, edits.join(bad.select("seq"), "seq", "left_anti"), kinds))
+        both = again.withColumn("d", F.lit(1)).union(bad.withColumn("d", F.lit(-1))).groupBy("seq", "reason").agg(F.sum("d").alias("d")).where("d <> 0")
+        settled = both.isEmpty()
         bad = again
         if settled:
             break
@@ -123,11 +173,13 @@ def _moves(edits: DataFrame) -> DataFrame:
     return merged.unionByName(gone)
 
 
-def _owned_before(graph: Graph, edits: DataFrame, asks: DataFrame) -> DataFrame:
+def _owned_before(graph: Graph, edits: DataFrame, asks: DataFrame, kinds: set[str]) -> DataFrame:
     """asks(key, seq, of) with the owner of the synapse just before seq."""
     base = graph["membership"].select(F.col("syn_id").alias("key"), F.struct(F.col("body_id").alias("owner"), F.lit(-1).cast("long").alias("since")).alias("value"))
     events = _owner_events(edits).select("key", "seq", F.struct(F.col("value").alias("owner"), F.col("seq").alias("since")).alias("value"))
     at = checkpointed(_before(events, base, asks).select("key", "seq", "of", "value.owner", "value.since"))
+    if not kinds & {"merge", "delete_neuron"}:
+        return at
     moves = checkpointed(_moves(edits))
     while True:
         step = at.where("owner IS NOT NULL").join(moves, (F.col("owner") == F.col("old")) & (F.col("at") > F.col("since")) & (F.col("at") < F.col("seq"))).groupBy("key", "seq").agg(F.min_by(F.struct("at", "next"), "at").alias("m"))
@@ -136,11 +188,13 @@ def _owned_before(graph: Graph, edits: DataFrame, asks: DataFrame) -> DataFrame:
         at = checkpointed(at.join(step, ["key", "seq"], "left").select("key", "seq", "of", F.when(F.col("m").isNotNull(), F.col("m.next")).otherwise(F.col("owner")).alias("owner"), F.coalesce("m.at", "since").alias("since")))
 
 
-def _owners(graph: Graph, edits: DataFrame) -> DataFrame:
+def _owners(graph: Graph, edits: DataFrame, kinds: set[str]) -> DataFrame:
     """membership after the edits."""
     changes = _owner_events(edits).select(F.col("key").alias("syn_id"), "seq", F.col("value").alias("owner"))
     base = graph["membership"].select("syn_id", F.lit(-1).cast("long").alias("seq"), F.col("body_id").alias("owner"))
     at = checkpointed(_last(base.unionByName(changes), ["syn_id"], ["owner"]))
+    if not kinds & {"merge", "delete_neuron"}:
+        return at.where("owner IS NOT NULL").select(F.col("owner").alias("body_id"), "syn_id")
     moves = checkpointed(_moves(edits))
     while True:  # as many rounds as the longest chain of merges of one body
         step = at.where("owner IS NOT NULL").join(moves, (F.col("owner") == F.col("old")) & (F.col("at") > F.col("seq"))).groupBy("syn_id").agg(F.min_by(F.struct("at", "next"), "at").alias("m"))
@@ -150,11 +204,11 @@ def _owners(graph: Graph, edits: DataFrame) -> DataFrame:
 
 
 def _synapses(graph: Graph, edits: DataFrame) -> DataFrame:
-    added = edits.where("kind = 'add_synapse'").select("syn_id", "seq", F.lit(True).alias("on"), "x", "y", "z", "type", F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
-    dropped = edits.where("kind = 'delete_synapse'").select("syn_id", "seq", F.lit(False).alias("on"), *(F.lit(None).cast(t).alias(c) for c, t in (("x", "long"), ("y", "long"), ("z", "long"), ("type", "string"), ("confidence", "double"))))
-    state = checkpointed(_last(added.unionByName(dropped), ["syn_id"], ["on", "x", "y", "z", "type", "confidence"]))
+    added = edits.where("kind = 'add_synapse'").select("syn_id", "seq", F.lit(True).alias("on"), "x", "y", "z", "type", F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.array_distinct(F.array_compact(F.coalesce("rois", F.array().cast("array<string>")))).alias("rois"))
+    dropped = edits.where("kind = 'delete_synapse'").select("syn_id", "seq", F.lit(False).alias("on"), *(F.lit(None).cast(t).alias(c) for c, t in (("x", "long"), ("y", "long"), ("z", "long"), ("type", "string"), ("confidence", "double"), ("rois", "array<string>"))))
+    state = checkpointed(_last(added.unionByName(dropped), ["syn_id"], ["on", "x", "y", "z", "type", "confidence", "rois"]))
     kept = graph["synapse"].join(state.select("syn_id"), "syn_id", "left_anti")
-    rows = kept.unionByName(state.where("on").drop("seq", "on").withColumn("rois", F.array().cast("array<string>")))
+    rows = kept.unionByName(state.where("on").drop("seq", "on"), allowMissingColumns=True)
     change = _last(edits.where("kind IN ('add_roi', 'remove_roi')").select("syn_id", "roi", "seq", (F.col("kind") == "add_roi").alias("on")), ["syn_id", "roi"], ["on"])
     # a region edit before a synapse was added anew says nothing about the new one
     change = change.join(state.where("on").select("syn_id", F.col("seq").alias("born")), "syn_id", "left").where("born IS NULL OR seq > born")
@@ -183,7 +237,7 @@ def _properties(bodies: DataFrame, settings: DataFrame) -> DataFrame:
     return out.drop("_m")
 
 
-def _bodies(graph: Graph, edits: DataFrame) -> DataFrame:
+def _bodies(graph: Graph, edits: DataFrame, kinds: set[str]) -> DataFrame:
     """Bodies after the edits. Merges and splits take attributes as they are at their seq, so the log is cut at them:
     a body's state is set by its settings, then passed on by the next merge or split, and so forth. Rounds are as
     many as the longest chain of merges and splits of one body; only bodies that take part are in them."""
@@ -192,6 +246,11 @@ def _bodies(graph: Graph, edits: DataFrame) -> DataFrame:
     new = edits.where("kind = 'add_neuron'").select("body_id").distinct().join(bodies.select("body_id"), "body_id", "left_anti")
     bodies = bodies.unionByName(new, allowMissingColumns=True)
     settings = checkpointed(_settings(edits))
+    last = edits.where("kind IN ('delete_neuron', 'add_neuron')").groupBy("body_id").agg(F.max_by("kind", "seq").alias("kind")).where("kind = 'delete_neuron'")
+    if not kinds & {"merge", "split"}:
+        born = edits.where("kind = 'add_neuron'").groupBy("body_id").agg(F.max("seq").alias("_born"))
+        due = settings.join(born, "body_id", "left").where("_born IS NULL OR seq >= _born").drop("_born") if "delete_neuron" in kinds else settings
+        return _properties(bodies, due).join(last, "body_id", "left_anti")
     merges = edits.where("kind = 'merge'").select("seq", F.get("bodies", F.lit(0)).alias("target"), F.posexplode("bodies").alias("position", "body_id"))
     splits = edits.where("kind = 'split'").select("seq", F.get("bodies", F.lit(0)).alias("target"), F.explode(F.array(F.struct(F.lit(0).alias("position"), F.get("bodies", F.lit(0)).alias("body_id")), F.struct(F.lit(1).alias("position"), F.col("body_id").alias("body_id")))).alias("p")).select("seq", "target", "p.position", "p.body_id")
     steps = checkpointed(merges.withColumn("kind", F.lit("merge")).unionByName(splits.withColumn("kind", F.lit("split"))))
@@ -220,8 +279,7 @@ def _bodies(graph: Graph, edits: DataFrame) -> DataFrame:
     # a body that is added again after it went starts anew
     born = edits.where("kind IN ('add_neuron', 'split')").select(F.when(F.col("kind") == "split", F.get("bodies", F.lit(0))).otherwise(F.col("body_id")).alias("body_id"), "seq").groupBy("body_id").agg(F.max("seq").alias("_born"))
     out = _properties(every, later).drop("_at").join(taken, "body_id", "left").join(born, "body_id", "left").where("_gone IS NULL OR _born > _gone").drop("_gone", "_born")
-    last = edits.where("kind IN ('delete_neuron', 'add_neuron')").groupBy("body_id").agg(F.max_by("kind", "seq").alias("kind"))
-    return out.join(last.where("kind = 'delete_neuron'"), "body_id", "left_anti")
+    return out.join(last, "body_id", "left_anti")
 
 
 def _skeletons(graph: Graph, edits: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -236,30 +294,106 @@ def _skeletons(graph: Graph, edits: DataFrame, bodies: DataFrame) -> DataFrame:
     return rows.join(bodies.select("body_id"), "body_id", "left_semi")
 
 
+def _named(edits: DataFrame, one: tuple[str, ...], many: str, *kinds: str) -> DataFrame:
+    """key: ids that edits (of some kinds) name in single columns or in a list."""
+    rows = edits.where(F.col("kind").isin(*kinds)) if kinds else edits
+    return rows.select(F.explode(F.array_union(F.coalesce(many, F.array().cast("array<bigint>")), F.array(*one))).alias("key")).where("key IS NOT NULL").distinct()
+
+
+def _with_keys(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    return df.join(keys.withColumnRenamed("key", column), column, "left_semi").select(*df.columns)
+
+
+def part_of(graph: Graph, edits: DataFrame, kinds: set[str]) -> Graph:
+    """The rows that edits can read or change. Keys come from the edits and from the owners of the synapses that they name;
+    tables are semi-joined with them, which is a broadcast while the edits are few."""
+    synapses, bodies = checkpointed(_named(edits, ("syn_id", "post_id"), "synapses")), checkpointed(_named(edits, ("body_id",), "bodies"))
+    membership = _with_keys(graph["membership"], "syn_id", synapses)
+    if kinds & {"merge", "delete_neuron"}:
+        moved = _named(edits, ("body_id",), "bodies", "merge", "delete_neuron")
+        membership = membership.unionByName(_with_keys(graph["membership"], "body_id", moved).join(synapses.withColumnRenamed("key", "syn_id"), "syn_id", "left_anti").select(*membership.columns))
+    membership = checkpointed(membership)
+    ids = synapses.union(membership.select("syn_id")).distinct()
+    synapse = _with_keys(graph["synapse"], "syn_id", ids)
+    if "add_synapse" in kinds:
+        places = edits.where("kind = 'add_synapse'").select("x", "y", "z").distinct()
+        synapse = synapse.unionByName(graph["synapse"].join(places, ["x", "y", "z"], "left_semi").join(ids.withColumnRenamed("key", "syn_id"), "syn_id", "left_anti").select(*synapse.columns))
+    out = {"membership": membership, "synapse": checkpointed(synapse), "body": checkpointed(_with_keys(graph["body"], "body_id", bodies.union(membership.select("body_id")).distinct()))}
+    # a body that comes anew has no row, so tables of none are none
+    none = F.lit(False)
+    out["syn_edge"] = graph["syn_edge"].where(none)
+    if kinds & {"delete_synapse", "add_link"}:
+        ends = checkpointed(_named(edits.withColumn("_no", F.array().cast("array<bigint>")), ("syn_id", "post_id"), "_no", "delete_synapse", "add_link"))
+        before = _with_keys(graph["syn_edge"], "pre_id", ends)
+        out["syn_edge"] = checkpointed(before.unionByName(_with_keys(graph["syn_edge"], "post_id", ends).join(ends.withColumnRenamed("key", "pre_id"), "pre_id", "left_anti").select(*before.columns)))
+    if "skel_node" in graph:
+        some = kinds & {"add_skeleton", "delete_skeleton", "delete_neuron", "merge"}
+        out["skel_node"] = checkpointed(_with_keys(graph["skel_node"], "body_id", bodies)) if some else graph["skel_node"].where(none)
+    return out
+
+
+@dataclass
+class Edited:
+    """What edits come to: the rows of the base tables that they concern, before and after; the bodies touched; and the
+    rejected edits with their reasons."""
+
+    old: Graph
+    new: Graph
+    touched: DataFrame
+    rejected: DataFrame
+
+
+def edited(graph: Graph, edits: DataFrame) -> Edited:
+    """The effect of edits on a graph, without the rows that they leave alone. Base tables: synapse, syn_edge, membership, body,
+    skel_node, and applied (mutation_key), if keys are to be remembered."""
+    if "rois" not in edits.columns:
+        edits = edits.withColumn("rois", F.lit(None).cast("array<string>"))
+    fresh, odd = formed(checkpointed(new_edits(edits, graph.get("applied"))), graph["body"])
+    fresh = checkpointed(fresh)
+    kinds = {r.kind for r in fresh.select("kind").distinct().collect()}  # of KINDS
+    old = part_of(graph, fresh, kinds)
+    good, bad = (checkpointed(x) for x in checked(old, fresh, kinds))
+    synapse = checkpointed(_synapses(old, good)) if kinds & {"add_synapse", "delete_synapse", "add_roi", "remove_roi"} else old["synapse"]
+    ids = synapse.select("syn_id")
+    links = old["syn_edge"]
+    if kinds & {"delete_synapse", "add_link"}:
+        added = good.where("kind = 'add_link'").select(F.col("syn_id").alias("pre_id"), "post_id", "seq")
+        sides = synapse.select("syn_id", "type")
+        fit = added.join(sides.where("type = 'pre'").select(F.col("syn_id").alias("pre_id")), "pre_id", "left_semi").join(sides.where("type = 'post'").select(F.col("syn_id").alias("post_id")), "post_id", "left_semi")
+        links = links.select("pre_id", "post_id", F.lit(-1).cast("long").alias("seq")).unionByName(fit).groupBy("pre_id", "post_id").agg(F.max("seq").alias("seq"))
+        gone = good.where("kind = 'delete_synapse'").groupBy("syn_id").agg(F.max("seq").alias("at"))  # links go with a synapse, even if it is added anew
+        for end in ("pre_id", "post_id"):
+            links = links.join(gone.select(F.col("syn_id").alias(end), F.col("at").alias(f"_{end}")), end, "left").where(F.coalesce(F.col(f"_{end}") < F.col("seq"), F.lit(True)))
+        links = checkpointed(links.select("pre_id", "post_id"))
+    membership = _owners(old, good, kinds).join(ids, "syn_id", "left_semi")
+    bodies = checkpointed(_bodies(old, good, kinds))
+    new = {"synapse": synapse, "syn_edge": links, "membership": checkpointed(membership.join(bodies.select("body_id"), "body_id", "left_semi").select("body_id", "syn_id")), "body": bodies}
+    if "skel_node" in old:
+        new["skel_node"] = _skeletons(old, good, bodies) if kinds & {"add_skeleton", "delete_skeleton", "delete_neuron", "merge"} else old["skel_node"]
+    keys = good.where("mutation_key IS NOT NULL").select("mutation_key").distinct()
+    new["applied"], old["applied"] = keys, keys.where(F.lit(False))
+    return Edited(old, new, touched_bodies(old, new, good), bad.unionByName(odd))
+
+
+def merged(graph: Graph, part: Edited) -> Graph:
+    """graph with the rows of part as they are afterwards; all other rows are passed on as they are read."""
+    out = {}
+    for name, new in part.new.items():
+        if name not in graph:
+            out[name] = new
+            continue
+        keys = KEYS[name]
+        was = part.old[name].select(*keys).withColumn("_gone", F.lit(True))
+        out[name] = with_delta(graph[name], [was, new.withColumn("_gone", F.lit(False))], keys)
+    return out
+
+
 def apply_edits(graph: Graph, edits: DataFrame) -> tuple[Graph, DataFrame, DataFrame]:
     """The base tables after the edits, the bodies touched, and the rejected edits. Nothing is written, so a dry
-    run is a call whose result is not stored. Base tables: synapse, syn_edge, membership, body, skel_node, and
-    applied (mutation_key), if keys are to be remembered."""
-    fresh = checkpointed(new_edits(edits, graph.get("applied")))
-    good, bad = (checkpointed(x) for x in checked(graph, fresh))
-    synapse = checkpointed(_synapses(graph, good))
-    ids = synapse.select("syn_id")
-    added = good.where("kind = 'add_link'").select(F.col("syn_id").alias("pre_id"), "post_id", "seq")
-    sides = synapse.select("syn_id", "type")
-    fit = added.join(sides.where("type = 'pre'").select(F.col("syn_id").alias("pre_id")), "pre_id", "left_semi").join(sides.where("type = 'post'").select(F.col("syn_id").alias("post_id")), "post_id", "left_semi")
-    links = graph["syn_edge"].select("pre_id", "post_id", F.lit(-1).cast("long").alias("seq")).unionByName(fit).groupBy("pre_id", "post_id").agg(F.max("seq").alias("seq"))
-    gone = good.where("kind = 'delete_synapse'").groupBy("syn_id").agg(F.max("seq").alias("at"))  # links go with a synapse, even if it is added anew
-    for end in ("pre_id", "post_id"):
-        links = links.join(gone.select(F.col("syn_id").alias(end), F.col("at").alias(f"_{end}")), end, "left").where(F.coalesce(F.col(f"_{end}") < F.col("seq"), F.lit(True)))
-    membership = checkpointed(_owners(graph, good).join(ids, "syn_id", "left_semi"))
-    bodies = checkpointed(_bodies(graph, good))
-    membership = membership.join(bodies.select("body_id"), "body_id", "left_semi").select("body_id", "syn_id")
-    out = {"synapse": synapse, "syn_edge": links.select("pre_id", "post_id"), "membership": membership, "body": bodies}
-    if "skel_node" in graph:
-        out["skel_node"] = _skeletons(graph, good, bodies)
-    keys = good.where("mutation_key IS NOT NULL").select("mutation_key")
-    out["applied"] = (graph["applied"].unionByName(keys) if "applied" in graph else keys).distinct()
-    return out, touched_bodies(graph, out, good), bad
+    run is a call whose result is not stored. Of the base tables (see `edited`) only the rows that the edits concern are worked
+    on."""
+    part = edited(graph, edits)
+    return merged(graph, part), part.touched, part.rejected
 
 
 def touched_bodies(old: Graph, new: Graph, edits: DataFrame) -> DataFrame:

@@ -3,10 +3,13 @@ the same. Maps and arrays are shown in long form or as text, so that both engine
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from axonweave.functions import columns as C
 from axonweave.operators import aggregate as A
@@ -15,9 +18,11 @@ from axonweave.operators import rank as R
 from axonweave.operators import relate as H
 from axonweave.operators import validate as V
 from axonweave.plans import edits as K
+from axonweave.plans.changes import stamp
 from axonweave.plans.load import derive
 from axonweave.plans.project import ORACLE, Tables
-from axonweave.streaming.feed import freshness
+from axonweave.schemas import EDIT
+from axonweave.streaming.feed import apply_batch, freshness, load_snapshot, save_snapshot
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -505,6 +510,22 @@ def _base(t: Tables) -> dict[str, DataFrame]:
     return {"synapse": s.select("syn_id", "x", "y", "z", "type", "confidence", "rois"), "syn_edge": t.syn_edge, "membership": s.select("body_id", "syn_id"), "body": t.body}
 
 
+def _stored(t: Tables) -> dict[str, DataFrame]:
+    """The same, written once: a graph at rest, which edits read by key."""
+    s = G.checkpointed(t.synapse.select("syn_id", "x", "y", "z", "type", "confidence", "rois", "body_id"))
+    ends = lambda kind, name: s.where(F.col("type") == kind).select("x", F.col("syn_id").alias(name))
+    return {"synapse": s.drop("body_id"), "syn_edge": ends("pre", "pre_id").join(ends("post", "post_id"), "x").drop("x"), "membership": s.select("body_id", "syn_id"), "body": t.body, "skel_node": t.skel_node}
+
+
+def _log(rows: DataFrame) -> DataFrame:
+    """rows as edits; columns that they lack are null."""
+    return rows.select(*((F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(EDIT)))
+
+
+def _after(t: Tables, *edits: DataFrame) -> dict[str, DataFrame]:
+    return K.apply_edits(_stored(t), reduce(DataFrame.unionByName, map(_log, edits)))[0]
+
+
 _EDITED = """, ev AS (SELECT event_id AS seq, user_id AS body_id, event_type AS kind, ((event_id * 7) % (SELECT count(*) FROM orders)) * 1000 + event_id % 3 + 1 AS syn_id, props FROM events),
     born AS (SELECT body_id, min(seq) AS at FROM ev WHERE kind = 'signup' GROUP BY 1),
     gone AS (SELECT syn_id, min(seq) AS at FROM ev WHERE kind = 'error' GROUP BY 1),
@@ -516,14 +537,14 @@ _EDITED = """, ev AS (SELECT event_id AS seq, user_id AS body_id, event_type AS
 @query(f"""{_EDITED} SELECT a.body_id AS pre_body, b.body_id AS post_body, count(DISTINCT post_id) AS weight, count(DISTINCT post_id) FILTER (b.confidence > 0.8) AS weight_hp
     FROM edge JOIN live a ON a.syn_id = pre_id JOIN live b ON b.syn_id = post_id WHERE a.body_id IS NOT NULL AND b.body_id IS NOT NULL GROUP BY 1, 2""")
 def k12_connections_after_edits(t: Tables) -> DataFrame:
-    graph, _, _ = K.apply_edits(_base(t), _edit_log(t))
+    graph, _, _ = K.apply_edits(_stored(t), _edit_log(t))
     return derive(graph, 0.2, 0.8, with_regions=False)["connection"]
 
 
 @query(f"""{_EDITED}, last AS (SELECT e.body_id, arg_max(props, seq) AS status FROM ev e LEFT JOIN born USING (body_id) WHERE kind = 'click' AND (e.body_id IN (SELECT p_partkey FROM part) OR coalesce(born.at < seq, false)) GROUP BY 1)
     SELECT body_id, coalesce(last.status, p_brand) AS status FROM (SELECT p_partkey AS body_id FROM part UNION SELECT body_id FROM born) LEFT JOIN part ON p_partkey = body_id LEFT JOIN last USING (body_id)""")
 def k01_bodies_after_edits(t: Tables) -> DataFrame:
-    graph, _, _ = K.apply_edits(_base(t), _edit_log(t))
+    graph, _, _ = K.apply_edits(_stored(t), _edit_log(t))
     return graph["body"].select("body_id", "status")
 
 
@@ -541,3 +562,139 @@ def k18_connection_synapses_once(t: Tables) -> DataFrame:
 @query("SELECT max(ts) AS last_edit FROM events")
 def l03_freshness(t: Tables) -> DataFrame:
     return freshness(_edit_log(t))
+
+
+def _sizes(graph: dict[str, DataFrame]) -> DataFrame:
+    """Bodies with their attributes and how many synapses they own."""
+    n = graph["membership"].groupBy("body_id").agg(F.count("*").alias("n"))
+    return graph["body"].join(n, "body_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+@query("""SELECT body_id, CASE WHEN body_id % 4 = 1 THEN NULL ELSE p_name END AS name, CASE body_id % 4 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN concat('S', body_id) ELSE p_brand END AS status,
+    body_id % 4 <> 1 OR coalesce(pre >= 2 OR post >= 10, false) AS is_neuron, (body_id % 4 <> 1 OR coalesce(pre >= 2 OR post >= 10, false)) AND pre + post > 0 AS has_cluster
+    FROM (SELECT p_partkey AS body_id, p_name, p_brand FROM part) LEFT JOIN body_n USING (body_id)""")
+def k03_properties_and_demotion(t: Tables) -> DataFrame:
+    """set_properties with null, delete_property of all evidence, update_properties; bodies without evidence are no neurons."""
+    b = t.body.select("body_id", F.col("body_id").alias("seq"))
+    text = lambda v: F.lit(v).cast("string")
+    clear = b.where("body_id % 4 = 0").withColumns({"kind": F.lit("set_properties"), "props": F.create_map(F.lit("status"), text(None))})
+    drop = b.where("body_id % 4 = 1").withColumns({"kind": F.lit("delete_property"), "props": F.create_map(F.lit("status"), text(None), F.lit("name"), text(None))})
+    put = b.where("body_id % 4 = 2").withColumns({"kind": F.lit("update_properties"), "props": F.create_map(F.lit("status"), F.concat(F.lit("S"), "body_id"), F.lit("name"), text(None))})
+    info = derive(_after(t, clear, drop, put))["body_info"]
+    return info.select("body_id", "name", "status", "is_neuron", F.col("cluster_name").isNotNull().alias("has_cluster"))
+
+
+@query("""SELECT body_id, name, n FROM (
+    SELECT p_partkey AS body_id, p_name AS name, (SELECT count(*) FROM synapse s WHERE s.body_id = p_partkey) AS n FROM part WHERE p_partkey % 10 <> 3
+    UNION ALL SELECT 2000000000 + p_partkey, 'again', (SELECT count(*) FROM synapse s WHERE s.body_id = p_partkey AND syn_id % 2 = 1) FROM part WHERE p_partkey % 10 = 3 AND EXISTS (SELECT 1 FROM synapse s WHERE s.body_id = p_partkey AND syn_id % 2 = 1))""")
+def k05_bodies_deleted_and_added(t: Tables) -> DataFrame:
+    """Every tenth body goes; new bodies take half of the synapses that this leaves without owner."""
+    gone = t.body.where("body_id % 10 = 3").select("body_id", F.col("body_id").alias("seq"), F.lit("delete_neuron").alias("kind"))
+    free = t.synapse.where("body_id % 10 = 3 AND syn_id % 2 = 1").groupBy("body_id").agg(F.collect_list("syn_id").alias("synapses"))
+    new = free.select((F.col("body_id") + 2_000_000_000).alias("body_id"), (F.col("body_id") + 2_000_000_000).alias("seq"), F.lit("add_neuron").alias("kind"), "synapses", F.create_map(F.lit("name"), F.lit("again")).alias("props"))
+    return _sizes(_after(t, gone, new)).select("body_id", "name", "n")
+
+
+@query("""SELECT body_id, count(*) AS n, max(row_no) AS last FROM skel WHERE NOT (body_id % 3 = 0 AND body_id IN (SELECT p_partkey FROM part)) GROUP BY 1
+    UNION ALL SELECT p_partkey, 1, 7 FROM part WHERE p_partkey NOT IN (SELECT body_id FROM skel)""")
+def k06_skeletons_added_and_deleted(t: Tables) -> DataFrame:
+    """Every third skeleton of a body goes; bodies without one get one, and an addition to others is rejected."""
+    bodies = t.body.select("body_id", F.col("body_id").alias("seq"))
+    had = t.skel_node.select("body_id").distinct()
+    gone = bodies.where("body_id % 3 = 0").join(had, "body_id", "left_semi").withColumn("kind", F.lit("delete_skeleton"))
+    node = F.array(F.struct(F.lit(7).alias("row_no"), F.lit(0).alias("type"), *(F.lit(1).alias(c) for c in "xyz"), F.lit(1.0).alias("radius"), F.lit(-1).alias("parent_row")))
+    new = bodies.where("body_id % 3 <> 0").unionByName(bodies.where("body_id % 3 = 0").join(had, "body_id", "left_anti")).withColumns({"kind": F.lit("add_skeleton"), "skeleton": node})
+    return _after(t, gone, new)["skel_node"].groupBy("body_id").agg(F.count("*").alias("n"), F.max("row_no").cast("long").alias("last"))
+
+
+@query("""SELECT body_id, roi, count(*) FILTER (type = 'pre') AS pre, count(*) FILTER (type = 'post') AS post FROM (
+    SELECT r.body_id, r.type, r.roi FROM syn_roi r JOIN synapse s USING (syn_id) WHERE NOT (syn_id % 7 = 0 AND r.roi = s.super_roi) UNION ALL SELECT body_id, type, 'EXTRA' FROM synapse WHERE syn_id % 5 = 0) GROUP BY 1, 2""")
+def k08_regions_added_and_removed(t: Tables) -> DataFrame:
+    syn = t.synapse.select("syn_id", "super_roi")
+    put = syn.where("syn_id % 5 = 0").select("syn_id", F.col("syn_id").alias("seq"), F.lit("add_roi").alias("kind"), F.lit("EXTRA").alias("roi"))
+    drop = syn.where("syn_id % 7 = 0").select("syn_id", (F.col("syn_id") + 10**12).alias("seq"), F.lit("remove_roi").alias("kind"), F.col("super_roi").alias("roi"))
+    graph = _after(t, put, drop)
+    return A.body_roi_counts(H.with_bodies(graph["synapse"], graph["membership"]))
+
+
+@query("""SELECT pre_body, post_body, count(DISTINCT post_id) AS weight, count(DISTINCT post_id) FILTER (post_conf > 0.8) AS weight_hp, count(DISTINCT post_id) FILTER (roi = 'NEW') AS new FROM (
+    SELECT pre_body, post_body, post_id, post_conf, NULL AS roi FROM edge UNION ALL SELECT body_id, body_id, x * 1000 + 999, 0.95, 'NEW' FROM synapse WHERE type = 'pre' AND x % 3 = 0) GROUP BY 1, 2""")
+def k10_synapses_and_links_added(t: Tables) -> DataFrame:
+    """Orders get a new pre and post, a link between them and the body of their first pre as owner; the post's region comes
+    along."""
+    at = t.synapse.where("type = 'pre' AND x % 3 = 0").select("x", "body_id")
+    one = lambda step, kind, **c: at.select((F.col("x") * 10 + step).alias("seq"), F.lit(kind).alias("kind"), *(v.alias(k) for k, v in c.items()))
+    pre, post, zero = F.col("x") * 1000 + 998, F.col("x") * 1000 + 999, F.lit(0)
+    graph = _after(
+        t, one(0, "add_synapse", syn_id=pre, x=F.col("x"), y=F.lit(998), z=zero, type=F.lit("pre"), confidence=F.lit(0.95)), one(1, "add_synapse", syn_id=post, x=F.col("x"), y=F.lit(999), z=zero, type=F.lit("post"), confidence=F.lit(0.95), rois=F.array(F.lit("NEW"))),
+        one(2, "add_link", syn_id=pre, post_id=post), one(3, "add_synapse_to_segment", syn_id=pre, body_id=F.col("body_id")), one(4, "add_synapse_to_segment", syn_id=post, body_id=F.col("body_id")),
+    )
+    edges = H.resolve_edges(graph["syn_edge"], H.with_bodies(graph["synapse"], graph["membership"]))
+    new = edges.where(F.array_contains("post_rois", "NEW")).groupBy("pre_body", "post_body").agg(F.countDistinct("post_id").alias("new"))
+    return A.connections(edges, 0.2, 0.8).join(new, ["pre_body", "post_body"], "left").select("pre_body", "post_body", "weight", "weight_hp", F.coalesce("new", F.lit(0)).alias("new"))
+
+
+@query("""SELECT CASE WHEN p_partkey % 2 = 0 AND p_partkey - 1 IN (SELECT p_partkey FROM part) THEN p_partkey - 1 ELSE p_partkey END AS body_id, arg_min(p_name, p_partkey) AS name, CAST(sum(p_size) AS BIGINT) AS size, CAST(sum(coalesce(n, 0)) AS BIGINT) AS n
+    FROM part LEFT JOIN (SELECT body_id, count(*) AS n FROM synapse GROUP BY 1) ON body_id = p_partkey GROUP BY 1""")
+def k15_merged_bodies(t: Tables) -> DataFrame:
+    """Every odd body takes in the one after it."""
+    odd, even = t.body.where("body_id % 2 = 1").select("body_id"), t.body.where("body_id % 2 = 0").select((F.col("body_id") - 1).alias("body_id"))
+    pairs = odd.join(even, "body_id").select(F.col("body_id").alias("seq"), F.lit("merge").alias("kind"), F.array("body_id", F.col("body_id") + 1).alias("bodies"))
+    return _sizes(_after(t, pairs)).select("body_id", "name", "size", "n")
+
+
+@query("""SELECT body_id, name, n FROM (
+    SELECT p_partkey AS body_id, p_name AS name, (SELECT count(*) FROM synapse s WHERE s.body_id = p_partkey AND NOT (p_partkey % 7 = 0 AND syn_id % 2 = 0)) AS n FROM part
+    UNION ALL SELECT 1000000000 + p_partkey, p_name, n FROM part JOIN (SELECT body_id, count(*) AS n FROM synapse WHERE body_id % 7 = 0 AND syn_id % 2 = 0 GROUP BY 1) ON body_id = p_partkey)""")
+def k16_split_bodies(t: Tables) -> DataFrame:
+    """Every seventh body gives its even synapses to a new one."""
+    parts = t.synapse.where("body_id % 7 = 0 AND syn_id % 2 = 0").groupBy("body_id").agg(F.collect_list("syn_id").alias("synapses"))
+    return _sizes(_after(t, parts.select("body_id", F.col("body_id").alias("seq"), F.lit("split").alias("kind"), "synapses", F.array(F.col("body_id") + 1_000_000_000).alias("bodies")))).select("body_id", "name", "n")
+
+
+@query(f"""{_EDITED}, moved AS (SELECT s.syn_id, s.body_id AS was, l.body_id AS now, l.syn_id IS NOT NULL AS alive FROM synapse s LEFT JOIN live l USING (syn_id) WHERE l.syn_id IS NULL OR l.body_id IS DISTINCT FROM s.body_id),
+    cut AS (SELECT pre_id, post_id FROM edge WHERE pre_id IN (SELECT syn_id FROM gone) OR post_id IN (SELECT syn_id FROM gone)),
+    fresh AS (SELECT a.body_id AS pre_body, b.body_id AS post_body, count(DISTINCT post_id) AS weight, count(DISTINCT post_id) FILTER (b.confidence > 0.8) AS weight_hp
+        FROM edge JOIN live a ON a.syn_id = pre_id JOIN live b ON b.syn_id = post_id WHERE a.body_id IS NOT NULL AND b.body_id IS NOT NULL GROUP BY 1, 2),
+    conn_change AS (SELECT coalesce(o.pre_body, f.pre_body) AS pre_body, coalesce(o.post_body, f.post_body) AS post_body FROM conn o FULL JOIN fresh f ON o.pre_body = f.pre_body AND o.post_body = f.post_body
+        WHERE o.weight IS DISTINCT FROM f.weight OR o.weight_hp IS DISTINCT FROM f.weight_hp),
+    named AS (SELECT e.body_id, arg_max(props, seq) AS status FROM ev e LEFT JOIN born USING (body_id) WHERE kind = 'click' AND (e.body_id IN (SELECT p_partkey FROM part) OR coalesce(born.at < seq, false)) GROUP BY 1),
+    touched AS (
+        SELECT 'synapse' AS node, syn_id AS id FROM moved WHERE alive UNION SELECT 'synapse', pre_id FROM cut WHERE pre_id NOT IN (SELECT syn_id FROM gone) UNION SELECT 'synapse', post_id FROM cut WHERE post_id NOT IN (SELECT syn_id FROM gone)
+        UNION SELECT 'body', body_id FROM born WHERE body_id NOT IN (SELECT p_partkey FROM part) UNION SELECT 'body', body_id FROM named LEFT JOIN part ON p_partkey = body_id WHERE status IS DISTINCT FROM p_brand
+        UNION SELECT 'body', was FROM moved WHERE was IS NOT NULL UNION SELECT 'body', now FROM moved WHERE now IS NOT NULL UNION SELECT 'body', pre_body FROM conn_change UNION SELECT 'body', post_body FROM conn_change
+        UNION SELECT 'dataset', 0)
+    SELECT node, id, date_trunc('second', (SELECT max(ts) FROM events)) AS ts FROM touched""")
+def k21_stamps_of_edits(t: Tables) -> DataFrame:
+    """Nodes that the edits stamp: changed ones and the ends of changed relationships, connections included; and the dataset's
+    last edit."""
+    old = _stored(t)
+    new, _, _ = K.apply_edits(old, _edit_log(t))
+    conns = lambda g: A.connections(H.resolve_edges(g["syn_edge"], H.with_bodies(g["synapse"], g["membership"])), 0.2, 0.8)
+    with_conns = lambda g: {n: g[n] for n in ("synapse", "syn_edge", "membership", "body")} | {"connection": G.checkpointed(conns(g))}
+    last = t.read("events").agg(F.max("ts").alias("t")).first().t
+    marked, edit = stamp(with_conns(old), with_conns(new), last)
+    rows = marked["synapse"].select(F.lit("synapse").alias("node"), F.col("syn_id").alias("id"), "ts").unionByName(marked["body"].select(F.lit("body").alias("node"), F.col("body_id").alias("id"), "ts"))
+    return rows.where("ts IS NOT NULL").unionByName(edit.select(F.lit("dataset").alias("node"), F.lit(0).cast("long").alias("id"), F.col("last_edit").alias("ts")))
+
+
+_VERSION = "SELECT {k} AS version, body_id, coalesce(last.status, p_brand) AS status, coalesce(n, 0) AS n FROM (SELECT p_partkey AS body_id FROM part UNION SELECT body_id FROM born{k}) LEFT JOIN part ON p_partkey = body_id LEFT JOIN last{k} last USING (body_id) LEFT JOIN (SELECT body_id, count(*) AS n FROM live{k} WHERE body_id IS NOT NULL GROUP BY 1) USING (body_id)"
+_UPTO = """, ev{k} AS (SELECT event_id AS seq, user_id AS body_id, event_type AS kind, ((event_id * 7) % (SELECT count(*) FROM orders)) * 1000 + event_id % 3 + 1 AS syn_id, props FROM events WHERE event_id <= (SELECT {k} * max(event_id) // 2 FROM events)),
+    born{k} AS (SELECT body_id, min(seq) AS at FROM ev{k} WHERE kind = 'signup' GROUP BY 1),
+    own{k} AS (SELECT syn_id, arg_max({{'b': CASE WHEN kind = 'purchase' THEN body_id END}}, seq) AS o FROM ev{k} LEFT JOIN born{k} born USING (body_id)
+        WHERE kind = 'view' OR kind = 'purchase' AND (body_id IN (SELECT p_partkey FROM part) OR coalesce(born.at < seq, false)) GROUP BY 1),
+    live{k} AS (SELECT s.syn_id, CASE WHEN own.syn_id IS NULL THEN s.body_id ELSE own.o.b END AS body_id FROM synapse s LEFT JOIN own{k} own USING (syn_id) WHERE s.syn_id NOT IN (SELECT syn_id FROM ev{k} WHERE kind = 'error')),
+    last{k} AS (SELECT e.body_id, arg_max(props, seq) AS status FROM ev{k} e LEFT JOIN born{k} born USING (body_id) WHERE kind = 'click' AND (e.body_id IN (SELECT p_partkey FROM part) OR coalesce(born.at < seq, false)) GROUP BY 1)"""
+
+
+@query(f"{_UPTO.format(k=1)}{_UPTO.format(k=2)} {_VERSION.format(k=1)} UNION ALL {_VERSION.format(k=2)}")
+def l01_store_versions(t: Tables) -> DataFrame:
+    """Bodies in both versions of a store that takes the edits in two batches, the second of them twice."""
+    spark, path = t.spark, f"{G.shared_folder(t.spark)}/store/{uuid.uuid4().hex}"
+    save_snapshot(_stored(t), path, 0)
+    edits = _edit_log(t)
+    half = F.lit(edits.agg(F.max("seq")).first()[0] // 2)
+    for version, part in ((0, edits.where(F.col("seq") <= half)), (1, edits.where(F.col("seq") > half)), (1, edits.where(F.col("seq") > half))):
+        apply_batch(spark, path, version, part)
+    rows = [_sizes(load_snapshot(spark, path, v)).select(F.lit(v).alias("version"), "body_id", "status", "n") for v in (1, 2)]
+    return rows[0].unionByName(rows[1])

@@ -15,7 +15,7 @@ SYNAPSE_CSV = "x BIGINT, y BIGINT, z BIGINT, kind STRING, conf DOUBLE"
 MAPPED_CSV = "syn_id BIGINT, x BIGINT, y BIGINT, z BIGINT, type STRING, confidence DOUBLE, super_roi STRING, sub1_roi STRING, sub2_roi STRING, sub3_roi STRING, body_id BIGINT"
 EDIT = (
     "seq BIGINT, ts TIMESTAMP, mutation_key STRING, kind STRING, body_id BIGINT, bodies ARRAY<BIGINT>, syn_id BIGINT, post_id BIGINT, x BIGINT, y BIGINT, z BIGINT, type STRING, "
-    "confidence DOUBLE, roi STRING, synapses ARRAY<BIGINT>, props MAP<STRING,STRING>, skeleton ARRAY<STRUCT<row_no: INT, type: INT, x: BIGINT, y: BIGINT, z: BIGINT, radius: DOUBLE, parent_row: INT>>"
+    "confidence DOUBLE, roi STRING, rois ARRAY<STRING>, synapses ARRAY<BIGINT>, props MAP<STRING,STRING>, skeleton ARRAY<STRUCT<row_no: INT, type: INT, x: BIGINT, y: BIGINT, z: BIGINT, radius: DOUBLE, parent_row: INT>>"
 )
 
 # Canonical tables
