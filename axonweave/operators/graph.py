@@ -1,11 +1,12 @@
 """Graph and spatial operators: shortest paths, trees of skeleton nodes, line graphs.
 
-Iterations keep their state as DataFrames and cut the lineage each round with checkpoint().
+Iterations keep their state as DataFrames and cut the lineage each round by writing it to the shared folder.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """df, computed once and kept as a table in the shared folder. Unlike checkpoint(), which computes df for its rows
+    and again for its file, this writes once, and what reads it knows its size and can prune columns."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shortest_distances(conns: DataFrame, sources: DataFrame, weight: str = "weight", default: float = float("nan"), threshold: str = "weight", least: float = 0, direction: str = "out") -> tuple[DataFrame, DataFrame]:
