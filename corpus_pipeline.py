@@ -44,17 +44,21 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     all others. Rows that repeat in every column are one document. Texts that are null or have no word are copies
     of nothing, so all of them stay. Columns beyond those of documents go along; an empty table stays empty.
     """
+    kinds = dict(docs.dtypes)
+    whole = F.xxhash64(*(F.to_json(F.struct(c)) if "map<" in kinds[c] or kinds[c] == "variant" else F.col(c) for c in docs.columns))  # maps have no hash
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    keyed = docs.select("*", F.xxhash64("text").alias("_text"), F.xxhash64(*docs.columns).alias("_row")).where(worded)
-    links = jaccard_components(keyed.select(F.col("_text").alias("doc_id"), "text"), width=WIDTH, percent=PERCENT)
-    groups = links.select(F.col("doc_id").alias("_text"), F.col("component_id").alias("_group")).distinct()
+    # The row is one column, so that no column of docs has the name of a helper.
+    every = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("text_key"), whole.alias("row_key"), worded.alias("worded"))
+    keyed = every.where("worded")
+    links = jaccard_components(keyed.select(F.col("text_key").alias("doc_id"), F.col("row.text").alias("text")), width=WIDTH, percent=PERCENT)
+    groups = links.select(F.col("doc_id").alias("text_key"), F.col("component_id").alias("group")).distinct()
     # Copies are counted before the join, so a text that a third of all rows share is one row in it.
-    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c"))
-    first = keyed.groupBy("_text").agg(F.min(order).alias("m")).join(groups, "_text").groupBy("_group").agg(F.min("m").alias("m")).select(F.col("m.c").alias("_row"))
-    times = keyed.groupBy("_row").agg(F.count("*").alias("_times")).join(first, "_row", "left_semi")
-    kept = keyed.join(store(times), "_row")
-    once = kept.where("_times = 1").unionByName(kept.where("_times > 1").dropDuplicates(["_row"]))
-    return once.select(*docs.columns).unionByName(docs.where(~worded))
+    order = F.struct(F.col("row.doc_id").isNull().alias("a"), F.col("row.doc_id").alias("b"), F.col("row_key").alias("c"))
+    first = keyed.groupBy("text_key").agg(F.min(order).alias("m")).join(groups, "text_key").groupBy("group").agg(F.min("m").alias("m")).select(F.col("m.c").alias("row_key"))
+    times = keyed.groupBy("row_key").agg(F.count("*").alias("times")).join(first, "row_key", "left_semi")
+    kept = keyed.join(store(times), "row_key")
+    once = kept.where("times = 1").select("row").unionByName(kept.where("times > 1").dropDuplicates(["row_key"]).select("row"))
+    return once.unionByName(every.where("NOT worded").select("row")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,10 +68,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     shares an id with a contaminated one stays. Null and empty texts have no words and stay; repeated rows share
     their fate; texts are read whole. Columns beyond those of documents go along; an empty table stays empty.
     """
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    judged = contamination(keyed.select(F.col("_text").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
-    bad = judged.where("contaminated").select(F.col("doc_id").alias("_text")).distinct()
-    return keyed.join(bad, "_text", "left_anti").select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("text_key"))
+    judged = contamination(keyed.select(F.col("text_key").alias("doc_id"), F.col("row.text").alias("text")), read_table(spark, sf_dir, "benchmark"))
+    bad = judged.where("contaminated").select(F.col("doc_id").alias("text_key")).distinct()
+    return keyed.join(bad, "text_key", "left_anti").select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
