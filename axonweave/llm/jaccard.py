@@ -200,7 +200,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     Words are runs of characters other than space and \\t to \\r, A-Z lower-cased. Texts link when
     100 * overlap >= percent * union of their distinct width-word shingles. A null or empty text, or one without
     words, has an empty set and links with nothing. component_id is the smallest doc_id that links reach.
-    Rows that share a doc_id are one node. Shingles are compared by 64-bit hashes. A row without doc_id cannot stand for its set: unless another row
+    Nodes are texts: rows that share a doc_id but not a text are not linked by the id, and each row has the component of its own
+    text. Shingles are compared by 64-bit hashes. A row without doc_id cannot stand for its set: unless another row
     has the same set, it links with nothing. Other columns of docs are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

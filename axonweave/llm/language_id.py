@@ -106,7 +106,7 @@ class Hierarchy:
                 self.pairs.append((a, b))
                 weights.append(w)
                 self.biases.append(bias)
-        self.weights = np.array(weights, np.float32).reshape(len(weights), -1)
+        self.weights = np.array(weights, np.float32).reshape(len(weights), x.shape[1])  # one language needs no machine
 
     def _votes(self, values: np.ndarray, classes: list[str], first: int) -> np.ndarray:
         """Each class's mean chance over its duels."""
@@ -144,14 +144,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit_languages(docs: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
-    """Fit on docs(doc_id, text, lang): of each language, at most sample texts by the smallest hashes of ids."""
-    known = docs.where("doc_id is not null and text is not null and lang is not null").withColumn("h", F.xxhash64("doc_id"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
+    """Fit on docs(doc_id, text, lang): of each language, at most sample texts by the smallest hashes of id and text.
+    Rows that repeat count once; texts under one id are ranked one by one."""
+    known = docs.where("doc_id is not null and text is not null and lang is not null").select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string")).withColumn("h", F.xxhash64("doc_id", "text"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
     sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_LANGS else sizes
-    # Hashes are even: few more rows than needed are left to be ranked.
-    near = known.select("doc_id", "lang", "h").join(sizes, "lang").where((F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n") <= F.lit(2.0 * sample + 50))
-    chosen = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("r") <= sample).select("doc_id").distinct()
-    rows = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string"))
+    # Hashes are even: few more texts than needed are left to be ranked.
+    near = known.select("lang", "h").join(sizes, "lang").where((F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n") <= F.lit(2.0 * sample + 50)).select("lang", "h").distinct()
+    chosen = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= sample).select("lang", "h")
+    rows = known.join(F.broadcast(chosen), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"]).select("doc_id", "lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_caches()
@@ -175,8 +176,10 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     Learns from text and lang of rows with a lang whose crc32(doc_id as text) mod 4 is not 2; the others are
     held out. lang_pred is und with score 0 if text is null or has no letter, or if nothing could be learned.
-    score is the product of the family's and the language's mean chances in their duels. Repeated rows get equal
-    results; further columns are ignored; an empty table gives no rows.
+    score is the product of the family's and the language's mean chances in their duels; ties go to the smaller name. If
+    only one language was learned, it is every text's. Texts of any length are read whole. Repeated rows get equal results
+    and are learned from once, rows that share an id are learned from one by one; further columns are ignored; an empty
+    table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     model = fit_languages(docs.where(~held_out(F.col("doc_id"))), sample)

@@ -1,5 +1,6 @@
 from zlib import crc32
 
+from axonweave.llm import language_id as L
 from axonweave.llm.language_id import identify
 
 
@@ -25,3 +26,27 @@ def test_edges(spark):
     none = identify(docs.where("lang is null")).collect()
     assert {r.lang_pred for r in none} == {"und"}
     assert identify(docs.limit(0)).collect() == []
+
+
+def test_one_language(spark):
+    docs = spark.createDataFrame([(i, f"the cat and the dog number {i} are here", "en") for i in range(20)] + [(50, "12 34", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in identify(docs).collect()}
+    assert got.pop(50) == ("und", 0.0) and set(got.values()) == {("en", 1.0)}
+
+
+def test_many_rows_under_one_id(spark):
+    """Of one id's texts and of repeated rows, no more than the sample are fitted, whatever the id's hash."""
+    ids = [i for i in range(40) if crc32(str(i).encode()) % 4 != 2][:6]
+    for hot in ids[:3]:
+        rows = [(hot, f"the cat and the dog {i % 700} are in the house", "en") for i in range(3_000)] + [(ids[5], f"der hund und die katze {i} sind im haus", "de") for i in range(50)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        got = identify(docs, sample=40)
+        assert got.count() == 3_050 and {(r.doc_id, r.lang_pred) for r in got.select("doc_id", "lang_pred").distinct().collect()} == {(hot, "en"), (ids[5], "de")}
+
+
+def test_no_more_than_the_sample_is_fitted(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "Hierarchy", lambda x, langs: seen.append(sorted(langs.tolist())))
+    docs = spark.createDataFrame([(1, f"text {i % 90}", "en") for i in range(2_000)] + [(2, "same", "de")] * 500, "doc_id long, text string, lang string")
+    L.fit_languages(docs, 30)
+    assert seen == [["de"] + ["en"] * 30]

@@ -84,3 +84,17 @@ def test_near_copies_of_five_words(spark, tmp_path):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     want = sorted(d for d, _, c in brute_components(rows, 5, 80) if d == c)
     assert sorted(r.doc_id for r in cp.near_copies(spark, docs, SF).collect()) == want
+
+
+def test_columns_named_as_helpers_and_maps(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").orderBy("item_id").first().text
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame([(1, words, "en", "s", 1), (2, words, "en", "s", 1), (3, None, "en", "s", 0), (4, item, "en", "s", 1)], schema)
+    names = ("_text", "_row", "_group", "_times", "row", "text_key", "row_key", "worded", "group", "times", "d", "t")
+    docs = docs.withColumns({n: F.concat(F.lit("mine "), F.col("doc_id")) for n in names} | {"m": F.create_map(F.lit("k"), F.col("doc_id"))})
+    for stage, ids in ((cp.near_copies, [1, 3, 4]), (cp.decontamination, [1, 2, 3]), (cp.personal_data, [1, 2, 3, 4])):
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert sorted(r.doc_id for r in rows) == ids and all(r[n] == f"mine {r.doc_id}" for r in rows for n in names) and all(r.m == {"k": r.doc_id} for r in rows)
