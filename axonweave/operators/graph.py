@@ -37,9 +37,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shortest_distances(conns: DataFrame, sources: DataFrame, weight: str = "weight", default: float = float("nan"), threshold: str = "weight", least: float = 0, direction: str = "out") -> tuple[DataFrame, DataFrame]:
+def shortest_distances(conns: DataFrame, sources: DataFrame, weight: str = "weight", default: float = float("nan"), threshold: str = "weight", least: float = 0, direction: str = "out", targets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Distances (source, body_id, distance) from sources(source) by rounds of relaxation, and the arcs used.
 
+    With targets(source, target), a source's search ends at its farthest target: once all are reached, bodies farther than
+    that are not expanded, and their distances may be too large.
+
     Connections whose threshold property is below least are left out before the search. direction: out follows
     pre to post, in the reverse, both either way. A missing weight is default; NaN never improves a path.
     Negative weights are an error. Only bodies whose distance fell in the last round are expanded.
@@ -53,7 +56,12 @@ def shortest_distances(conns: DataFrame, sources: DataFrame, weight: str = "weig
     start = sources.select("source").distinct()
     best = checkpointed(start.select("source", F.col("source").alias("body_id"), F.lit(0.0).alias("distance"), F.lit(True).alias("fresh")))
     for _ in range(MAX_ROUNDS):
-        step = best.where("fresh").join(arcs, F.col("body_id") == F.col("a")).groupBy("source", F.col("b").alias("body_id")).agg(F.min(F.col("distance") + F.col("w")).alias("d"))
+        front = best.where("fresh")
+        if targets is not None:
+            at = best.select("source", F.col("body_id").alias("target"), "distance")
+            limit = targets.join(at, ["source", "target"], "left").groupBy("source").agg(F.when(F.count("*") == F.count("distance"), F.max("distance")).alias("limit"))
+            front = front.join(limit, "source", "left").where("limit IS NULL OR distance <= limit").drop("limit")
+        step = front.join(arcs, F.col("body_id") == F.col("a")).groupBy("source", F.col("b").alias("body_id")).agg(F.min(F.col("distance") + F.col("w")).alias("d"))
         merged = best.join(step, ["source", "body_id"], "full_outer")
         better = F.coalesce(F.col("d") < F.col("distance"), F.col("d").isNotNull())
         best = checkpointed(merged.select("source", "body_id", F.when(better, F.col("d")).otherwise(F.col("distance")).alias("distance"), better.alias("fresh")))
@@ -69,8 +77,8 @@ def shortest_paths(conns: DataFrame, pairs: DataFrame, max_hops: int = MAX_ROUND
     path. Pairs without a path, and sources as their own targets, give no row. A path of more than max_hops links
     is an error.
     """
-    best, arcs = shortest_distances(conns, pairs, **options)
-    wanted = pairs.select("source", "target").where("source <> target").distinct()
+    wanted = checkpointed(pairs.select("source", "target").where("source <> target").distinct())
+    best, arcs = shortest_distances(conns, wanted, targets=wanted, **options)
     ends = wanted.join(best.withColumnRenamed("body_id", "target"), ["source", "target"])
     walk = checkpointed(ends.select("source", "target", "distance", F.col("target").alias("at"), F.col("distance").alias("left"), F.array("target").alias("path")))
     done = []
