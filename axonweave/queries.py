@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from axonweave.functions import columns as C
+from axonweave.functions.sql import register_graph
 from axonweave.operators import aggregate as A
 from axonweave.operators import graph as G
 from axonweave.operators import rank as R
@@ -698,3 +699,58 @@ def l01_store_versions(t: Tables) -> DataFrame:
         apply_batch(spark, path, version, part)
     rows = [_sizes(load_snapshot(spark, path, v)).select(F.lit(v).alias("version"), "body_id", "status", "n") for v in (1, 2)]
     return rows[0].unionByName(rows[1])
+
+
+# The same in SQL
+
+
+def _sql(t: Tables) -> SparkSession:
+    register_graph(t.spark, t.synapse, t.edges, t.body, _axis(t), t.skel_node)
+    return t.spark
+
+
+@query("SELECT p_partkey AS body_id, roi, inputs, outputs FROM part JOIN (SELECT body_id, roi, post AS inputs, pre AS outputs FROM body_roi UNION ALL SELECT body_id, 'total', post, pre FROM body_n) ON body_id = p_partkey")
+def m04_roi_counts_in_sql(t: Tables) -> DataFrame:
+    return _sql(t).sql("SELECT b.body_id, c.* FROM graph_body b, LATERAL roi_counts(b.body_id) c")
+
+
+@query(f", {_AXIS} SELECT vec.* FROM vec JOIN body_n USING (body_id) WHERE pre + post > 20")
+def m04_feature_vectors_in_sql(t: Tables) -> DataFrame:
+    return _vectors(_sql(t).sql("SELECT * FROM feature_vectors(20)"))
+
+
+@query(f", {_AXIS} SELECT vec.* FROM vec JOIN body_n b USING (body_id) JOIN body_roi r USING (body_id) WHERE b.pre + b.post > 20 AND r.roi = 'ASIA' AND r.pre + r.post > 5")
+def m04_feature_vectors_in_region_in_sql(t: Tables) -> DataFrame:
+    return _vectors(_sql(t).sql("SELECT * FROM feature_vectors_in('ASIA', 5, 20)"))
+
+
+@query(ORACLE_SQL["e14_feature_vectors_topx"].removeprefix(f"WITH RECURSIVE {ORACLE} "))
+def m04_feature_vectors_topx_in_sql(t: Tables) -> DataFrame:
+    rows = _sql(t).sql("SELECT * FROM feature_vectors_topx('ASIA', 8, 20, 5)")
+    text = lambda c: F.array_join(F.array_sort(F.transform(c, lambda x: x.cast("string"))), ",")
+    return _vectors(rows.withColumns({"i": text("input_ids"), "o": text("output_ids")}), "i", "o", "is_primary").withColumnsRenamed({"i": "input_ids", "o": "output_ids"})
+
+
+@query(ORACLE_SQL["e15_connection_categories"].removeprefix(f"WITH RECURSIVE {ORACLE} "))
+def m04_categories_in_sql(t: Tables) -> DataFrame:
+    return _sql(t).sql("SELECT b.body_id, c.category, c.pre, c.post FROM graph_body b, LATERAL connection_categories(b.body_id) c")
+
+
+@query(f", {_TOP} SELECT body_id, partner, is_out, weight FROM top WHERE rank <= 3")
+def m04_top_partners_in_sql(t: Tables) -> DataFrame:
+    return _sql(t).sql("SELECT b.body_id, p.* FROM graph_body b, LATERAL top_partners(b.body_id, 3) p")
+
+
+@query(f""", {_VERTEX}, body AS (SELECT min(body_id) AS b FROM body_n WHERE pre + post = (SELECT max(pre + post) FROM body_n)), own AS (SELECT *, concat(pre_body, '_', post_body) AS v FROM vertex, body WHERE (pre_body = b OR post_body = b) AND pre + post > 1)
+    SELECT a.v AS source, b.v AS target, CAST(floor(sqrt(CAST((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 AS DOUBLE)) + 0.5) AS BIGINT) AS distance FROM own a JOIN own b ON a.v < b.v""")
+def m04_line_graph_in_sql(t: Tables) -> DataFrame:
+    """Of the body with the most synapses."""
+    body = A.body_counts(t.synapse).orderBy(F.desc(F.col("pre") + F.col("post")), "body_id").first().body_id
+    return _sql(t).sql(f"SELECT * FROM line_graph({body}, 1)")
+
+
+@query(f""", {_CENTROID}, d AS (SELECT s.body_id, s.x, s.y, s.z, row_number() OVER (PARTITION BY s.body_id ORDER BY (s.x - c.x) ** 2 + (s.y - c.y) ** 2 + (s.z - c.z) ** 2, s.x, s.y, s.z) AS rn FROM synapse s JOIN centroid c USING (body_id)),
+    r AS (SELECT body_id, string_agg(roi, '|' ORDER BY roi) AS rois FROM body_roi GROUP BY 1)
+    SELECT p_partkey AS body_id, coalesce(x, 0) AS x, coalesce(y, 0) AS y, coalesce(z, 0) AS z, rois FROM part LEFT JOIN (SELECT * FROM d WHERE rn = 1) d ON d.body_id = p_partkey LEFT JOIN r ON r.body_id = p_partkey""")
+def m04_scalars_in_sql(t: Tables) -> DataFrame:
+    return _sql(t).sql("SELECT body_id, neuron_centroid(body_id).x AS x, neuron_centroid(body_id).y AS y, neuron_centroid(body_id).z AS z, array_join(segment_rois(body_id), '|') AS rois FROM graph_body")
