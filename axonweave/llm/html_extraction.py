@@ -123,6 +123,8 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, int, bool]]:
 
     def text(part: str) -> None:
         nonlocal block
+        if stack[-1][0] == "head" and part.strip():  # its end tag may be left out
+            open_.cut(open_.last("head"))
         name, path, container, skip, within, link = stack[-1]
         if skip or not part:
             return
@@ -160,6 +162,8 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, int, bool]]:
             continue
         if tag in VOID:
             continue
+        if tag != "head":  # what may stand in a head was passed over before
+            open_.cut(open_.last("head"))
         for name in _CLOSES.get(tag, ()):
             open_.shut(name)
         if tag not in INLINE:  # a block ends an open paragraph

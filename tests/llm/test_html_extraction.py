@@ -15,6 +15,10 @@ CASES = [
     ("<p>&nbsp;c &#233; &copy 1 &am", "c é © 1 &am"),
     ("<script>never closed <p>x</p>", ""),
     ("<ul><li>a<li>b</ul><form><p>q</p></form>", "a\nb"),
+    ("<html><head><title>T</title><style>x</style><meta charset=x><body><p>Hello there.<p>And more.", "Hello there.\nAnd more."),
+    ("<head><link rel=x><article><p>One.</p></article>", "One."),
+    ("<head><title>T</title>Text, all of it.", "Text, all of it."),
+    ("<head><title>T</title></head><p>x", "x"),
     (
         '<body><div><ul><li><a href="1">Home</a></li><li><a href="2">About</a></li></ul></div><div><h2>T</h2><p>Long text here, with many words, and more; it goes on.</p>'
         '<p>Short.</p></div><section id="comments"><p>nice post, really, yes.</p></section></body>',
