@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from axonweave.functions.columns import distance, half_up
@@ -18,6 +18,8 @@ from axonweave.operators.rank import nearest_skel_node
 
 #: Longer walks than this many links are an error, not a silent cut.
 MAX_ROUNDS = 10_000
+#: Rows of a key that are paired with each other or with another block in one task.
+BLOCK = 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -104,37 +106,87 @@ def roots(skel: DataFrame) -> DataFrame:
     return skel.where("parent_row = -1").select("body_id", "row_no")
 
 
-def ancestors_of(skel: DataFrame, nodes: DataFrame) -> DataFrame:
-    """body_id, row_no, anc, length, hops: every ancestor of nodes(body_id, row_no), itself included, with the
-    length along the tree. Pointers are doubled each round, so rounds grow with the logarithm of the depth."""
+def jump_tables(skel: DataFrame) -> list[DataFrame]:
+    """Tables k = 0, 1, ... of body_id, row_no, up, len: the ancestor 2**k links above, for the nodes that have one, and the
+    length to it. Each is the one before joined with itself; there are as many as the deepest node's depth has bits."""
     place = skel.select("body_id", F.col("row_no").alias("parent_row"), *(F.col(c).alias(f"p{c}") for c in "xyz"))
     jump = skel.select("body_id", "row_no", "parent_row", "x", "y", "z").where("parent_row <> -1").join(place, ["body_id", "parent_row"])
     jump = jump.select("body_id", "row_no", F.col("parent_row").alias("up"), distance([F.col(c) for c in "xyz"], [F.col(f"p{c}") for c in "xyz"]).alias("len"))
-    jump = checkpointed(jump)
-    found = checkpointed(nodes.select("body_id", "row_no").distinct().select("body_id", "row_no", F.col("row_no").alias("anc"), F.lit(0.0).alias("length"), F.lit(0).cast("long").alias("hops")))
-    size = 1
+    tables, links = [], None
     while True:
-        # everything within size hops is known; one jump of size hops from each doubles that
-        far = found.join(jump.select("body_id", F.col("row_no").alias("anc"), "up", "len"), ["body_id", "anc"]).select("body_id", "row_no", F.col("up").alias("anc"), (F.col("length") + F.col("len")).alias("length"), (F.col("hops") + size).alias("hops"))
-        if far.isEmpty():
-            return found
-        found = checkpointed(found.unionByName(far))
-        jump = checkpointed(jump.join(jump.select("body_id", F.col("row_no").alias("up"), F.col("up").alias("up2"), F.col("len").alias("len2")), ["body_id", "up"]).select("body_id", "row_no", F.col("up2").alias("up"), (F.col("len") + F.col("len2")).alias("len")))
-        size *= 2
+        jump = checkpointed(jump)
+        if jump.isEmpty():
+            return tables
+        links = jump.count() if links is None else links
+        if 1 << len(tables) > links:
+            raise ValueError("nodes of a skeleton are their own ancestors")
+        tables.append(jump)
+        above = jump.select("body_id", F.col("row_no").alias("up"), F.col("up").alias("up2"), F.col("len").alias("len2"))
+        jump = jump.join(above, ["body_id", "up"]).select("body_id", "row_no", F.col("up2").alias("up"), (F.col("len") + F.col("len2")).alias("len"))
 
 
-def cable_distance(skel: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pairs(body_id, a, b) -> body_id, a, b, distance: the rounded length along the skeleton between two rows.
-    Equal rows have 0; rows under different roots, or that do not exist, have null."""
-    wanted = pairs.select("body_id", "a", "b").distinct()
-    ends = wanted.select("body_id", F.explode(F.array("a", "b")).alias("row_no")).join(skel.select("body_id", "row_no"), ["body_id", "row_no"], "left_semi")
-    up = ancestors_of(skel, ends)
-    side = lambda c: up.select("body_id", F.col("row_no").alias(c), "anc", F.col("length").alias(f"l{c}"), F.col("hops").alias(f"h{c}"))
-    met = wanted.join(side("a"), ["body_id", "a"]).join(side("b"), ["body_id", "b", "anc"]).groupBy("body_id", "a", "b").agg(F.min_by(F.col("la") + F.col("lb"), F.col("ha") + F.col("hb")).alias("length"))
-    return wanted.join(met, ["body_id", "a", "b"], "left").select("body_id", "a", "b", half_up(F.col("length")).alias("distance"))
+def _lifted(rows: DataFrame, jump: DataFrame, side: str) -> DataFrame:
+    """rows with up_<side> and len_<side>: the jump from the node in column side, null if it has none."""
+    return rows.join(jump.select("body_id", F.col("row_no").alias(side), F.col("up").alias(f"up_{side}"), F.col("len").alias(f"len_{side}")), ["body_id", side], "left")
+
+
+def with_depth(nodes: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """nodes(body_id, row_no) with depth and root, by the longest jumps that each has."""
+    at = nodes.withColumns({"at": F.col("row_no"), "depth": F.lit(0).cast("long")})
+    for k, jump in reversed(list(enumerate(jumps))):
+        at = _lifted(at, jump, "at").select("body_id", "row_no", F.coalesce("up_at", "at").alias("at"), F.when(F.col("up_at").isNotNull(), F.col("depth") + (1 << k)).otherwise(F.col("depth")).alias("depth"))
+    return at.withColumnRenamed("at", "root")
 
 
-def line_graph(edges: DataFrame, bodies: DataFrame, threshold: int = 0, skel: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def cable_distance(skel: DataFrame, pairs: DataFrame) -> DataFrame:
+    """pairs(body_id, a, b) -> body_id, a, b, distance: the rounded length along the skeleton between two rows.
+    Equal rows have 0; rows under different roots, or that do not exist, have null. A skeleton with a circle is an error.
+
+    Both ends are lifted by jump tables: the deeper one to the other's depth, then both, by ever shorter jumps, as long as they
+    stay apart; their common ancestor is one link above. A pair is one row throughout."""
+    wanted = checkpointed(pairs.select("body_id", "a", "b").distinct())
+    of_pairs = skel.join(wanted.select("body_id").distinct(), "body_id", "left_semi")
+    ends = wanted.select("body_id", F.explode(F.array("a", "b")).alias("row_no")).distinct().join(of_pairs.select("body_id", "row_no"), ["body_id", "row_no"], "left_semi")
+    jumps = jump_tables(of_pairs)
+    deep = checkpointed(with_depth(ends, jumps))
+    end = lambda c: deep.select("body_id", F.col("row_no").alias(c), F.col("depth").alias(f"depth_{c}"), F.col("root").alias(f"root_{c}"))
+    at = wanted.join(end("a"), ["body_id", "a"]).join(end("b"), ["body_id", "b"]).where("root_a = root_b")
+    deeper = F.col("depth_a") >= F.col("depth_b")
+    at = at.select("body_id", "a", "b", F.when(deeper, F.col("a")).otherwise(F.col("b")).alias("low"), F.when(deeper, F.col("b")).otherwise(F.col("a")).alias("high"), F.abs(F.col("depth_a") - F.col("depth_b")).alias("rest"), F.lit(0.0).alias("length"))
+    kept = ["body_id", "a", "b"]
+    for k, jump in reversed(list(enumerate(jumps))):
+        go = F.col("rest").bitwiseAND(1 << k) != 0
+        at = _lifted(at, jump, "low").select(*kept, F.when(go, F.col("up_low")).otherwise(F.col("low")).alias("low"), "high", "rest", F.when(go, F.col("length") + F.col("len_low")).otherwise(F.col("length")).alias("length"))
+    at = checkpointed(at.drop("rest"))
+    for jump in reversed(jumps):
+        at = _climbed(at, jump, F.col("up_low") != F.col("up_high"))
+    if jumps:
+        at = _climbed(at, jumps[0], F.col("low") != F.col("high"))
+    return wanted.join(at.select(*kept, "length"), kept, "left").select(*kept, half_up(F.col("length")).alias("distance"))
+
+
+def _climbed(at: DataFrame, jump: DataFrame, go: Column) -> DataFrame:
+    """Both ends after one jump, where go says so."""
+    both = _lifted(_lifted(at, jump, "low"), jump, "high").withColumn("_go", F.coalesce(go, F.lit(False)))
+    moved = lambda c: F.when(F.col("_go"), F.col(f"up_{c}")).otherwise(F.col(c)).alias(c)
+    return both.select("body_id", "a", "b", moved("low"), moved("high"), F.when(F.col("_go"), F.col("length") + F.col("len_low") + F.col("len_high")).otherwise(F.col("length")).alias("length"))
+
+
+def pairs_within(rows: DataFrame, key: str, order: str, block: int = BLOCK) -> DataFrame:
+    """Every two rows with one key once, as columns a and b (structs of the other columns) with a's order below b's.
+
+    The rows of a key are dealt to blocks of about the given size, and each two blocks are a join key of their own, so a key with
+    many rows is many small tasks. A row is sent to as many keys as its key has blocks, far fewer than it has pairs."""
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / block).cast("long").alias("_blocks"))
+    dealt = rows.select(key, F.struct(*(c for c in rows.columns if c != key)).alias("_row")).join(sizes, key)
+    dealt = dealt.withColumn("_own", F.pmod(F.xxhash64(f"_row.{order}"), F.col("_blocks")))
+    dealt = dealt.withColumn("_other", F.explode(F.expr("sequence(0L, _blocks - 1)")))
+    side = lambda name: dealt.select(key, F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), F.col("_own").alias(f"_{name}"), F.col("_row").alias(name))
+    met = side("a").join(side("b"), [key, "_low", "_high"]).where(f"a.{order} < b.{order} AND (_low = _high OR _a <> _b)")
+    return met.select(key, "a", "b")
+
+
+def line_graph(edges: DataFrame, bodies: DataFrame, threshold: int = 0, skel: DataFrame | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The line graph of each body in bodies(body_id): vertices are its connections (with body_id), edges pairs of
     vertices of one body with their distance; with skel, also the cable distance between the nodes nearest to
     them. Pairs have source < target once."""
@@ -142,16 +194,18 @@ def line_graph(edges: DataFrame, bodies: DataFrame, threshold: int = 0, skel: Da
     near = edges.join(pre, "pre_body", "left_semi").unionByName(edges.join(post, "post_body", "left_semi")).distinct()
     points = connection_vertices(near, threshold)
     own = points.withColumn("body_id", F.explode(F.array_distinct(F.array("pre_body", "post_body")))).join(bodies.select("body_id"), "body_id", "left_semi")
-    vertices = own.withColumn("vertex", F.concat_ws("_", "pre_body", "post_body"))
-    a = vertices.select("body_id", F.col("vertex").alias("source"), *(F.col(c).alias(f"a{c}") for c in "xyz"))
-    b = vertices.select("body_id", F.col("vertex").alias("target"), *(F.col(c).alias(f"b{c}") for c in "xyz"))
-    pairs = a.join(b, "body_id").where("source < target")
-    out = pairs.select("body_id", "source", "target", half_up(distance([F.col(f"a{c}") for c in "xyz"], [F.col(f"b{c}") for c in "xyz"])).alias("distance"))
+    vertices = checkpointed(own.withColumn("vertex", F.concat_ws("_", "pre_body", "post_body")))
+    ends = vertices.select("body_id", "vertex", "x", "y", "z")
+    if skel is not None:
+        node = nearest_skel_node(skel, ends.withColumnRenamed("vertex", "point_id")).select("body_id", F.col("point_id").alias("vertex"), "row_no")
+        ends = checkpointed(ends.join(node, ["body_id", "vertex"], "left"))
+    pairs = pairs_within(ends, "body_id", "vertex", block)
+    apart = half_up(distance([F.col(f"a.{c}") for c in "xyz"], [F.col(f"b.{c}") for c in "xyz"])).alias("distance")
+    out = pairs.select("body_id", F.col("a.vertex").alias("source"), F.col("b.vertex").alias("target"), apart, *([F.col(f"{s}.row_no").alias(s) for s in "ab"] if skel is not None else []))
     if skel is not None:
-        near_rows = checkpointed(nearest_skel_node(skel, vertices.select(F.col("vertex").alias("point_id"), "body_id", "x", "y", "z")).select("body_id", "point_id", "row_no"))
-        ends = out.join(near_rows.select("body_id", F.col("point_id").alias("source"), F.col("row_no").alias("a")), ["body_id", "source"], "left").join(near_rows.select("body_id", F.col("point_id").alias("target"), F.col("row_no").alias("b")), ["body_id", "target"], "left")
-        ends = checkpointed(ends)
-        out = ends.join(cable_distance(skel, ends.where("a IS NOT NULL AND b IS NOT NULL")).withColumnRenamed("distance", "cable_distance"), ["body_id", "a", "b"], "left").drop("a", "b")
+        out = checkpointed(out)
+        cable = cable_distance(skel, out.where("a IS NOT NULL AND b IS NOT NULL")).withColumnRenamed("distance", "cable_distance")
+        out = out.join(cable, ["body_id", "a", "b"], "left").drop("a", "b")
     return vertices, out
 
 
@@ -170,4 +224,4 @@ def line_graph_roi(edges: DataFrame, bodies: DataFrame, by_roi: DataFrame, roi:
     return line_graph(edges, bodies_in_roi(bodies, by_roi, roi, roi_threshold, threshold), vertex_threshold)
 
 
-__all__ = ["cable_distance", "centroid", "centroids_and_skeleton", "line_graph", "line_graph_roi", "roots", "shortest_distances", "shortest_paths", "skeleton_links"]
+__all__ = ["cable_distance", "centroid", "centroids_and_skeleton", "jump_tables", "line_graph", "line_graph_roi", "pairs_within", "roots", "shortest_distances", "shortest_paths", "skeleton_links"]

@@ -47,11 +47,46 @@ def central_synapse(synapses: DataFrame, centroids: DataFrame, bodies: DataFrame
     return bodies.select("body_id").join(best, "body_id", "left").select("body_id", *(F.coalesce(k, F.lit(0)).cast("long").alias(k) for k in "xyz"))
 
 
+def _boxes(df: DataFrame, keys: list[str], **of) -> DataFrame:
+    """The bounds of the places (or of the boxes) below each key."""
+    low, high = of.get("low", "{}"), of.get("high", "{}")
+    return df.groupBy(*keys).agg(*(F.min(low.format(c)).alias(f"lo{c}") for c in "xyz"), *(F.max(high.format(c)).alias(f"hi{c}") for c in "xyz"))
+
+
+def _nearest_boxes(met: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of points met with boxes whose box may hold the nearest node: its least distance is at most the smallest
+    greatest distance of a point's boxes, as every box holds a node."""
+    gap = [F.greatest(F.col(f"lo{c}") - F.col(f"p{c}"), F.col(f"p{c}") - F.col(f"hi{c}"), F.lit(0)) for c in "xyz"]
+    far = [F.greatest(F.abs(F.col(f"lo{c}") - F.col(f"p{c}")), F.abs(F.col(f"hi{c}") - F.col(f"p{c}"))) for c in "xyz"]
+    square = lambda ds: ds[0] * ds[0] + ds[1] * ds[1] + ds[2] * ds[2]
+    bound = F.min(square(far)).over(Window.partitionBy(*key))
+    return met.withColumns({"_least": square(gap), "_bound": bound}).where("_least <= _bound").drop("_least", "_bound", *(f"{s}{c}" for s in ("lo", "hi") for c in "xyz"))
+
+
 def nearest_skel_node(skel: DataFrame, points: DataFrame) -> DataFrame:
-    """points(point_id, body_id, x, y, z) with the row of the body's nearest node, ties to the smaller row."""
-    p = points.select("point_id", "body_id", *(F.col(k).alias(f"p{k}") for k in "xyz"))
+    """points(point_id, body_id, x, y, z) with the row of the body's nearest node, ties to the smaller row. Points and
+    nodes without a place take no part.
+
+    A body's nodes lie in cells of a grid, and those in coarser cells. A point meets its body's coarse cells, then the
+    fine cells of the coarse ones that may hold the nearest node, then the nodes of the fine cells that may. The cells' sides
+    follow the body's extent and number of nodes, so that for the branching curves that skeletons are each step meets about
+    the cube root of the nodes; any side gives the same rows."""
+    key = ["point_id", "body_id", "px", "py", "pz"]
+    placed = "x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL"
+    p = points.where(placed).select("point_id", "body_id", *(F.col(k).alias(f"p{k}") for k in "xyz")).distinct()
+    node = skel.where(placed).select("body_id", "row_no", "x", "y", "z")
+    extent = F.greatest(*(F.max(c) - F.min(c) for c in "xyz")) + 1
+    grid = node.groupBy("body_id").agg(F.count("*").alias("_n"), extent.alias("_e")).select(
+        "body_id", F.ceil(F.col("_e") / F.pow("_n", F.lit(4 / 9))).cast("long").alias("_side"), F.ceil(F.pow("_n", F.lit(2 / 9))).cast("long").alias("_ratio"))
+    fine = [F.floor(F.col(c) / F.col("_side")).cast("long").alias(f"f{c}") for c in "xyz"]
+    coarse = [F.floor(F.floor(F.col(c) / F.col("_side")) / F.col("_ratio")).cast("long").alias(f"c{c}") for c in "xyz"]
+    node = node.join(grid, "body_id").select("body_id", "row_no", "x", "y", "z", *fine, *coarse)
+    in_coarse, in_fine = ["body_id", "cx", "cy", "cz"], ["body_id", "fx", "fy", "fz"]
+    cells = _boxes(node, [*in_coarse, *in_fine[1:]])
+    met = _nearest_boxes(p.join(_boxes(cells, in_coarse, low="lo{}", high="hi{}"), "body_id"), key)
+    met = _nearest_boxes(met.join(cells, in_coarse), key).drop(*in_coarse[1:])
     near = squared_distance([F.col(k) for k in "xyz"], [F.col(f"p{k}") for k in "xyz"])
-    best = p.join(skel, "body_id").groupBy("point_id", "body_id").agg(F.min(F.struct(near.alias("d"), F.col("row_no").alias("r"))).alias("m"))
+    best = met.join(node.drop(*in_coarse[1:]), in_fine).groupBy("point_id", "body_id").agg(F.min(F.struct(near.alias("d"), F.col("row_no").alias("r"))).alias("m"))
     return best.select("point_id", "body_id", F.col("m.r").alias("row_no"), F.sqrt(F.col("m.d").cast("double")).alias("distance"))
 
 

@@ -68,14 +68,38 @@ def body_sizes(bodies: DataFrame, sizes: DataFrame) -> DataFrame:
     return bodies.select("body_id").join(sizes, "body_id", "left").select("body_id", F.coalesce("size", F.lit(-1)).cast("long").alias("size"))
 
 
-def map_points(points: DataFrame, runs: DataFrame, value: str, scale: int = 0, bin_bits: int = 6) -> DataFrame:
-    """points(x, y, z, ...) with the value of the run that holds them, else null. runs: z, y, x0, x1 (inclusive)
-    and value, in blocks of 2**scale voxels. Runs are cut into bins of x, so the join is an equality on
-    (z, y, bin) and a range check within a bin."""
-    cut = runs.withColumn("_bin", F.explode(F.sequence(F.shiftright("x0", bin_bits), F.shiftright("x1", bin_bits)))).select(F.col("z").alias("_z"), F.col("y").alias("_y"), "x0", "x1", F.col(value), "_bin")
-    at = points.withColumns({f"_{c}b": F.shiftright(c, scale) for c in "xyz"})
-    met = (F.col("_zb") == F.col("_z")) & (F.col("_yb") == F.col("_y")) & (F.shiftright("_xb", bin_bits) == F.col("_bin")) & F.col("_xb").between(F.col("x0"), F.col("x1"))
-    return at.join(cut, met, "left").select(*points.columns, value)
+def dyadic_cover(x0: Column, x1: Column) -> Column:
+    """The aligned intervals [cell * 2**level, (cell + 1) * 2**level) that make up x0 to x1 (inclusive), at most two of a
+    level, as an array of structs. An interval of a level is taken on the left where its number is odd, on the right where it is
+    even and the next begins past the end."""
+    levels = F.sequence(F.lit(0), F.floor(F.log2((x1 - x0 + 1).cast("double"))).cast("int") + 1)
+
+    def at(k: Column) -> Column:
+        first, end = -F.call_function("shiftright", -x0, k), F.call_function("shiftright", x1 + 1, k)
+        left = F.when((first < end) & (first.bitwiseAND(1) == 1), first)
+        right = F.when((first < end) & (end.bitwiseAND(1) == 1), end - 1)
+        return F.transform(F.array_compact(F.array(left, right)), lambda cell: F.struct(k.alias("level"), cell.alias("cell")))
+
+    return F.when(x0 <= x1, F.flatten(F.transform(levels, at)))
+
+
+def map_points(points: DataFrame, runs: DataFrame, value: str, scale: int = 0) -> DataFrame:
+    """points(x, y, z, ...) with the value of the run that holds them, else null; a row for each run, if several do.
+    runs: z, y, x0, x1 (inclusive) and value, in blocks of 2**scale voxels.
+
+    A run is kept as the aligned power-of-two intervals that cover it, about two for each doubling of its length, and each
+    place probes every level that any run has by equality. Points in one block are one place."""
+    cut = runs.select("z", "y", value, F.inline(dyadic_cover(F.col("x0").cast("long"), F.col("x1").cast("long"))))
+    cut = cut.select(F.col("z").alias("_z"), F.col("y").alias("_y"), F.col("level").alias("_level"), F.col("cell").alias("_cell"), F.col(value).alias("_value"))
+    blocks = {f"_{c}b": F.shiftright(c, scale) for c in "xyz"}
+    at = points.withColumns(blocks)
+    levels = cut.agg(F.collect_set("_level").alias("_levels"))  # one row, at most 64 levels
+    places = at.select(*blocks).where("_xb IS NOT NULL AND _yb IS NOT NULL AND _zb IS NOT NULL").distinct()
+    probes = places.crossJoin(F.broadcast(levels)).select(*blocks, F.explode("_levels").alias("_level"))
+    probes = probes.withColumn("_cell", F.expr("shiftright(CAST(_xb AS BIGINT), _level)"))
+    met = (F.col("_zb") == F.col("_z")) & (F.col("_yb") == F.col("_y")) & (probes["_level"] == cut["_level"]) & (probes["_cell"] == cut["_cell"])
+    found = probes.join(cut, met).select(*blocks, F.col("_value").alias(value))
+    return at.join(found, list(blocks), "left").select(*points.columns, value)
 
 
 def connection_between(conns: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -330,6 +330,12 @@ def f04_nearest_skel_nodes(t: Tables) -> DataFrame:
     return R.nearest_skel_node(t.skel_node, points).select("body_id", "row_no")
 
 
+@query("SELECT s.syn_id, s.body_id, CAST(min_by(k.row_no, {'a': (s.x - k.x) ** 2 + (s.y - k.y) ** 2 + (s.z - k.z) ** 2, 'b': k.row_no}) AS BIGINT) AS row_no FROM synapse s JOIN skel k USING (body_id) GROUP BY 1, 2")
+def f04_nearest_nodes_of_synapses(t: Tables) -> DataFrame:
+    """Every synapse of a body with a skeleton."""
+    return R.nearest_skel_node(t.skel_node, t.synapse.withColumnRenamed("syn_id", "point_id")).select(F.col("point_id").alias("syn_id"), "body_id", "row_no")
+
+
 @query("SELECT l_orderkey, l_linenumber, min_by(l_partkey, {'a': l_partkey, 'b': l_suppkey}) AS l_partkey FROM lineitem GROUP BY 1, 2")
 def f05_keep_first(t: Tables) -> DataFrame:
     return R.keep_first(t.read("lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]).select("l_orderkey", "l_linenumber", "l_partkey")
@@ -391,7 +397,16 @@ def h05_enriched_bodies(t: Tables) -> DataFrame:
     ON r.z = synapse.z AND r.y = synapse.y AND x BETWEEN x0 AND x1""")
 def h06_points_to_regions(t: Tables) -> DataFrame:
     runs = t.synapse.groupBy("z", "y").agg(F.min("x").alias("x0"), F.floor((F.min("x") + F.max("x")) / 2).cast("long").alias("x1"), F.max("super_roi").alias("name"))
-    return H.map_points(t.synapse.select("syn_id", "x", "y", "z"), runs, "name", bin_bits=14).select("syn_id", "name")
+    return H.map_points(t.synapse.select("syn_id", "x", "y", "z"), runs, "name").select("syn_id", "name")
+
+
+@query("""SELECT syn_id, name FROM synapse LEFT JOIN (SELECT z >> 5 AS zb, y >> 5 AS yb, min(x) >> 5 AS x0, (min(x) >> 5) + ((max(x) >> 5) - (min(x) >> 5)) * 2 // 3 AS x1, max(sub1_roi) AS name FROM synapse GROUP BY 1, 2) r
+    ON r.zb = z >> 5 AND r.yb = y >> 5 AND x >> 5 BETWEEN x0 AND x1""")
+def h06_points_to_regions_by_blocks(t: Tables) -> DataFrame:
+    """Runs in blocks of 32 voxels that go over two thirds of the axis."""
+    low, high = F.shiftright(F.min("x"), 5), F.shiftright(F.max("x"), 5)
+    runs = t.synapse.groupBy(F.shiftright("z", 5).alias("z"), F.shiftright("y", 5).alias("y")).agg(low.alias("x0"), (low + F.floor((high - low) * 2 / 3)).alias("x1"), F.max("sub1_roi").alias("name"))
+    return H.map_points(t.synapse.select("syn_id", "x", "y", "z"), runs, "name", scale=5).select("syn_id", "name")
 
 
 @query("SELECT p_partkey AS body_id, coalesce(size, -1) AS size FROM part LEFT JOIN (SELECT body_id AS k, pre AS size FROM body_n WHERE pre > 0) ON k = p_partkey")
@@ -443,6 +458,22 @@ def j04_line_graphs(t: Tables) -> DataFrame:
     return G.line_graph(t.edges, t.body, 3)[1]
 
 
+@query(f""", {_VERTEX}, own AS (
+        SELECT pre_body AS body_id, x, y, z, concat(pre_body, '_', post_body) AS v FROM vertex WHERE pre + post > 2 UNION
+        SELECT post_body, x, y, z, concat(pre_body, '_', post_body) FROM vertex WHERE pre + post > 2),
+    spot AS (SELECT o.body_id, o.v, o.x, o.y, o.z, min_by(k.row_no, {{'a': (o.x - k.x) ** 2 + (o.y - k.y) ** 2 + (o.z - k.z) ** 2, 'b': k.row_no}}) AS row_no FROM own o LEFT JOIN skel k USING (body_id) WHERE o.body_id IN (SELECT p_partkey FROM part) GROUP BY ALL),
+    link AS (SELECT c.body_id, c.row_no, c.parent_row, sqrt(CAST((c.x - p.x) ** 2 + (c.y - p.y) ** 2 + (c.z - p.z) ** 2 AS DOUBLE)) AS len FROM skel c JOIN skel p ON p.body_id = c.body_id AND p.row_no = c.parent_row),
+    up AS (
+        SELECT DISTINCT body_id, row_no, row_no AS anc, 0.0::DOUBLE AS len, 0 AS hops FROM spot WHERE row_no IS NOT NULL
+        UNION ALL SELECT u.body_id, u.row_no, l.parent_row, u.len + l.len, u.hops + 1 FROM up u JOIN link l ON l.body_id = u.body_id AND l.row_no = u.anc),
+    far AS (SELECT a.body_id, a.v AS source, b.v AS target, a.row_no AS p, b.row_no AS q, CAST(floor(sqrt(CAST((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 AS DOUBLE)) + 0.5) AS BIGINT) AS distance FROM spot a JOIN spot b ON a.body_id = b.body_id AND a.v < b.v),
+    cable AS (SELECT s.body_id, s.row_no AS p, e.row_no AS q, CAST(floor(min_by(s.len + e.len, s.hops + e.hops) + 0.5) AS BIGINT) AS cable_distance FROM up s JOIN up e ON e.body_id = s.body_id AND e.anc = s.anc GROUP BY 1, 2, 3)
+    SELECT body_id, source, target, distance, cable_distance FROM far LEFT JOIN cable USING (body_id, p, q)""")
+def j04_line_graphs_with_cable(t: Tables) -> DataFrame:
+    """The line graphs of all bodies, with distances along their skeletons where they have one."""
+    return G.line_graph(t.edges, t.body, 2, t.skel_node)[1].select("body_id", "source", "target", "distance", "cable_distance")
+
+
 def j01_shortest_paths(t: Tables) -> DataFrame:
     """All shortest paths from the strongest output body to the strongest input body of every region; the search
     covers the whole graph from each source."""
@@ -457,10 +488,10 @@ query("""
     , src AS (SELECT DISTINCT s AS source FROM (SELECT min_by(body_id, {'a': -pre, 'b': body_id}) AS s FROM body_roi GROUP BY roi)),
     pairs AS (SELECT DISTINCT source, target FROM (SELECT min_by(body_id, {'a': -pre, 'b': body_id}) AS source, min_by(body_id, {'a': -post, 'b': body_id}) AS target FROM body_roi GROUP BY roi) WHERE source <> target),
     arc AS (SELECT pre_body AS a, post_body AS b, min(weight) AS w FROM conn GROUP BY 1, 2),
-    walk AS (
-        SELECT source, source AS node, 0 AS d, 0 AS hops FROM src
-        UNION SELECT walk.source, arc.b, walk.d + arc.w, walk.hops + 1 FROM walk JOIN arc ON arc.a = walk.node WHERE walk.hops < 5),
-    best AS (SELECT source, node, min(d) AS d FROM walk GROUP BY 1, 2),
+    best(source, node, d) USING KEY (source, node) AS (
+        SELECT source, source, 0::BIGINT FROM src
+        UNION SELECT f.source, arc.b, CAST(min(f.d + arc.w) AS BIGINT) FROM best f JOIN arc ON arc.a = f.node LEFT JOIN recurring.best k ON k.source = f.source AND k.node = arc.b
+        WHERE k.d IS NULL OR f.d + arc.w < k.d GROUP BY 1, 2),
     back AS (
         SELECT p.source, p.target, b.d AS distance, p.target AS node, b.d AS rest, CAST(p.target AS VARCHAR) AS path, 1 AS nodes FROM pairs p JOIN best b ON b.source = p.source AND b.node = p.target
         UNION ALL SELECT k.source, k.target, k.distance, arc.a, b.d, concat(arc.a, '>', k.path), k.nodes + 1 FROM back k JOIN arc ON arc.b = k.node JOIN best b ON b.source = k.source AND b.node = arc.a AND b.d + arc.w = k.rest)
