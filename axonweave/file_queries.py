@@ -19,6 +19,7 @@ from axonweave.plans.project import Tables
 from axonweave.queries import _VERTEX, _base, _edit_log, query
 from axonweave.sources import readers as R
 from axonweave.sources import sinks as S
+from axonweave.sources.documents import read_edit_documents
 
 _ROIS = "CASE WHEN sub1_roi IS NULL OR sub1_roi = super_roi THEN super_roi ELSE concat(super_roi, '|', sub1_roi) END"
 
@@ -132,6 +133,36 @@ def a16_edit_records(t: Tables) -> DataFrame:
     return R.read_edits(t.spark, _json(t, _edit_log(t))).select("seq", "body_id", (F.col("kind") == "update_properties").alias("sets"))
 
 
+@query("""SELECT syn_id AS seq, ['add_roi', 'orphan_synapse', 'add_neuron', 'update_properties', 'add_synapse', 'split', 'merge', 'add_link'][x % 8 + 1] AS kind,
+        CASE WHEN x % 8 IN (2, 3, 5) THEN body_id END AS body_id, CASE WHEN x % 8 IN (0, 1) OR (x % 8 = 7 AND type = 'pre') THEN syn_id END AS syn_id, CASE WHEN x % 8 = 7 AND type = 'post' THEN syn_id END AS post_id,
+        CASE WHEN x % 8 IN (2, 5) THEN CAST(syn_id AS VARCHAR) END AS synapses, CASE x % 8 WHEN 5 THEN CAST(body_id + 1000000 AS VARCHAR) WHEN 6 THEN concat(body_id, ',', body_id + 1, ',', body_id + 2) END AS bodies,
+        CASE WHEN x % 8 IN (2, 5) THEN concat('u:', syn_id) END AS mutation_key, CASE x % 8 WHEN 2 THEN super_roi END AS name, CASE x % 8 WHEN 3 THEN '7' END AS size, CASE x % 8 WHEN 4 THEN super_roi ELSE NULL END AS rois, CASE x % 8 WHEN 4 THEN z + 1000000 END AS z
+    FROM synapse""")
+def a16_edit_documents(t: Tables) -> DataFrame:
+    """A log with documents and calls of every shape, a line for each synapse; synapses are named by place."""
+    here, place = F.array("x", "y", "z"), lambda *values: F.struct(*values)
+    own = F.array(F.struct(here.alias("location"), "type"))
+    at = [F.col(c) for c in "xyz"]
+    ends = [F.when(F.col("type") == s, F.col(c)).alias(f"{s}{c.upper()}") for s in ("pre", "post") for c in "xyz"]
+    shapes = [
+        place(F.lit("addRoiToSynapse").alias("procedure"), F.col("super_roi").alias("roiName"), *at),
+        place(F.lit("orphanSynapse").alias("procedure"), *at),
+        place(F.col("body_id").alias("id"), F.lit("u").alias("mutationUUID"), F.col("syn_id").alias("mutationID"), F.col("super_roi").alias("name"), own.alias("currentSynapses")),
+        place(F.col("body_id").alias("id"), F.lit(7).alias("size")),
+        place(F.col("type"), F.array("x", "y", F.col("z") + 1_000_000).alias("location"), F.array("super_roi").alias("rois")),
+        place(F.lit("cleave").alias("Action"), F.lit("u").alias("DVIDuuid"), F.col("syn_id").alias("MutationID"), F.col("body_id").alias("OrigBodyId"), (F.col("body_id") + 1_000_000).alias("NewBodyId"), own.alias("NewBodySynapses")),
+        place(F.lit("merge").alias("Action"), F.col("body_id").alias("TargetBodyID"), F.array(F.col("body_id") + 2, F.col("body_id") + 1).alias("BodiesMerged")),
+        place(F.lit("addConnectionBetweenSynapseNodes").alias("procedure"), *ends),
+    ]
+    body = F.coalesce(*(F.when(F.col("x") % 8 == i, F.to_json(s)) for i, s in enumerate(shapes)))
+    path = _folder(t)
+    t.synapse.select(F.concat(F.lit('{"seq":'), F.col("syn_id").cast("string"), F.lit(","), F.substring(body, 2, 10_000))).write.text(path)
+    edits = read_edit_documents(t.spark, path, t.synapse)
+    listed = lambda c: F.nullif(F.array_join(F.transform(c, lambda v: v.cast("string")), ","), F.lit("")).alias(c)
+    known = F.when(F.col("kind") != "add_synapse", F.col("syn_id")).alias("syn_id")
+    return edits.select("seq", "kind", "body_id", known, "post_id", listed("synapses"), listed("bodies"), "mutation_key", F.try_element_at("props", F.lit("name")).alias("name"), F.try_element_at("props", F.lit("size")).alias("size"), listed("rois"), "z")
+
+
 # Checks
 
 

@@ -12,8 +12,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from axonweave.operators.graph import checkpointed
@@ -45,6 +46,14 @@ def new_edits(edits: DataFrame, applied: DataFrame | None) -> DataFrame:
     return edits.where("mutation_key IS NULL").unionByName(first.select(*edits.columns))
 
 
+def _is_struct(name: str, body: DataFrame) -> Column:
+    """Whether the attribute's value is the JSON of its struct, with the first field at least."""
+    kind = body.schema[name].dataType
+    if not isinstance(kind, StructType):
+        return F.lit(False)
+    return F.from_json(F.try_element_at("props", F.lit(name)), kind)[kind.fieldNames()[0]].isNotNull()
+
+
 def formed(edits: DataFrame, body: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edits that say what their kind needs, and those that do not, with a reason. An edit's seq is its own."""
     plain = {c: t for c, t in body.dtypes if c != "body_id"}
@@ -53,7 +62,7 @@ def formed(edits: DataFrame, body: DataFrame) -> tuple[DataFrame, DataFrame]:
     hollow = "exists(coalesce(bodies, array()), b -> b IS NULL) OR exists(coalesce(synapses, array()), s -> s IS NULL) OR (kind = 'merge' AND size(array_distinct(bodies)) < size(bodies))"
     names = F.map_keys("props")
     strange = F.col("kind").isin(*PROPERTY_KINDS, "add_neuron") & F.exists(names, lambda n: ~n.isin(*plain))
-    parse = [F.try_element_at("props", F.lit(c)).isNotNull() & (F.try_element_at("props", F.lit(c)).try_cast(t).isNull() if not t.startswith(("struct", "array", "map")) else F.lit(True)) for c, t in plain.items() if t != "string"]
+    parse = [F.try_element_at("props", F.lit(c)).isNotNull() & (F.try_element_at("props", F.lit(c)).try_cast(t).isNull() if not t.startswith(("struct", "array", "map")) else ~F.coalesce(_is_struct(c, body), F.lit(False))) for c, t in plain.items() if t != "string"]
     wrong = (F.col("kind") != "delete_property") & F.col("kind").isin(*PROPERTY_KINDS, "add_neuron") & reduce(lambda a, b: a | b, parse, F.lit(False))
     twice = F.count("*").over(Window.partitionBy("seq")) > 1
     rules = [(F.col("seq").isNull(), "seq is missing"), (F.col("seq") < 0, "seq is negative"), (twice, "seq is not its own"), (~F.coalesce(F.col("kind").isin(*KINDS), F.lit(False)), "unknown kind"), (absent | F.expr(few) | F.expr(hollow), "malformed"), (strange, "unknown attribute"), (wrong, "value does not parse")]
@@ -233,7 +242,7 @@ def _properties(bodies: DataFrame, settings: DataFrame) -> DataFrame:
         if c != "body_id" and not t.startswith(("struct", "array", "map")):
             out = out.withColumn(c, F.when(F.coalesce(F.map_contains_key("_m", F.lit(c)), F.lit(False)), F.try_element_at("_m", F.lit(c)).try_cast(t)).otherwise(F.col(c)))
         elif t.startswith("struct"):
-            out = out.withColumn(c, F.when(~F.coalesce(F.map_contains_key("_m", F.lit(c)), F.lit(False)), F.col(c)))
+            out = out.withColumn(c, F.when(F.coalesce(F.map_contains_key("_m", F.lit(c)), F.lit(False)), F.from_json(F.try_element_at("_m", F.lit(c)), t)).otherwise(F.col(c)))
     return out.drop("_m")
 
 

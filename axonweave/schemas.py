@@ -17,6 +17,14 @@ EDIT = (
     "seq BIGINT, ts TIMESTAMP, mutation_key STRING, kind STRING, body_id BIGINT, bodies ARRAY<BIGINT>, syn_id BIGINT, post_id BIGINT, x BIGINT, y BIGINT, z BIGINT, type STRING, "
     "confidence DOUBLE, roi STRING, rois ARRAY<STRING>, synapses ARRAY<BIGINT>, props MAP<STRING,STRING>, skeleton ARRAY<STRUCT<row_no: INT, type: INT, x: BIGINT, y: BIGINT, z: BIGINT, radius: DOUBLE, parent_row: INT>>"
 )
+_PLACES = "ARRAY<STRUCT<location: ARRAY<DOUBLE>, type: STRING>>"
+#: A document or the arguments of a procedure; of an action, which has names that differ in case alone.
+EDIT_DOCUMENT = (
+    "seq BIGINT, ts TIMESTAMP, procedure STRING, id BIGINT, bodyId BIGINT, size BIGINT, mutationUUID STRING, mutationID BIGINT, status STRING, name STRING, type STRING, instance STRING, "
+    "primaryNeurite STRING, majorInput STRING, majorOutput STRING, clonalUnit STRING, neurotransmitter STRING, property STRING, soma STRUCT<location: ARRAY<BIGINT>, radius: DOUBLE>, "
+    f"currentSynapses {_PLACES}, location ARRAY<DOUBLE>, confidence DOUBLE, rois ARRAY<STRING>, roiName STRING, x DOUBLE, y DOUBLE, z DOUBLE, preX DOUBLE, preY DOUBLE, preZ DOUBLE, postX DOUBLE, postY DOUBLE, postZ DOUBLE"
+)
+ACTION_DOCUMENT = f"Action STRING, DVIDuuid STRING, MutationID BIGINT, TargetBodyID BIGINT, BodiesMerged ARRAY<BIGINT>, OrigBodyId BIGINT, NewBodyId BIGINT, NewBodySynapses {_PLACES}"
 
 # Canonical tables
 SYNAPSE = "syn_id BIGINT, x BIGINT, y BIGINT, z BIGINT, type STRING, confidence DOUBLE, rois ARRAY<STRING>"
