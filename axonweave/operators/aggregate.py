@@ -6,6 +6,8 @@ post_id, pre_body, post_body, pre_conf, post_conf, pre_rois, post_rois.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +94,26 @@ def super_level_rois(synapses: DataFrame) -> DataFrame:
     return synapses.select(F.get("rois", F.lit(0)).alias("roi")).where("roi IS NOT NULL").distinct()
 
 
+def load_summary(synapses: DataFrame) -> DataFrame:
+    """roi, pre, post, is_super of one load: its counts by region, and over all in a row without region. A row for each region, so
+    that loads can be kept and added up without reading their synapses again."""
+    counts = _by_roi(synapses, []).where("roi IS NOT NULL").unionByName(meta_totals(synapses).select(F.lit(None).cast("string").alias("roi"), F.col("total_pre").alias("pre"), F.col("total_post").alias("post")))
+    return counts.join(super_level_rois(synapses).withColumn("is_super", F.lit(True)), "roi", "left").fillna(False, ["is_super"])
+
+
+def merged_summaries(*summaries: DataFrame) -> DataFrame:
+    """The summary of several loads of different synapses; it can be merged again. A region is super if it is so in any."""
+    rows = reduce(DataFrame.unionByName, summaries)
+    return rows.groupBy("roi").agg(F.sum("pre").alias("pre"), F.sum("post").alias("post"), F.max("is_super").alias("is_super"))
+
+
+def meta_of_summary(summary: DataFrame, rois: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Totals, region counts and super regions, as `meta_totals`, `meta_roi` and `super_level_rois` have them."""
+    totals = summary.where("roi IS NULL").select(F.col("pre").alias("total_pre"), F.col("post").alias("total_post"))
+    seen = rois.select(F.col("name").alias("roi")).distinct().join(summary.select("roi", "pre", "post"), "roi", "left").fillna(0, ["pre", "post"]).where(F.col("roi") != dataset)
+    return totals, seen.unionByName(totals.select(F.lit(dataset).alias("roi"), F.col("total_pre").alias("pre"), F.col("total_post").alias("post"))), summary.where("is_super").select("roi")
+
+
 def partner_counts(edges: DataFrame) -> DataFrame:
     """body_id, downstream (links from its pres), upstream (links to its posts)."""
     out = edges.where("pre_body IS NOT NULL").groupBy(F.col("pre_body").alias("body_id")).agg(F.count("*").alias("downstream"))

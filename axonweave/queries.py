@@ -90,6 +90,14 @@ def e08_super_level_rois(t: Tables) -> DataFrame:
     return A.super_level_rois(t.synapse)
 
 
+@query("""SELECT coalesce(roi, '') AS roi, count(*) FILTER (type = 'pre') AS pre, count(*) FILTER (type = 'post') AS post, coalesce(roi IN (SELECT super_roi FROM synapse), false) AS is_super
+    FROM (SELECT type, roi FROM syn_roi UNION ALL SELECT type, NULL FROM synapse) GROUP BY roi""")
+def e08_summary_of_loads(t: Tables) -> DataFrame:
+    """Three loads, each summed up on its own, then put together."""
+    loads = [A.load_summary(t.synapse.where(F.col("x") % 3 == k)) for k in range(3)]
+    return A.merged_summaries(A.merged_summaries(*loads[:2]), loads[2]).withColumn("roi", F.coalesce("roi", F.lit("")))
+
+
 @query("""SELECT body_id, coalesce(downstream, 0) AS downstream, coalesce(upstream, 0) AS upstream
     FROM (SELECT pre_body AS body_id, count(*) AS downstream FROM edge GROUP BY 1) FULL JOIN (SELECT post_body AS body_id, count(*) AS upstream FROM edge GROUP BY 1) USING (body_id)""")
 def e09_partner_counts(t: Tables) -> DataFrame:

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from axonweave.operators import aggregate as A
 from axonweave.sources import readers
 
 
@@ -17,3 +18,14 @@ def test_deep_region_tree(spark, tmp_path):
         readers.read_roi_tree(spark, str(path))
     rows = sorted(map(tuple, readers.read_roi_tree(spark, str(path), 9).collect()))
     assert rows == [(f"r{k}", f"r{k - 1}" if k > 1 else None, k - 1) for k in range(1, 10)]
+
+
+def test_two_loads_equal_one(spark):
+    rows = [(1, "pre", ["A", "a1"]), (2, "post", ["A"]), (3, "post", []), (4, "pre", ["B", "A"]), (5, "post", ["C"])]
+    every = spark.createDataFrame(rows, "syn_id long, type string, rois array<string>")
+    rois = spark.createDataFrame([("A",), ("B",), ("never",), ("all",)], "name string")
+    parts = [A.load_summary(every.where(w)) for w in ("syn_id < 3", "syn_id >= 3", "false")]
+    totals, by_roi, supers = A.meta_of_summary(A.merged_summaries(*parts), rois, "all")
+    assert totals.collect() == A.meta_totals(every).collect()
+    assert sorted(by_roi.collect()) == sorted(A.meta_roi(every, rois, "all").collect())
+    assert sorted(supers.collect()) == sorted(A.super_level_rois(every).collect())
