@@ -163,6 +163,25 @@ def a16_edit_documents(t: Tables) -> DataFrame:
     return edits.select("seq", "kind", "body_id", known, "post_id", listed("synapses"), listed("bodies"), "mutation_key", F.try_element_at("props", F.lit("name")).alias("name"), F.try_element_at("props", F.lit("size")).alias("size"), listed("rois"), "z")
 
 
+@query("""SELECT name, parent, is_top, is_apart FROM (
+        SELECT r_name AS name, NULL AS parent, r_regionkey % 2 = 0 AS is_top, false AS is_apart FROM region UNION ALL
+        SELECT n_name, r_name, false, n_nationkey % 5 = 0 FROM nation JOIN region ON r_regionkey = n_regionkey UNION ALL SELECT DISTINCT o_orderpriority, NULL, false, true FROM orders)""")
+def a14_roi_lists(t: Tables) -> DataFrame:
+    """A tree of regions with the lists of top-level regions and of those in no hierarchy, each a JSON list."""
+    listed = lambda df: df.agg(F.to_json(F.array_sort(F.collect_set("name"))).alias("value"))  # noqa: E731  names of regions
+    tops, apart = _folder(t), _folder(t)
+    listed(t.read("region").where("r_regionkey % 2 = 0").select(F.col("r_name").alias("name"))).coalesce(1).write.text(tops)
+    listed(t.read("nation").where("n_nationkey % 5 = 0").select(F.col("n_name").alias("name")).union(t.read("orders").select("o_orderpriority"))).coalesce(1).write.text(apart)
+    return R.with_top_levels(t.roi, R.read_roi_names(t.spark, tops), R.read_roi_names(t.spark, apart)).select("name", "parent", "is_top", "is_apart")
+
+
+@query("SELECT o_orderkey, CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) AS BIGINT) AS seconds, year(o_orderdate) AS year FROM orders")
+def i12_epoch_times(t: Tables) -> DataFrame:
+    """Times as seconds and back."""
+    seconds = C.to_epoch(F.col("o_orderdate").cast("timestamp"))
+    return t.read("orders").select("o_orderkey", seconds.alias("seconds"), F.year(C.from_epoch(seconds)).cast("long").alias("year"))
+
+
 # Checks
 
 

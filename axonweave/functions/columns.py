@@ -167,6 +167,21 @@ def to_second(ts: Column) -> Column:
     return F.date_trunc("second", ts)
 
 
+def from_epoch(seconds: Column) -> Column:
+    """The time that a number of seconds since 1970 in UTC stands for, to the second."""
+    return F.timestamp_seconds(F.floor(seconds))
+
+
+def to_epoch(ts: Column) -> Column:
+    """Whole seconds since 1970 in UTC."""
+    return F.unix_seconds(ts)
+
+
+def swc_uuid(path: Column) -> Column:
+    """The version that the address of a skeleton names (.../api/node/<uuid>/segmentation...), else `none`."""
+    return F.coalesce(F.nullif(F.regexp_extract(path, "/api/node/(.*?)/segmentation", 1), F.lit("")), F.lit("none"))
+
+
 def swc_body_id(path: Column) -> Column:
     return F.regexp_extract(path, r".*/(.*?)[._]swc", 1).try_cast("long")
 

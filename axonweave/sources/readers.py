@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from axonweave.functions.columns import half_up, known_rois, roi_from_json, roi_list, roi_name, swc_body_id, synapse_type
+from axonweave.functions.columns import half_up, known_rois, roi_from_json, roi_list, roi_name, swc_body_id, swc_uuid, synapse_type
 from axonweave.operators.rank import numbered
 from axonweave.schemas import BODY_JSON, EDGE_JSON, EDIT, FIRST_SYNAPSE_ID, MAPPED_CSV, META_JSON, RELS_JSON, SYNAPSE_CSV, SYNAPSE_JSON
 
@@ -52,9 +52,9 @@ def read_skeletons(spark: SparkSession, path: str) -> DataFrame:
 
 
 def skeleton_mutations(spark: SparkSession, path: str) -> DataFrame:
-    """body_id, mutation_id: the number in a file's header, if there is one."""
-    head = spark.read.text(path).select(swc_body_id(F.col("_metadata.file_path")).alias("body_id"), F.when(F.startswith("value", F.lit("#")) & F.lower("value").contains("mutation"), F.regexp_replace("value", "[^0-9]", "")).alias("m"))
-    return head.groupBy("body_id").agg(F.max(F.nullif("m", F.lit("")).try_cast("long")).alias("mutation_id"))
+    """body_id, mutation_id (the number in a file's header, if there is one) and uuid (that in its path, else `none`)."""
+    head = spark.read.text(path).select(swc_body_id(F.col("_metadata.file_path")).alias("body_id"), swc_uuid(F.col("_metadata.file_path")).alias("uuid"), F.when(F.startswith("value", F.lit("#")) & F.lower("value").contains("mutation"), F.regexp_replace("value", "[^0-9]", "")).alias("m"))
+    return head.groupBy("body_id").agg(F.max(F.nullif("m", F.lit("")).try_cast("long")).alias("mutation_id"), F.max("uuid").alias("uuid"))
 
 
 def read_meta(spark: SparkSession, path: str) -> DataFrame:
@@ -104,6 +104,20 @@ def read_roi_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("name")).where("name <> ''").distinct()
 
 
+def read_roi_names(spark: SparkSession, path: str) -> DataFrame:
+    """name, position of a JSON list of regions, as the lists of top-level and of non-hierarchical regions are; one small file."""
+    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", "array<string>")).alias("position", "name"))
+    return rows.where("trim(name) <> ''").select(F.trim("name").alias("name"), "position")
+
+
+def with_top_levels(tree: DataFrame, tops: DataFrame, apart: DataFrame) -> DataFrame:
+    """Regions of a tree (name, parent, level) and of the two lists with is_top and is_apart (in no hierarchy). Regions that only a
+    list names come without parent and level."""
+    flags = tops.select("name", F.lit(True).alias("is_top"), F.lit(False).alias("is_apart")).unionByName(apart.select("name", F.lit(False).alias("is_top"), F.lit(True).alias("is_apart")))
+    flags = flags.groupBy("name").agg(F.max("is_top").alias("is_top"), F.max("is_apart").alias("is_apart"))
+    return tree.join(flags, "name", "full_outer").select("name", "parent", "level", *(F.coalesce(c, F.lit(False)).alias(c) for c in ("is_top", "is_apart")))
+
+
 def read_roi_tree(spark: SparkSession, path: str, depth: int = 8) -> DataFrame:
     """name, parent, level of a nested JSON tree of names and children; one with more than depth levels is an error."""
     kind = "STRUCT<name: STRING>"
