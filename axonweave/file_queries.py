@@ -361,8 +361,9 @@ def h14_lookups(t: Tables) -> DataFrame:
 
 @query("SELECT s.body_id, count(DISTINCT s.syn_id) AS synapses, coalesce(max(k.n), 0) AS nodes FROM synapse s LEFT JOIN (SELECT body_id, count(*) AS n FROM skel GROUP BY 1) k USING (body_id) GROUP BY 1")
 def h15_synapses_and_skeletons(t: Tables) -> DataFrame:
-    nodes = A.skeleton_stats(t.skel_node).select("body_id", "nodes")
-    return t.synapse.groupBy("body_id").agg(F.count("*").alias("synapses")).join(nodes, "body_id", "left").fillna(0, ["nodes"])
+    synapses, skel = H.parts_of_bodies(t.synapse, t.synapse, t.skel_node)
+    nodes = A.skeleton_stats(skel).select("body_id", "nodes")
+    return synapses.groupBy("body_id").agg(F.count("*").alias("synapses")).join(nodes, "body_id", "left").fillna(0, ["nodes"])
 
 
 @query("SELECT body_id, string_agg(roi, '|' ORDER BY roi) AS rois FROM body_roi GROUP BY body_id")

@@ -130,6 +130,12 @@ def lookup(df: DataFrame, keys: DataFrame) -> DataFrame:
     return df.join(keys.distinct(), keys.columns, "left_semi")
 
 
+def parts_of_bodies(bodies: DataFrame, synapses: DataFrame, skel: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The synapses and the skeleton nodes of bodies(body_id), which may repeat."""
+    wanted = bodies.select("body_id")
+    return lookup(synapses, wanted), lookup(skel, wanted)
+
+
 def all_pairs_once(conns: DataFrame) -> DataFrame:
     """Out and in lists as one set of undirected pairs."""
     pair = lambda a, b: conns.select(F.col(a).alias("a"), F.col(b).alias("b"))
