@@ -1,8 +1,9 @@
 """Operator 7, secret scans: base patterns, and strings whose characters are too evenly spread.
 
-Beyond the base patterns, candidate strings are read by a sliding window. The window's Shannon entropy and its
-counts per character class change by one character in and one out; windows that reach the threshold of their
-classes make a span, unless the allow list knows the string. All steps are linear in the text's length.
+Beyond the base patterns, candidate strings are parted from the words that stand beside them (the folders of a path,
+the prefix of a name), and what is left is read by a sliding window. The window's Shannon entropy and its counts per
+character class change by one character in and one out; windows that reach the threshold of their classes make a
+span, unless the allow list knows the string found. All steps are linear in the text's length.
 """
 
 from __future__ import annotations
@@ -28,27 +29,65 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 WINDOW = 20
 #: Bits per character from which a window is hot, by the characters in it. Set between what strings of words reach
 #: and what random strings of the class do (figures in the README); windows without letters are never hot.
-HEX_BITS, ONE_CASE_BITS, MIXED_LETTERS_BITS, DIGITS_ONE_CASE_BITS, OTHER_BITS = 3.05, 3.6, 3.7, 3.5, 3.75
-#: Strings that are no secrets however they are spread. No pattern backtracks: what may follow a part differs from it.
-ALLOWED = tuple(
-    re.compile(p)
-    for p in (
-        r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # a universally unique id
-        r"[A-Za-z]+(?:[_/-][A-Za-z]+)+[0-9]{0,4}|[A-Za-z]+[0-9]{1,4}(?:[_/-][A-Za-z]+)*",  # names and paths
-        r"[A-Z]?[a-z]{2,}(?:[A-Z]{1,3}[a-z]{2,})+[0-9]{0,4}",  # names in camel case
-    )
-)
+HEX_BITS, ONE_CASE_BITS, MIXED_LETTERS_BITS, DIGITS_ONE_CASE_BITS, OTHER_BITS = 3.05, 3.5, 3.7, 3.5, 3.75
+UNIQUE_ID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+#: Parts between signs that can be words: one case, a capital first, or camel case, with a few digits behind.
+WORD = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[A-Z]?[a-z]{2,}(?:[A-Z]{1,3}[a-z]{2,})+)?[0-9]{0,4}")
+SHORT = 4
 #: Words that show a string to be made up.
-MADE_UP = ("example", "sample", "dummy", "placeholder", "changeme", "abcdefgh", "01234567", "12345678")
+MADE_UP = ("example", "sample", "dummy", "placeholder", "changeme")
+# Pairs of letters that are frequent in words of European languages.
+PAIRS = frozenset(
+    "ac ad ag ai al am an ap ar as at au av ba be bi bl bo br bu ca ce ch ci ck co cr ct cu da de di do du ea ec ed ee ei el em en ep er es et ev ex "
+    "fa fe ff fi fo fr ge gh gr ha he hi ho ht ic id ie if ig il im in io ir is it iv ke la ld le li ll lo ly ma me mi mm mo mp mu "
+    "na nc nd ne ng ni no ns nt nu oc od of ol om on oo op or os ot ou ov ow pa pe pl po pr qu ra re ri rm ro rs rt ry sc se sh si so sp ss st su "
+    "ta te th ti to tr ts tt ty ul um un up ur us ut va ve vi wa we wi wo".split()
+)
+#: Share of the pairs within words that are frequent, from which a string reads as words.
+READS = 0.5
 
 _VALUE = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 #: A character's place among the counts per class: digit, A-F, other capital, a-f, other small letter, sign.
 _CLASS = {c: k for k, cs in enumerate(("0123456789", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "abcdef", "ghijklmnopqrstuvwxyz", "+/_-=")) for c in cs}
 
 
+def readable(text: str) -> bool:
+    """Whether a string's letters read as words: enough of it is letters, and most of their pairs are frequent ones.
+    A small letter before a capital ends a word."""
+    pairs = [x + y for x, y in zip(text, text[1:]) if x.isalpha() and y.isalpha() and not (x.islower() and y.isupper())]
+    return 2 * len(pairs) >= len(text) and sum(p.lower() in PAIRS for p in pairs) >= READS * len(pairs)
+
+
 def allowed(text: str) -> bool:
+    """Whether a string is no secret however it is spread: a unique id, made up, an alphabet, or words."""
     low = text.lower()
-    return any(w in low for w in MADE_UP) or any(p.fullmatch(text) for p in ALLOWED)
+    steps = sum(ord(y) - ord(x) == 1 for x, y in zip(text, text[1:]))
+    return bool(UNIQUE_ID.fullmatch(text)) or any(w in low for w in MADE_UP) or 2 * steps >= len(text) or readable(text)
+
+
+def pieces(text: str) -> Iterator[tuple[int, int]]:
+    """What is left of a candidate between the words in it, from WINDOW characters on. Words of up to SHORT
+    characters count only at its ends, as signs may stand so close in a secret too."""
+    if UNIQUE_ID.fullmatch(text):
+        return
+    found = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9]+", text)]
+    short = [b - a <= SHORT and bool(WORD.fullmatch(text, a, b)) for a, b in found]
+    long = [b - a > SHORT and bool(WORD.fullmatch(text, a, b)) and (readable(part := text[a:b].rstrip("0123456789")) or part.lower() in MADE_UP) for a, b in found]
+    low, high = 0, len(found)
+    while low < high and (short[low] or long[low]):
+        low += 1
+    while low < high and (short[high - 1] or long[high - 1]):
+        high -= 1
+    if low == high:
+        return
+    start, end = found[low][0] if low else 0, found[high - 1][1] if high < len(found) else len(text)
+    for k in range(low, high):
+        if long[k]:
+            if found[k][0] - start >= WINDOW:
+                yield start, found[k][0]
+            start = found[k][1]
+    if end - start >= WINDOW:
+        yield start, end
 
 
 def threshold(classes: list[int]) -> float:
@@ -57,7 +96,7 @@ def threshold(classes: list[int]) -> float:
     big, small = hex_upper + upper, hex_lower + lower
     if not big + small:
         return math.inf
-    if digits and not signs and not upper + lower and (not hex_upper or not hex_lower):
+    if digits and not signs and not upper + lower:
         return HEX_BITS
     one_case = big <= 1 or not small
     if not digits and not signs:
@@ -109,13 +148,12 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
     starts = [s for s, _, _ in base]
     ends = list(accumulate((e for _, _, e in base), max))  # the furthest end of all base spans that start so early
     for m in CANDIDATE.finditer(text):
-        if allowed(m[0]):
-            continue
-        for a, b in hot_windows(m[0]):
-            a, b = a + m.start(), b + m.start()
-            before = bisect_left(starts, b)
-            if not (before and ends[before - 1] > a) and not allowed(text[a:b]):
-                out.append((a, 3, b))
+        for first, last in pieces(m[0]):
+            for a, b in hot_windows(m[0][first:last]):
+                a, b = a + m.start() + first, b + m.start() + first
+                before = bisect_left(starts, b)
+                if not (before and ends[before - 1] > a) and not allowed(text[a:b]):
+                    out.append((a, 3, b))
     return out
 
 

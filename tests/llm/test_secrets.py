@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from axonweave.llm.secrets import WINDOW, allowed, base_spans, entropy_spans, hot_windows, scan
+from axonweave.llm.secrets import WINDOW, allowed, base_spans, entropy_spans, hot_windows, pieces, scan
 
 PATTERNS = [("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), ("access", r"AKIA[A-Z0-9]+"), ("hex", r"[0-9a-f]+")]
 
@@ -71,11 +71,11 @@ def limit(s):
     big = sum(c.isupper() for c in letters)
     if not letters:
         return math.inf
-    if digits and not signs and (set(letters) <= set("ABCDEF") or set(letters) <= set("abcdef")):
+    if digits and not signs and set(letters) <= set("ABCDEFabcdef"):
         return 3.05
     one = big <= 1 or big == len(letters)
     if not digits and not signs:
-        return 3.6 if one else 3.7
+        return 3.5 if one else 3.7
     return 3.5 if one and not signs else 3.75
 
 
@@ -85,16 +85,43 @@ def test_entropy_against_brute_force():
         text = "".join(rng.choice(rng.choice(["ABCDEF0123456789", "abcdefghij", string.ascii_letters, string.digits + "+/_-", "ab "])) for _ in range(rng.choice([19, 20, 45, 130])))
         want = set()
         for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text):
-            want |= {k for i in range(m.start(), m.end() - WINDOW + 1) if entropy(text[i : i + WINDOW]) >= limit(text[i : i + WINDOW]) - 1e-9 for k in range(i, i + WINDOW)}
+            for first, last in pieces(m[0]):
+                want |= {m.start() + k for i in range(first, last - WINDOW + 1) if entropy(m[0][i : i + WINDOW]) >= limit(m[0][i : i + WINDOW]) - 1e-9 for k in range(i, i + WINDOW)}
         base = base_spans(text)
         got = {k for a, _, b in found_in(text) for k in range(a, b)}
         assert got <= want
-        if not base and not any(allowed(m[0]) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text)):
+        if not base:
             assert want - got == set() or any(allowed(text[a:b]) for a, b in hot_windows_of(text))
 
 
 def hot_windows_of(text):
-    return [(m.start() + a, m.start() + b) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text) for a, b in hot_windows(m[0])]
+    return [(m.start() + f + a, m.start() + f + b) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text) for f, e in pieces(m[0]) for a, b in hot_windows(m[0][f:e])]
+
+
+WORDS = """thequickbrownfoxjumpsoverthelazydog Donaudampfschifffahrtsgesellschaftskapitaen /usr/local/lib/python3.11/site-packages/numpy
+    org/apache/spark/sql/catalyst/expressions/GenerateUnsafeProjection AbstractSingletonProxyFactoryBean SUPERCALIFRAGILISTICEXPIALIDOCIOUS
+    com-google-android-gms-location-provider-v2 2024-01-05T10-22-33-backup-final-version kindercarnavalsoptochtvoorbereidingswerkzaamheden
+    lokalizacja/uzytkownika/przepustowosc XMLHttpRequestEventTargetPrototype abcdefghijklmnopqrstuvwxyz0123456789_ Mississippi-Massachusetts-Connecticut"""
+
+
+def test_allow_list_knows_the_string_found_and_not_its_neighbours():
+    secret = "QZ7TXK29MWPLRV84NHYCB63Z"
+    for before, behind in [("https://host/docs/example/", ""), ("sk_live_", ""), ("", "-backup"), ("/dummy/placeholder/", "/changeme"), ("", "12345678")]:
+        text = f"see {before}{secret}{behind} there"
+        (a, _, b), = found_in(text)
+        assert text[a:b].startswith(secret[:4]) and b - a >= len(secret) - 4 and not any(w in text[a:b] for w in ("example", "live", "backup", "changeme"))
+    text = "x ghp_16C7e42F292c6912E7710c838347Ae178B4a."
+    assert [text[a:b] for a, _, b in found_in(text)] == ["16C7e42F292c6912E7710c838347Ae178B4a"]
+    assert found_in(WORDS) == []
+
+
+@pytest.mark.parametrize("before", ["", "ghp_", "https://host/docs/example/", "/usr/share/keys/"])
+def test_recall_of_each_class(before):
+    rng = random.Random(3)
+    letters, digits = string.ascii_letters, string.digits
+    for kind in (letters + "-_", digits + "abcdefABCDEF", string.ascii_lowercase, string.ascii_uppercase, letters, letters + digits, letters + digits + "+/", letters + digits + "-_", string.ascii_lowercase + digits, digits + "ABCDEF"):
+        texts = [f"x {before}" + "".join(rng.choice(kind) for _ in range(32)) + " y" for _ in range(300)]
+        assert sum(sum(e - s for s, _, e in base_spans(t)) + sum(b - a for a, _, b in found_in(t)) >= 16 for t in texts) >= 0.9 * 300, kind
 
 
 def test_planted_secrets_are_found_and_words_are_not(spark):
