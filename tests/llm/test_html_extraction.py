@@ -74,6 +74,28 @@ def test_ratios_decide(page, want):
     assert main_text(page) == "\n".join(want)
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div><a href='/'>Home</a></div><div><h1>T</h1><p>Short text.</p></div><div>Copyright 2024 The House of Names. All rights reserved.</div>", ["T", "Short text."]),
+    # parts that hold the whole page are wrappers, whatever they are called
+    (f"<body><div class='post-ad'><h1>T</h1>{BODY}</div><div class='sidebar'><p>x, y, and z.</p></div></body>", ["T", *LONG]),
+    (f"<body><form id='aspnetForm'><div><h1>T</h1>{BODY}</div><div><label>Name</label><input></div></form></body>", ["T", *LONG]),
+    (f"<body><nav><a href='1'>One</a> <a href='2'>Two</a><article><h1>T</h1>{BODY}</article></body>", ["T", *LONG]),
+    (f"<body><nav><a href='1'>One</a><div><h1>T</h1>{BODY}</div><footer><p>Left, over.</p></footer></body>", ["T", *LONG]),
+    # and parts that do not are furniture
+    (f"<body><div><h1>T</h1>{BODY}</div><form><p>Write to us, please.</p><p>Name.</p><p>Place.</p></form></body>", ["T", *LONG]),
+    (f"<body><div><h1>T</h1>{BODY}</div><div class='comments'><h2>Said</h2>{BODY[:300]}</p></div></body>", ["T", *LONG]),
+    (f"<body><div><h1>T</h1>{BODY}<aside><p>{LONG[0]}</div><p>{LONG[1]}</p></body>", ["T", *LONG, LONG[1]]),
+    (f"<body><article><h1>T</h1><p>{LONG[0]}</p></article><section class='comments'>{BODY}</section></body>", ["T", LONG[0]]),
+    (f"<body><article><h1>T</h1><p>{LONG[0]}</p></article><div class='comments'><article>{BODY}</article></div></body>", ["T", LONG[0]]),
+    (f"<body><main><div class='post-ad'><h1>T</h1>{BODY}</div></main></body>", ["T", *LONG]),
+    ("<div class='cookie-notice'><p>We use cookies.</p></div>", []),
+    (f"<body><div style='display: none'><h1>N</h1>{BODY}</div><div><p>Short text.</p></div></body>", ["Short text."]),
+    (f"<article>{BODY}<p>Copyright 2024 is what this is about.</p><div><a href='1'>A link, alone.</a></div></article>", [*LONG, "Copyright 2024 is what this is about."]),
+])
+def test_furniture_is_a_weight(page, want):
+    assert main_text(page) == "\n".join(want)
+
+
 def test_deep_nesting_is_linear():
     def seconds(page):
         began = time.time()
