@@ -146,9 +146,10 @@ def sum_of_squares(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndar
 def pack(pieces: DataFrame, limit: int = 2048, group: int = 16_384) -> DataFrame:
     """Put pieces into sequences of at most limit tokens, with sequence_id and a gapless offset.
 
-    Pieces are dealt evenly by a hash of doc_id, piece and ids to groups of about group pieces, whatever their
-    source, so rows without or with one doc_id are spread too; each group is packed on its own and leaves about one sequence part-filled, so what is lost to
-    dealing is about one sequence in group / 3. Equal pieces keep a fixed order. No pieces: no rows.
+    Pieces are dealt evenly by a hash of doc_id, piece, ids and the row's number to groups of about group pieces, so rows
+    without or with one doc_id are spread too, and equal rows as well. Each group is packed on its own and leaves about one
+    sequence part-filled, so what is lost to dealing is about one sequence in group / 3. Which of several equal pieces
+    goes to which group follows the order of rows in pieces, which a stored table has for good. No pieces: no rows.
     """
     groups = max(1, -(-pieces.count() // group))
 
@@ -163,7 +164,8 @@ def pack(pieces: DataFrame, limit: int = 2048, group: int = 16_384) -> DataFrame
         first = TaskContext.get().partitionId() << 40
         yield from table.append_column("sequence_id", pa.array(bins + first)).append_column("offset", pa.array(offsets)).combine_chunks().to_batches()
 
-    return pieces.repartition(groups, "doc_id", "piece", "ids_crc32", "start").mapInArrow(fill, PACKED)
+    numbered = pieces.withColumn("deal", F.monotonically_increasing_id())
+    return numbered.repartition(groups, "doc_id", "piece", "ids_crc32", "start", "deal").drop("deal").mapInArrow(fill, PACKED)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", limit: int = 2048) -> DataFrame:

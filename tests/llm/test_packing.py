@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from axonweave.llm.packing import pack_documents, sum_of_squares
+from axonweave.llm.packing import PIECES, pack, pack_documents, sum_of_squares
 
 TEXTS = [
     (0, "Hello, World!  it's 12 o'clock"), (1, None), (2, ""), (3, "Straße ÉCOLE İstanbul ΣΑΣ οδός"), (3, "Straße ÉCOLE İstanbul ΣΑΣ οδός"),
@@ -54,3 +54,18 @@ def test_few_bins():
 def test_on_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     check(pack_documents(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_equal_rows_are_spread_over_groups(spark):
+    """A third of all rows are equal and have no id: every group gets its share of them, and no row is lost."""
+    n, groups = 12_000, 8
+    rows = spark.range(n).selectExpr(
+        "IF(id % 3 = 0, null, id) AS doc_id", "0 AS piece", "0L AS start", "IF(id % 3 = 0, 300L, 1 + id % 2048) AS length", "IF(id % 3 = 0, 7L, id) AS ids_crc32")
+    assert rows.schema.simpleString() == spark.createDataFrame([], PIECES).schema.simpleString()
+    got = pack(rows, group=n // groups).toPandas()
+    assert len(got) == n and sorted(got.length) == sorted(r.length for r in rows.collect())
+    ends = got.assign(end=got.offset + got.length).groupby("sequence_id").agg(end=("end", "max"), total=("length", "sum"))
+    assert (ends.end == ends.total).all() and ends.end.max() <= 2048
+    assert len(ends) <= 1.05 * got.length.sum() / 2048  # lengths above 1748 have too few small partners to fill all
+    shares = got[got.doc_id.isna()].groupby(got.sequence_id // 2**40).size()
+    assert len(shares) == groups and shares.max() < 1.3 * n / 3 / groups
