@@ -123,3 +123,17 @@ def test_one_edit_of_a_key(spark):
     got = new_edits(rows, None)
     assert got.count() == 2 and got.where("mutation_key = 'same'").count() == 1
     assert [r.mutation_key for r in new_edits(rows, spark.createDataFrame([("same",)], "mutation_key string")).collect()] == ["other"]
+
+
+def test_a_table_with_a_delta_is_dealt_anew_for_a_join(spark):
+    """Adaptive plans may give one part of the union other partitions than the other, so joins must not rely on them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(0, 400, 1, 11).select("id", (F.col("id") % 7).alias("v"))
+        part = spark.range(0, 300, 1, 3).select((F.col("id") * 7 % 300).alias("id"), F.lit(9).cast("long").alias("v")).withColumn("_gone", F.col("id") % 2 == 0)
+        joined = with_delta(base, [part], ["id"]).join(spark.range(0, 400, 1, 5).select("id", F.lit(1).alias("w")), "id")
+        above, _, _ = joined._jdf.queryExecution().executedPlan().toString().partition("Union")
+        assert above.count("Exchange") == 1
+        assert joined.agg(F.count("*"), F.sum("v")).first() == (250, sum(i % 7 for i in range(300, 400)) + 9 * 150)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
