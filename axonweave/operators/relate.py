@@ -137,9 +137,10 @@ def parts_of_bodies(bodies: DataFrame, synapses: DataFrame, skel: DataFrame) ->
 
 
 def all_pairs_once(conns: DataFrame) -> DataFrame:
-    """Out and in lists as one set of undirected pairs."""
-    pair = lambda a, b: conns.select(F.col(a).alias("a"), F.col(b).alias("b"))
-    return pair("pre_body", "post_body").union(pair("post_body", "pre_body")).distinct()
+    """Out and in lists as one set of undirected pairs. A pair is shuffled once, in order, and turned after that."""
+    ordered = F.sort_array(F.array("pre_body", "post_body"))
+    once = conns.select(F.get(ordered, F.lit(0)).alias("a"), F.get(ordered, F.lit(1)).alias("b")).distinct()
+    return once.select(F.inline(F.array_distinct(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))))
 
 
 def connection_id(dataset: str) -> Column:

@@ -127,3 +127,16 @@ def test_line_graph_with_cable(spark, edges):
     vertices, pairs = G.line_graph(edges, bodies, 0, skel)
     assert vertices.count() == 5 and pairs.count() == 10
     assert pairs.where("source >= target").count() == 0 and "cable_distance" in pairs.columns
+
+
+def test_pairs_are_shuffled_once(spark):
+    """Links are counted by pair alike for both directions, and undirected pairs are told apart before they are turned."""
+    from axonweave.operators import relate as H
+
+    conns = spark.createDataFrame([(1, 2), (2, 1), (3, 3), (4, 1)], "pre_body long, post_body long")
+    pairs = H.all_pairs_once(conns)
+    assert sorted(map(tuple, pairs.collect())) == [(1, 2), (1, 4), (2, 1), (3, 3), (4, 1)] and "Union" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    by_roi, neurons = spark.createDataFrame([(1, "A", 1, 0), (2, "B", 0, 1)], "body_id long, roi string, pre long, post long"), spark.createDataFrame([(1,), (2,), (4,)], "body_id long")
+    found = A.connection_categories(conns, by_roi, neurons)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [pre_body") == 2
+    assert sorted(map(tuple, found.collect())) == [(1, "B", 1, 1), (1, "None", 1, 0), (2, "A", 1, 1), (4, "A", 0, 1)]
