@@ -87,18 +87,21 @@ def map_points(points: DataFrame, runs: DataFrame, value: str, scale: int = 0) -
     """points(x, y, z, ...) with the value of the run that holds them, else null; a row for each run, if several do.
     runs: z, y, x0, x1 (inclusive) and value, in blocks of 2**scale voxels.
 
-    A run is kept as the aligned power-of-two intervals that cover it, about two for each doubling of its length, and each
-    place probes every level that any run has by equality. Points in one block are one place."""
-    cut = runs.select("z", "y", value, F.inline(dyadic_cover(F.col("x0").cast("long"), F.col("x1").cast("long"))))
-    cut = cut.select(F.col("z").alias("_z"), F.col("y").alias("_y"), F.col("level").alias("_level"), F.col("cell").alias("_cell"), F.col(value).alias("_value"))
+    A run is kept as the few aligned cells that it meets, all of one size that follows from its length, and a place probes the
+    sizes that occur on its line (z, y) by equality; whether it lies in the run is seen there. Points in one block are one place."""
+    length = F.col("_x1") - F.col("_x0") + 1
+    cut = runs.select(F.col("z").alias("_z"), F.col("y").alias("_y"), F.col("x0").cast("long").alias("_x0"), F.col("x1").cast("long").alias("_x1"), F.col(value).alias("_value")).where("_x0 <= _x1")
+    cut = cut.withColumn("_level", F.greatest(F.floor(F.log2(length.cast("double"))).cast("int") - 2, F.lit(0)))  # a run meets at most nine cells
+    lines = cut.groupBy(F.col("_z").alias("_zb"), F.col("_y").alias("_yb")).agg(F.collect_set("_level").alias("_levels"))  # at most 64 a line
+    cell = lambda c: F.call_function("shiftright", F.col(c), F.col("_level"))
+    cut = cut.withColumn("_cell", F.explode(F.sequence(cell("_x0"), cell("_x1"))))
     blocks = {f"_{c}b": F.shiftright(c, scale) for c in "xyz"}
     at = points.withColumns(blocks)
-    levels = cut.agg(F.collect_set("_level").alias("_levels"))  # one row, at most 64 levels
     places = at.select(*blocks).where("_xb IS NOT NULL AND _yb IS NOT NULL AND _zb IS NOT NULL").distinct()
-    probes = places.crossJoin(F.broadcast(levels)).select(*blocks, F.explode("_levels").alias("_level"))
+    probes = places.join(lines, ["_zb", "_yb"]).select(*blocks, F.explode("_levels").alias("_level"))
     probes = probes.withColumn("_cell", F.expr("shiftright(CAST(_xb AS BIGINT), _level)"))
     met = (F.col("_zb") == F.col("_z")) & (F.col("_yb") == F.col("_y")) & (probes["_level"] == cut["_level"]) & (probes["_cell"] == cut["_cell"])
-    found = probes.join(cut, met).select(*blocks, F.col("_value").alias(value))
+    found = probes.join(cut, met & F.expr("_xb BETWEEN _x0 AND _x1")).select(*blocks, F.col("_value").alias(value))
     return at.join(found, list(blocks), "left").select(*points.columns, value)
 
 
