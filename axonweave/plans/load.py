@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from axonweave.functions.columns import cluster_name, composite_id, neuron_by_counts, neuron_by_evidence
-from axonweave.operators.aggregate import as_roi_info, body_counts, body_roi_counts, connection_roi, connections, meta_roi, meta_totals, super_level_rois
+from axonweave.operators.aggregate import as_roi_info, body_counts, body_roi_counts, connection_roi, connections, connections_by_roi, meta_roi, meta_totals, super_level_rois
 from axonweave.operators.graph import checkpointed
 from axonweave.operators.relate import resolve_edges, with_bodies
 from axonweave.schemas import EVIDENCE
@@ -36,8 +36,11 @@ def derive(graph: Graph, pre_hp: float = 0.2, post_hp: float = 0.8, threshold: i
         supers = (super_level_rois(synapses) if supers is None else supers).agg(F.sort_array(F.collect_set("roi")).alias("super_rois"))  # one small row
         info = info.join(as_roi_info(by_roi, ["body_id"]), "body_id", "left").withColumn("is_neuron", neuron)
         info = info.crossJoin(F.broadcast(supers)).withColumn("cluster_name", cluster_name(F.col("is_neuron"), F.col("roi_info"), F.col("pre"), F.col("post"), F.col("super_rois"))).drop("super_rois")
-        regions = as_roi_info(connection_roi(edges, pre_hp, post_hp), ["pre_body", "post_body"], hp=True)
-        conns = conns.join(regions, ["pre_body", "post_body"], "left")
+        if options:  # another reading of weights
+            regions = as_roi_info(connection_roi(edges, pre_hp, post_hp), ["pre_body", "post_body"], hp=True)
+            conns = conns.join(regions, ["pre_body", "post_body"], "left")
+        else:
+            conns = connections_by_roi(edges, pre_hp, post_hp)
         if rois is not None:
             out["meta_roi"] = meta_roi(synapses, rois, dataset)
     else:

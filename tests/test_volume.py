@@ -19,6 +19,7 @@ def moved(spark):
     ("e03_connection_roi", 6), ("g01_links_sorted_by_body", 3.5), ("h12_pruned_connection_synapses", 6.5), ("e14_feature_vectors_topx", 5),
     ("j04_line_graphs", 4), ("j05_centroids_and_skeletons", 6), ("j07_line_graphs_of_a_region", 4), ("j04_line_graphs_with_cable", 11),
     ("h06_points_to_regions", 10),
+    ("c04_connections_csv", 6),
 ])
 def test_rows_for_each_line(spark, name, most):
     """With tables that are too large to be sent to every task."""
