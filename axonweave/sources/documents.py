@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from axonweave.functions.columns import known_rois
+from axonweave.operators.graph import checkpointed
 from axonweave.schemas import ACTION_DOCUMENT, EDIT, EDIT_DOCUMENT
 
 #: Attributes of documents and their columns.
@@ -62,7 +63,7 @@ def edit_documents(lines: DataFrame, synapses: DataFrame) -> DataFrame:
     argument or kind, which `formed` rejects with its reason. Equal lines stay as many edits. Skeletons come from their
     own files (`read_skeletons`); names and status that a merge gives its target are edits of their own.
     """
-    kept = lines.select("value").groupBy(F.sha2("value", 256).alias("_id")).agg(F.any_value("value").alias("value"), F.count("*").cast("int").alias("_copies"))
+    kept = lines.groupBy("value").agg(F.count("*").cast("int").alias("_copies")).withColumn("_id", F.monotonically_increasing_id())  # stored below, so it stays
     rows = kept.select("_id", "_copies", F.from_json("value", EDIT_DOCUMENT).alias("d"), F.from_json("value", ACTION_DOCUMENT).alias("a")).withColumn("kind", _kind())
     any_type, here = F.lit(None).cast("string"), F.coalesce("d.location", F.array("d.x", "d.y", "d.z"))
     rows = rows.select(
@@ -78,6 +79,7 @@ def edit_documents(lines: DataFrame, synapses: DataFrame) -> DataFrame:
         F.when(F.col("kind") == "add_link", _at(F.array("d.postX", "d.postY", "d.postZ"), F.lit("post"))).alias("_post"),
         F.when(F.col("kind").isin("add_neuron", "split"), F.transform(F.coalesce("d.currentSynapses", "a.NewBodySynapses", F.array().cast("array<struct<location:array<double>,type:string>>")), lambda s: _at(s["location"], s["type"]))).alias("_own"),
     ).withColumn("mutation_key", F.when(F.col("_keyed"), F.col("mutation_key")))
+    rows = checkpointed(rows)  # four steps read them; lines are dealt and parsed once
     new = rows.where("kind = 'add_synapse'").select("_at.*").where("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL AND type IN ('pre', 'post')").distinct()
     new = new.withColumn("syn_id", F.shiftrightunsigned(F.xxhash64("type", "x", "y", "z"), 2))
     asked = F.concat(
@@ -85,10 +87,10 @@ def edit_documents(lines: DataFrame, synapses: DataFrame) -> DataFrame:
         F.coalesce(F.transform("_own", lambda p, i: F.struct(F.lit("_many").alias("role"), i.alias("place"), p.alias("p"))), F.array().cast("array<struct<role:string,place:int,p:struct<x:bigint,y:bigint,z:bigint,type:string>>>")),
     )
     asks = rows.select("_id", F.inline(asked)).where("p IS NOT NULL").select("_id", "role", "place", "p.x", "p.y", "p.z", F.col("p.type").alias("want"))
-    places = asks.select("x", "y", "z").distinct()
-    known = synapses.select("syn_id", "x", "y", "z", "type").join(places, ["x", "y", "z"], "left_semi")
-    known = known.withColumn("old", F.lit(0)).unionByName(new.withColumn("old", F.lit(1)))
-    met = asks.join(known, ["x", "y", "z"], "left").groupBy("_id", "role", "place").agg(F.min(F.when(F.col("want").isNull() | (F.col("want") == F.col("type")), F.struct("old", "syn_id"))).alias("m"))
+    known = synapses.select("syn_id", "x", "y", "z", "type").withColumn("old", F.lit(0)).unionByName(new.withColumn("old", F.lit(1)))
+    # an ask is a row with and without what is at its place, so few asks are sent to the synapses and one that meets nothing stays
+    at = asks.join(known, ["x", "y", "z"]).where("want IS NULL OR want = type").select("_id", "role", "place", F.struct("old", "syn_id").alias("m"))
+    met = at.unionByName(asks.select("_id", "role", "place"), allowMissingColumns=True).repartition("_id").groupBy("_id", "role", "place").agg(F.min("m").alias("m"))
     found = met.groupBy("_id").agg(
         F.max(F.when(F.col("role") == "_syn", F.col("m.syn_id"))).alias("_syn"), F.max(F.when(F.col("role") == "_end", F.col("m.syn_id"))).alias("_end"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == "_many", F.struct("place", F.col("m.syn_id").alias("id"))))), lambda s: s["id"]).alias("_many"),

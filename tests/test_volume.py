@@ -20,6 +20,7 @@ def moved(spark):
     ("j04_line_graphs", 4), ("j05_centroids_and_skeletons", 6), ("j07_line_graphs_of_a_region", 4), ("j04_line_graphs_with_cable", 11),
     ("h06_points_to_regions", 10),
     ("c04_connections_csv", 6),
+    ("a16_edit_documents", 11),
 ])
 def test_rows_for_each_line(spark, name, most):
     """With tables that are too large to be sent to every task."""
