@@ -9,6 +9,7 @@ the result equals a full computation.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,7 +19,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from axonweave.operators.graph import checkpointed
-from axonweave.plans.changes import KEYS, with_delta
+from axonweave.plans.changes import KEYS, delta, with_delta
 from axonweave.plans.load import Graph
 
 PROPERTY_KINDS = ("update_properties", "set_properties", "delete_property")
@@ -28,6 +29,13 @@ KINDS = {
     "add_skeleton": ("body_id", "skeleton"), "delete_skeleton": ("body_id",), "add_roi": ("syn_id", "roi"), "remove_roi": ("syn_id", "roi"), "add_synapse": ("syn_id",), "add_link": ("syn_id", "post_id"),
     "add_synapse_to_segment": ("syn_id", "body_id"), "delete_synapse": ("syn_id",), "orphan_synapse": ("syn_id",), "merge": ("bodies",), "split": ("body_id", "bodies", "synapses"),
 }
+#: Kinds that name synapses which must be there, that change tables' rows of synapses, and that say whose a synapse is.
+ON_SYNAPSE = {"add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", "add_neuron", "add_link"}
+OF_SYNAPSE = {"add_synapse", "delete_synapse"}
+OF_REGION = {"add_roi", "remove_roi"}
+OF_OWNER = {"add_synapse_to_segment", "orphan_synapse", "delete_synapse", "add_neuron", "split"}
+#: Kinds that pass on or end what a body owns.
+OF_BODY = {"merge", "delete_neuron"}
 
 
 def _last(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -55,7 +63,8 @@ def _is_struct(name: str, body: DataFrame) -> Column:
 
 
 def formed(edits: DataFrame, body: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edits that say what their kind needs, and those that do not, with a reason. An edit's seq is its own."""
+    """Edits that say what their kind needs, and those that do not, with a reason. An edit's seq is its own. The log is written
+    once, with the reasons beside it."""
     plain = {c: t for c, t in body.dtypes if c != "body_id"}
     absent = reduce(lambda a, b: a | b, ((F.col("kind") == k) & F.col(c).isNull() for k, need in KINDS.items() for c in need))
     few = "(kind = 'split' AND (coalesce(size(bodies), 0) < 1 OR coalesce(size(synapses), 0) < 1)) OR (kind = 'merge' AND coalesce(size(array_distinct(bodies)), 0) < 2) OR (kind = 'add_synapse' AND coalesce(type, '') NOT IN ('pre', 'post'))"
@@ -66,7 +75,7 @@ def formed(edits: DataFrame, body: DataFrame) -> tuple[DataFrame, DataFrame]:
     wrong = (F.col("kind") != "delete_property") & F.col("kind").isin(*PROPERTY_KINDS, "add_neuron") & reduce(lambda a, b: a | b, parse, F.lit(False))
     twice = F.count("*").over(Window.partitionBy("seq")) > 1
     rules = [(F.col("seq").isNull(), "seq is missing"), (F.col("seq") < 0, "seq is negative"), (twice, "seq is not its own"), (~F.coalesce(F.col("kind").isin(*KINDS), F.lit(False)), "unknown kind"), (absent | F.expr(few) | F.expr(hollow), "malformed"), (strange, "unknown attribute"), (wrong, "value does not parse")]
-    marked = edits.withColumn("reason", F.coalesce(*(F.when(F.coalesce(bad, F.lit(False)), F.lit(why)) for bad, why in rules)))
+    marked = checkpointed(edits.withColumn("reason", F.coalesce(*(F.when(F.coalesce(bad, F.lit(False)), F.lit(why)) for bad, why in rules))))
     return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
 
 
@@ -76,13 +85,13 @@ def _event(edits: DataFrame, kind: str, key, value) -> DataFrame:
 
 def _before(events: DataFrame, state: DataFrame, asks: DataFrame) -> DataFrame:
     """asks(key, seq, ...) with value: that of the key's last event(key, seq, value) before seq, else that of
-    state(key, value). One sort per key, no pairs of events and asks."""
+    state(key, value). State is what happened before any seq, so all three are dealt and sorted by key once."""
     rest = [c for c in asks.columns if c not in ("key", "seq")]
-    rows = asks.select("key", "seq", F.struct(*rest, F.lit(True).alias("_ask")).alias("ask")).unionByName(events.select("key", "seq", F.struct("value").alias("event")), allowMissingColumns=True)
+    happened = state.select("key", F.lit(-1).cast("long").alias("seq"), "value").unionByName(events.select("key", "seq", "value"))
+    rows = asks.select("key", "seq", F.struct(*rest, F.lit(True).alias("_ask")).alias("ask")).unionByName(happened.select("key", "seq", F.struct("value").alias("event")), allowMissingColumns=True)
     earlier = Window.partitionBy("key").orderBy("seq").rangeBetween(Window.unboundedPreceding, -1)
-    met = rows.withColumn("last", F.last("event", ignorenulls=True).over(earlier)).where("ask IS NOT NULL").select("key", "seq", *(F.col(f"ask.{c}") for c in rest), "last")
-    known = state.join(asks.select("key").distinct(), "key", "left_semi").withColumnRenamed("value", "base")
-    return met.join(known, "key", "left").withColumn("value", F.when(F.col("last").isNotNull(), F.col("last.value")).otherwise(F.col("base"))).drop("last", "base")
+    met = rows.withColumn("last", F.last("event", ignorenulls=True).over(earlier)).where("ask IS NOT NULL")
+    return met.select("key", "seq", *(F.col(f"ask.{c}") for c in rest), F.col("last.value").alias("value"))
 
 
 def _asks(edits: DataFrame, *kinds: str, key: str | None = None, many: str | None = None) -> DataFrame:
@@ -103,8 +112,7 @@ def _faults(graph: Graph, edits: DataFrame, events: DataFrame, kinds: set[str])
     reason = lambda rows, why: rows.select("seq", F.lit(why).alias("reason"))
     bad = []
 
-    on_synapse = kinds & {"add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", "add_neuron", "add_link"}
-    if on_synapse:
+    if kinds & ON_SYNAPSE:
         wanted = _asks(edits, "add_roi", "remove_roi", "add_synapse_to_segment", "delete_synapse", "orphan_synapse", key="syn_id").withColumn("type", no)
         wanted = wanted.unionByName(_asks(edits, "add_neuron", many="synapses").withColumn("type", no))
         wanted = wanted.unionByName(_asks(edits, "add_link", key="syn_id").withColumn("type", F.lit("pre"))).unionByName(_asks(edits, "add_link", key="post_id").withColumn("type", F.lit("post")))
@@ -158,6 +166,8 @@ def checked(graph: Graph, edits: DataFrame, kinds: set[str] | None = None) -> tu
     """
     kinds = set(KINDS) if kinds is None else kinds
     bad = checkpointed(_faults(graph, edits, edits, kinds))
+    if bad.isEmpty():
+        return edits, edits.withColumn("reason", F.lit(None).cast("string")).where(F.lit(False))
     while not bad.isEmpty():
         again = checkpointed(_faults(graph, edits, edits.join(bad.select("seq"), "seq", "left_anti"), kinds))
         both = again.withColumn("d", F.lit(1)).union(bad.withColumn("d", F.lit(-1))).groupBy("seq", "reason").agg(F.sum("d").alias("d")).where("d <> 0")
@@ -184,7 +194,7 @@ def _moves(edits: DataFrame) -> DataFrame:
 
 def _owned_before(graph: Graph, edits: DataFrame, asks: DataFrame, kinds: set[str]) -> DataFrame:
     """asks(key, seq, of) with the owner of the synapse just before seq."""
-    base = graph["membership"].select(F.col("syn_id").alias("key"), F.struct(F.col("body_id").alias("owner"), F.lit(-1).cast("long").alias("since")).alias("value"))
+    base = _with_keys(graph["membership"], "syn_id", asks.select("key").distinct()).select(F.col("syn_id").alias("key"), F.struct(F.col("body_id").alias("owner"), F.lit(-1).cast("long").alias("since")).alias("value"))
     events = _owner_events(edits).select("key", "seq", F.struct(F.col("value").alias("owner"), F.col("seq").alias("since")).alias("value"))
     at = checkpointed(_before(events, base, asks).select("key", "seq", "of", "value.owner", "value.since"))
     if not kinds & {"merge", "delete_neuron"}:
@@ -192,38 +202,92 @@ def _owned_before(graph: Graph, edits: DataFrame, asks: DataFrame, kinds: set[st
     moves = checkpointed(_moves(edits))
     while True:
         step = at.where("owner IS NOT NULL").join(moves, (F.col("owner") == F.col("old")) & (F.col("at") > F.col("since")) & (F.col("at") < F.col("seq"))).groupBy("key", "seq").agg(F.min_by(F.struct("at", "next"), "at").alias("m"))
+        step = checkpointed(step)
         if step.isEmpty():
             return at
         at = checkpointed(at.join(step, ["key", "seq"], "left").select("key", "seq", "of", F.when(F.col("m").isNotNull(), F.col("m.next")).otherwise(F.col("owner")).alias("owner"), F.coalesce("m.at", "since").alias("since")))
 
 
-def _owners(graph: Graph, edits: DataFrame, kinds: set[str]) -> DataFrame:
-    """membership after the edits."""
-    changes = _owner_events(edits).select(F.col("key").alias("syn_id"), "seq", F.col("value").alias("owner"))
-    base = graph["membership"].select("syn_id", F.lit(-1).cast("long").alias("seq"), F.col("body_id").alias("owner"))
-    at = checkpointed(_last(base.unionByName(changes), ["syn_id"], ["owner"]))
-    if not kinds & {"merge", "delete_neuron"}:
-        return at.where("owner IS NOT NULL").select(F.col("owner").alias("body_id"), "syn_id")
+def _fates(edits: DataFrame, own: DataFrame | None) -> DataFrame:
+    """body_id, seq, owner: whose the synapses are at the end that body_id has owned since seq (-1: since before the edits), or null.
+    Held for bodies that were merged or deleted; owners that own(seq, owner) names start at their seq. Synapses of one body and
+    seq share their fate, so bodies are followed and not synapses, in as many rounds as the longest chain of merges of one body."""
     moves = checkpointed(_moves(edits))
-    while True:  # as many rounds as the longest chain of merges of one body
-        step = at.where("owner IS NOT NULL").join(moves, (F.col("owner") == F.col("old")) & (F.col("at") > F.col("seq"))).groupBy("syn_id").agg(F.min_by(F.struct("at", "next"), "at").alias("m"))
+    starts = moves.select(F.col("old").alias("body_id"), F.lit(-1).cast("long").alias("seq"))
+    if own is not None:
+        starts = starts.unionByName(own.where("owner IS NOT NULL").select(F.col("owner").alias("body_id"), "seq"))
+    at = checkpointed(starts.distinct().select("body_id", "seq", F.col("body_id").alias("owner"), F.col("seq").alias("since")))
+    while True:
+        step = at.where("owner IS NOT NULL").join(moves, (F.col("owner") == F.col("old")) & (F.col("at") > F.col("since"))).groupBy("body_id", "seq").agg(F.min_by(F.struct("at", "next"), "at").alias("m"))
+        step = checkpointed(step)
         if step.isEmpty():
-            return at.where("owner IS NOT NULL").select(F.col("owner").alias("body_id"), "syn_id")
-        at = checkpointed(at.join(step, "syn_id", "left").select("syn_id", F.coalesce("m.at", "seq").alias("seq"), F.when(F.col("m").isNotNull(), F.col("m.next")).otherwise(F.col("owner")).alias("owner")))
+            return at.where("NOT owner <=> body_id OR since <> seq").select("body_id", "seq", "owner")
+        at = checkpointed(at.join(step, ["body_id", "seq"], "left").select("body_id", "seq", F.when(F.col("m").isNotNull(), F.col("m.next")).otherwise(F.col("owner")).alias("owner"), F.coalesce("m.at", "since").alias("since")))
+
+
+def _followed(rows: DataFrame, fates: DataFrame, on: list[str]) -> DataFrame:
+    """rows(body_id, ...) with the owner at the end in place of body_id."""
+    met = rows.join(fates.select(*on, F.col("owner").alias("_owner"), F.lit(True).alias("_moved")), on, "left")
+    return met.withColumn("body_id", F.when(F.col("_moved"), F.col("_owner")).otherwise(F.col("body_id"))).drop("_owner", "_moved")
+
 
+def _owners(edits: DataFrame, kinds: set[str]) -> Callable[[DataFrame], DataFrame]:
+    """What the edits make of membership, or of some of its rows: synapses with an edit of their own are its last one's, others
+    go with their body."""
+    own = None
+    if kinds & OF_OWNER:
+        own = checkpointed(_last(_owner_events(edits).select(F.col("key").alias("syn_id"), "seq", F.col("value").alias("owner")), ["syn_id"], ["owner"]))
+    fates = None
+    if kinds & OF_BODY:
+        fates = _fates(edits, own)
+    given = None
+    if own is not None:
+        given = own.select("syn_id", "seq", F.col("owner").alias("body_id"))
+        given = checkpointed(_followed(given, fates, ["body_id", "seq"]).drop("seq")) if fates is not None else given.drop("seq")
 
-def _synapses(graph: Graph, edits: DataFrame) -> DataFrame:
+    def after(membership: DataFrame) -> DataFrame:
+        rows = membership if fates is None else _followed(membership, fates.where("seq = -1"), ["body_id"]).where("body_id IS NOT NULL")
+        if given is not None:
+            rows = rows.join(given.select("syn_id"), "syn_id", "left_anti").unionByName(given.where("body_id IS NOT NULL"), allowMissingColumns=True)
+        return rows.select(*membership.columns)
+
+    return after
+
+
+def _states(edits: DataFrame) -> DataFrame:
+    """The synapses that edits add or delete, as their last edit leaves them."""
     added = edits.where("kind = 'add_synapse'").select("syn_id", "seq", F.lit(True).alias("on"), "x", "y", "z", "type", F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.array_distinct(F.array_compact(F.coalesce("rois", F.array().cast("array<string>")))).alias("rois"))
     dropped = edits.where("kind = 'delete_synapse'").select("syn_id", "seq", F.lit(False).alias("on"), *(F.lit(None).cast(t).alias(c) for c, t in (("x", "long"), ("y", "long"), ("z", "long"), ("type", "string"), ("confidence", "double"), ("rois", "array<string>"))))
-    state = checkpointed(_last(added.unionByName(dropped), ["syn_id"], ["on", "x", "y", "z", "type", "confidence", "rois"]))
-    kept = graph["synapse"].join(state.select("syn_id"), "syn_id", "left_anti")
-    rows = kept.unionByName(state.where("on").drop("seq", "on"), allowMissingColumns=True)
-    change = _last(edits.where("kind IN ('add_roi', 'remove_roi')").select("syn_id", "roi", "seq", (F.col("kind") == "add_roi").alias("on")), ["syn_id", "roi"], ["on"])
-    # a region edit before a synapse was added anew says nothing about the new one
-    change = change.join(state.where("on").select("syn_id", F.col("seq").alias("born")), "syn_id", "left").where("born IS NULL OR seq > born")
-    sets = change.groupBy("syn_id").agg(F.sort_array(F.collect_set(F.when(F.col("on"), F.col("roi")))).alias("plus"), F.collect_set(F.when(~F.col("on"), F.col("roi"))).alias("minus"))
-    none = F.array().cast("array<string>")
-    return rows.join(sets, "syn_id", "left").withColumn("rois", F.array_union(F.array_except("rois", F.coalesce("minus", none)), F.coalesce("plus", none))).drop("plus", "minus").select(*graph["synapse"].columns)
+    return checkpointed(_last(added.unionByName(dropped), ["syn_id"], ["on", "x", "y", "z", "type", "confidence", "rois"]))
+
+
+def _with_states(rows: DataFrame, state: DataFrame | None) -> DataFrame:
+    """rows of synapses, of any of their columns, without those that went and with those that came."""
+    if state is None:
+        return rows
+    came = state.where("on").select(*(c for c in state.columns if c in rows.columns))
+    return rows.join(state.select("syn_id"), "syn_id", "left_anti").unionByName(came, allowMissingColumns=True)
+
+
+def _synapses(edits: DataFrame, kinds: set[str], state: DataFrame | None) -> Callable[[DataFrame], DataFrame]:
+    """What the edits make of the synapses, or of some of them. Regions are put to the rows by one join with their synapse's edits."""
+    sets = None
+    if kinds & OF_REGION:
+        change = edits.where("kind IN ('add_roi', 'remove_roi')").select("syn_id", "roi", "seq", (F.col("kind") == "add_roi").alias("on"))
+        change = change.groupBy("syn_id", "roi").agg(F.max("seq").alias("seq"), F.max(F.when(F.col("on"), F.col("seq"))).alias("_put"))
+        change = change.withColumn("on", F.coalesce(F.col("_put") == F.col("seq"), F.lit(False)))
+        if state is not None:  # a region edit before a synapse was added anew says nothing about the new one
+            change = change.join(state.where("on").select("syn_id", F.col("seq").alias("born")), "syn_id", "left").where("born IS NULL OR seq > born")
+        sets = checkpointed(change.groupBy("syn_id").agg(F.sort_array(F.collect_set(F.when(F.col("on"), F.col("roi")))).alias("plus"), F.collect_set(F.when(~F.col("on"), F.col("roi"))).alias("minus")))
+
+    def after(synapse: DataFrame) -> DataFrame:
+        rows = _with_states(synapse, state)
+        if sets is None:
+            return rows.select(*synapse.columns)
+        rois = F.array_union(F.array_except("rois", "minus"), "plus")
+        return rows.join(sets, "syn_id", "left").withColumn("rois", F.when(F.col("plus").isNotNull(), rois).otherwise(F.col("rois"))).select(*synapse.columns)
+
+    return after
 
 
 def _settings(edits: DataFrame) -> DataFrame:
@@ -314,20 +378,20 @@ def _with_keys(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
 
 
 def part_of(graph: Graph, edits: DataFrame, kinds: set[str]) -> Graph:
-    """The rows that edits can read or change. Keys come from the edits and from the owners of the synapses that they name;
-    tables are semi-joined with them, which is a broadcast while the edits are few."""
+    """The rows that edits can read or change. Keys come from the edits; tables are semi-joined with them, which is a broadcast
+    while the edits are few. Written are the rows that checks ask for more than once; the others are read if somebody asks."""
     synapses, bodies = checkpointed(_named(edits, ("syn_id", "post_id"), "synapses")), checkpointed(_named(edits, ("body_id",), "bodies"))
     membership = _with_keys(graph["membership"], "syn_id", synapses)
-    if kinds & {"merge", "delete_neuron"}:
-        moved = _named(edits, ("body_id",), "bodies", "merge", "delete_neuron")
+    if kinds & OF_OWNER:
+        membership = checkpointed(membership)
+    if kinds & OF_BODY:
+        moved = _named(edits, ("body_id",), "bodies", *OF_BODY)
         membership = membership.unionByName(_with_keys(graph["membership"], "body_id", moved).join(synapses.withColumnRenamed("key", "syn_id"), "syn_id", "left_anti").select(*membership.columns))
-    membership = checkpointed(membership)
-    ids = synapses.union(membership.select("syn_id")).distinct()
-    synapse = _with_keys(graph["synapse"], "syn_id", ids)
+    synapse = _with_keys(graph["synapse"], "syn_id", synapses)
     if "add_synapse" in kinds:
         places = edits.where("kind = 'add_synapse'").select("x", "y", "z").distinct()
-        synapse = synapse.unionByName(graph["synapse"].join(places, ["x", "y", "z"], "left_semi").join(ids.withColumnRenamed("key", "syn_id"), "syn_id", "left_anti").select(*synapse.columns))
-    out = {"membership": membership, "synapse": checkpointed(synapse), "body": checkpointed(_with_keys(graph["body"], "body_id", bodies.union(membership.select("body_id")).distinct()))}
+        synapse = synapse.unionByName(graph["synapse"].join(places, ["x", "y", "z"], "left_semi").join(synapses.withColumnRenamed("key", "syn_id"), "syn_id", "left_anti").select(*synapse.columns))
+    out = {"membership": membership, "synapse": synapse, "body": checkpointed(_with_keys(graph["body"], "body_id", bodies))}
     # a body that comes anew has no row, so tables of none are none
     none = F.lit(False)
     out["syn_edge"] = graph["syn_edge"].where(none)
@@ -336,20 +400,24 @@ def part_of(graph: Graph, edits: DataFrame, kinds: set[str]) -> Graph:
         before = _with_keys(graph["syn_edge"], "pre_id", ends)
         out["syn_edge"] = checkpointed(before.unionByName(_with_keys(graph["syn_edge"], "post_id", ends).join(ends.withColumnRenamed("key", "pre_id"), "pre_id", "left_anti").select(*before.columns)))
     if "skel_node" in graph:
-        some = kinds & {"add_skeleton", "delete_skeleton", "delete_neuron", "merge"}
-        out["skel_node"] = checkpointed(_with_keys(graph["skel_node"], "body_id", bodies)) if some else graph["skel_node"].where(none)
+        drawn = kinds & {"add_skeleton", "delete_skeleton"}
+        nodes = _with_keys(graph["skel_node"], "body_id", bodies) if drawn or kinds & OF_BODY else graph["skel_node"].where(none)
+        out["skel_node"] = checkpointed(nodes) if drawn else nodes
     return out
 
 
 @dataclass
 class Edited:
-    """What edits come to: the rows of the base tables that they concern, before and after; the bodies touched; and the
-    rejected edits with their reasons."""
+    """What edits come to: the rows of the base tables that they concern, before and after (the same frame, if no edit changes the
+    table); the bodies touched; and the rejected edits with their reasons. steps: of tables whose rows change by joins, what makes
+    the rows after of any rows before. gone: of tables that only lose rows, the keys of these."""
 
     old: Graph
     new: Graph
     touched: DataFrame
     rejected: DataFrame
+    steps: dict[str, Callable[[DataFrame], DataFrame]]
+    gone: Graph
 
 
 def edited(graph: Graph, edits: DataFrame) -> Edited:
@@ -357,43 +425,71 @@ def edited(graph: Graph, edits: DataFrame) -> Edited:
     skel_node, and applied (mutation_key), if keys are to be remembered."""
     if "rois" not in edits.columns:
         edits = edits.withColumn("rois", F.lit(None).cast("array<string>"))
-    fresh, odd = formed(checkpointed(new_edits(edits, graph.get("applied"))), graph["body"])
-    fresh = checkpointed(fresh)
+    fresh, odd = formed(new_edits(edits, graph.get("applied")), graph["body"])
     kinds = {r.kind for r in fresh.select("kind").distinct().collect()}  # of KINDS
     old = part_of(graph, fresh, kinds)
-    good, bad = (checkpointed(x) for x in checked(old, fresh, kinds))
-    synapse = checkpointed(_synapses(old, good)) if kinds & {"add_synapse", "delete_synapse", "add_roi", "remove_roi"} else old["synapse"]
-    ids = synapse.select("syn_id")
-    links = old["syn_edge"]
+    known = old["synapse"].select("syn_id", "type", *("xyz" if "add_synapse" in kinds else ()))  # what checks ask of a synapse
+    known = checkpointed(known) if kinds & (ON_SYNAPSE | OF_SYNAPSE) else known
+    good, bad = checked(old | {"synapse": known}, fresh, kinds)
+    if good is not fresh:
+        good, bad = checkpointed(good), checkpointed(bad)
+    steps, gone, links = {}, {}, old["syn_edge"]
+    state = _states(good) if kinds & OF_SYNAPSE else None
+    if kinds & (OF_SYNAPSE | OF_REGION):
+        steps["synapse"] = _synapses(good, kinds, state)
+        if not kinds & (OF_REGION | {"add_synapse"}):
+            gone["synapse"] = _with_keys(known.select("syn_id"), "syn_id", state.select(F.col("syn_id").alias("key")))
+    if kinds & (OF_OWNER | OF_BODY):
+        steps["membership"] = _owners(good, kinds)
     if kinds & {"delete_synapse", "add_link"}:
         added = good.where("kind = 'add_link'").select(F.col("syn_id").alias("pre_id"), "post_id", "seq")
-        sides = synapse.select("syn_id", "type")
+        sides = _with_states(known.select("syn_id", "type"), state)
         fit = added.join(sides.where("type = 'pre'").select(F.col("syn_id").alias("pre_id")), "pre_id", "left_semi").join(sides.where("type = 'post'").select(F.col("syn_id").alias("post_id")), "post_id", "left_semi")
         links = links.select("pre_id", "post_id", F.lit(-1).cast("long").alias("seq")).unionByName(fit).groupBy("pre_id", "post_id").agg(F.max("seq").alias("seq"))
-        gone = good.where("kind = 'delete_synapse'").groupBy("syn_id").agg(F.max("seq").alias("at"))  # links go with a synapse, even if it is added anew
+        lost = good.where("kind = 'delete_synapse'").groupBy("syn_id").agg(F.max("seq").alias("at"))  # links go with a synapse, even if it is added anew
         for end in ("pre_id", "post_id"):
-            links = links.join(gone.select(F.col("syn_id").alias(end), F.col("at").alias(f"_{end}")), end, "left").where(F.coalesce(F.col(f"_{end}") < F.col("seq"), F.lit(True)))
+            links = links.join(lost.select(F.col("syn_id").alias(end), F.col("at").alias(f"_{end}")), end, "left").where(F.coalesce(F.col(f"_{end}") < F.col("seq"), F.lit(True)))
         links = checkpointed(links.select("pre_id", "post_id"))
-    membership = _owners(old, good, kinds).join(ids, "syn_id", "left_semi")
-    bodies = checkpointed(_bodies(old, good, kinds))
-    new = {"synapse": synapse, "syn_edge": links, "membership": checkpointed(membership.join(bodies.select("body_id"), "body_id", "left_semi").select("body_id", "syn_id")), "body": bodies}
+    changed = kinds & (OF_BODY | {"add_neuron", "split", *PROPERTY_KINDS})
+    bodies = checkpointed(_bodies(old, good, kinds)) if changed else old["body"]
+    new = {"syn_edge": links, "body": bodies} | {t: steps[t](old[t]) if t in steps else old[t] for t in ("synapse", "membership")}
     if "skel_node" in old:
-        new["skel_node"] = _skeletons(old, good, bodies) if kinds & {"add_skeleton", "delete_skeleton", "delete_neuron", "merge"} else old["skel_node"]
+        new["skel_node"] = _skeletons(old, good, bodies) if kinds & {"add_skeleton", "delete_skeleton", *OF_BODY} else old["skel_node"]
     keys = good.where("mutation_key IS NOT NULL").select("mutation_key").distinct()
     new["applied"], old["applied"] = keys, keys.where(F.lit(False))
-    return Edited(old, new, touched_bodies(old, new, good), bad.unionByName(odd))
+    return Edited(old, new, touched_bodies(old, new, good), bad.unionByName(odd), steps, gone)
 
 
 def merged(graph: Graph, part: Edited) -> Graph:
-    """graph with the rows of part as they are afterwards; all other rows are passed on as they are read."""
+    """graph with the rows of part as they are afterwards; all other rows are passed on as they are read, and so are tables
+    that no edit changes."""
     out = {}
     for name, new in part.new.items():
         if name not in graph:
             out[name] = new
-            continue
-        keys = KEYS[name]
-        was = part.old[name].select(*keys).withColumn("_gone", F.lit(True))
-        out[name] = with_delta(graph[name], [was, new.withColumn("_gone", F.lit(False))], keys)
+        elif new is part.old[name]:
+            out[name] = graph[name]
+        elif name in part.steps:
+            out[name] = part.steps[name](graph[name])
+        else:
+            keys = KEYS[name]
+            was = part.old[name].select(*keys).withColumn("_gone", F.lit(True))
+            out[name] = with_delta(graph[name], [was, new.withColumn("_gone", F.lit(False))], keys)
+    return out
+
+
+def changed_rows(part: Edited) -> Graph:
+    """Of each table that edits may change, the rows that come, change or go, as `delta` has them."""
+    out = {}
+    for name, new in part.new.items():
+        if name in part.gone:
+            rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in new.schema if f.name not in KEYS[name]]
+            out[name] = part.gone[name].select(*KEYS[name], *rest, F.lit(True).alias("_gone")).select(*new.columns, "_gone")
+        elif name in part.steps:
+            was = checkpointed(part.old[name])
+            out[name] = delta(was, checkpointed(part.steps[name](was)), KEYS[name])
+        elif new is not part.old[name]:
+            out[name] = delta(part.old[name], new, KEYS[name])
     return out
 
 

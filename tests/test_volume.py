@@ -21,6 +21,7 @@ def moved(spark):
     ("h06_points_to_regions", 10),
     ("c04_connections_csv", 6),
     ("a16_edit_documents", 11),
+    ("k15_merged_bodies", 7),
 ])
 def test_rows_for_each_line(spark, name, most):
     """With tables that are too large to be sent to every task."""
