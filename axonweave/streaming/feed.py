@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from axonweave.operators.graph import checkpointed
-from axonweave.plans.changes import KEYS, delta, with_delta
-from axonweave.plans.edits import edited, merged
+from axonweave.plans.changes import KEYS, with_delta
+from axonweave.plans.edits import changed_rows, edited, merged
 from axonweave.plans.load import Graph
 
 TABLES = ("synapse", "syn_edge", "membership", "body", "skel_node", "applied")
@@ -22,9 +21,13 @@ COMPACT_EVERY = 50
 
 
 def _write(spark: SparkSession, tables: Graph, path: str, version: int, kind: str) -> None:
+    """Each table is written once, and a delta without rows is not listed."""
+    held = []
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{path}/v{version}/{kind}/{name}")
-    listed = spark.createDataFrame([(sorted(tables),)], "tables ARRAY<STRING>")
+        if kind == "base" or not spark.read.schema(df.schema).parquet(f"{path}/v{version}/{kind}/{name}").isEmpty():
+            held.append(name)
+    listed = spark.createDataFrame([(sorted(held),)], "tables ARRAY<STRING>")
     listed.coalesce(1).write.mode("overwrite").json(f"{path}/manifest/version={version}/kind={kind}")
 
 
@@ -60,8 +63,7 @@ def apply_batch(spark: SparkSession, path: str, version: int, edits: DataFrame)
     """Make version + 1 of version and edits: writes the rows that change. Running it again writes the same."""
     graph = load_snapshot(spark, path, version)
     part = edited(graph, edits)
-    found = {t: checkpointed(delta(part.old[t], part.new[t], KEYS[t])) for t in part.new}
-    _write(spark, {t: d for t, d in found.items() if not d.isEmpty()}, path, version + 1, "delta")
+    _write(spark, changed_rows(part), path, version + 1, "delta")
     return merged(graph, part), part.touched, part.rejected
 
 

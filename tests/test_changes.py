@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from axonweave.plans.changes import KEYS, changes, delta, stamp, with_delta
-from axonweave.plans.edits import apply_edits, edited, new_edits
+from axonweave.plans.edits import apply_edits, changed_rows, edited, merged, new_edits
 from axonweave.streaming.feed import apply_batch, compact, load_snapshot, save_snapshot, versions
 from test_edits import OneByOne, log, random_log, seen, tables, wanted
 
@@ -100,6 +100,16 @@ def test_only_concerned_rows(spark):
     assert part.new["membership"].where("syn_id = 3").count() == 0
 
 
+def test_unchanged_tables_and_deltas_of_keys(spark):
+    """Tables that no edit changes are passed on as they are, and of a deleted synapse a delta holds the key."""
+    base = tables(spark, OneByOne(random.Random(0)).base)
+    part = edited(base, log(spark, [{"seq": 1, "kind": "delete_synapse", "syn_id": 3}, {"seq": 2, "kind": "delete_synapse", "syn_id": 999}]))
+    graph, found = merged(base, part), changed_rows(part)
+    assert graph["body"] is base["body"] and graph["skel_node"] is base["skel_node"] and "body" not in found
+    assert [(r.syn_id, r.type, r._gone) for r in found["synapse"].collect()] == [(3, None, True)]
+    assert graph["synapse"].count() == base["synapse"].count() - 1 and graph["membership"].where("syn_id = 3").count() == 0
+
+
 def test_arguments_and_kinds(spark):
     base = tables(spark, OneByOne(random.Random(0)).base)
     place = {"type": "pre", "x": 900, "y": 1}
