@@ -22,6 +22,7 @@ def moved(spark):
     ("c04_connections_csv", 6),
     ("a16_edit_documents", 11),
     ("k15_merged_bodies", 7),
+    ("k08_regions_added_and_removed", 11),
 ])
 def test_rows_for_each_line(spark, name, most):
     """With tables that are too large to be sent to every task."""
