@@ -23,6 +23,7 @@ def moved(spark):
     ("a16_edit_documents", 11),
     ("k15_merged_bodies", 7),
     ("k08_regions_added_and_removed", 11),
+    ("k05_bodies_deleted_and_added", 8.7),
 ])
 def test_rows_for_each_line(spark, name, most):
     """With tables that are too large to be sent to every task."""
