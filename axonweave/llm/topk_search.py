@@ -11,7 +11,7 @@ its components, and the score is the sum of a candidate's entries.
    only the head of a list is multiplied; a candidate whose norms bound its score below the cutoff is left out.
 3. The scores of the entries that reach the threshold are resolved exactly and ranked.
 
-Candidates are dealt to groups and stay there; query blocks, the smaller side, are sent to every group.
+Blocks are stored once, in groups; a task reads some of candidates and some of queries, and pairs them.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from axonweave.llm._tables import store
 
-#: Vectors of a block, at most; queries that are scored at once; and candidate blocks of a group.
+#: Vectors of a block, at most; queries that are scored at once; and full blocks that one task stores, at most.
 QUERIES, CANDIDATES, STEP, GROUP = 2048, 4096, 256, 64
 LISTS = 4
 #: Entries that phase 1 gathers for a query, for each of the k that are wanted; more of them raise the cutoff.
@@ -61,7 +61,8 @@ def _blocks(vectors: DataFrame, size: int) -> DataFrame:
                     rows.clear()
         yield from (pack(rows) for rows in open_.values() if rows)
 
-    parts = max(1, -(-vectors.count() // size))
+    blocks = -(-vectors.count() // size)
+    parts = max(min(blocks, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))), -(-blocks // GROUP), 1)
     return store(vectors.withColumn("v", F.transform("v", lambda x: x * 256.0)).repartition(parts).mapInArrow(run, "ids binary, dims int, data binary").withColumn("block", F.monotonically_increasing_id()))
 
 
@@ -77,12 +78,11 @@ def _matrix(data: bytes, n: int, dims: int, width: int) -> np.ndarray:
 
 
 def _pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
-    """One row per query block and candidate block. Candidates are moved once, to their group."""
-    n = candidates.count()
-    groups = max(min(n, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))), -(-n // GROUP), 1)
-    q = queries.select(F.col("block").alias("qb"), F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("data").alias("q_data"), *(c for c in queries.columns if c == "cutoffs"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-    c = candidates.select(F.pmod(F.hash("block"), F.lit(groups)).alias("g"), F.col("ids").alias("c_ids"), F.col("dims").alias("c_dims"), F.col("data").alias("c_data"))
-    return q.join(c, "g").drop("g")
+    """One row per query block and candidate block. Each task reads the blocks that it pairs as they are stored: none is dealt
+    anew, and none passes through the driver, as query blocks would that are broadcast."""
+    q = queries.select(F.col("block").alias("qb"), F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("data").alias("q_data"), *(c for c in queries.columns if c == "cutoffs"))
+    c = candidates.select(F.col("ids").alias("c_ids"), F.col("dims").alias("c_dims"), F.col("data").alias("c_data"))
+    return c.hint("shuffle_replicate_nl").crossJoin(q)
 
 
 class Pair:

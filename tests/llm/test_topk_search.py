@@ -69,3 +69,10 @@ def test_safe_cutoffs_leave_most_products_out():
 
 def test_empty(spark):
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 3 == 0).collect() == []
+
+
+def test_no_block_passes_through_the_driver(spark):
+    """Query blocks meet all candidate blocks, so a broadcast of them grows with both tables."""
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "vec_id long, embedding array<float>")
+    plan = top_k(df, F.col("vec_id") % 3 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "data" in plan and "Broadcast" not in plan
