@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from axonweave.operators.aggregate import connections
 from axonweave.operators.graph import checkpointed
-from axonweave.plans.changes import KEYS, delta, with_delta
+from axonweave.plans.changes import KEYS, changes, delta, touched_nodes, with_delta
 from axonweave.plans.load import Graph
 
 PROPERTY_KINDS = ("update_properties", "set_properties", "delete_property")
@@ -175,7 +176,8 @@ def checked(graph: Graph, edits: DataFrame, kinds: set[str] | None = None) -> tu
         bad = again
         if settled:
             break
-    return edits.join(bad, "seq", "left_anti"), edits.join(bad, "seq")
+    marked = checkpointed(edits.join(bad, "seq", "left"))
+    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
 
 
 def _owner_events(edits: DataFrame) -> DataFrame:
@@ -431,8 +433,6 @@ def edited(graph: Graph, edits: DataFrame) -> Edited:
     known = old["synapse"].select("syn_id", "type", *("xyz" if "add_synapse" in kinds else ()))  # what checks ask of a synapse
     known = checkpointed(known) if kinds & (ON_SYNAPSE | OF_SYNAPSE) else known
     good, bad = checked(old | {"synapse": known}, fresh, kinds)
-    if good is not fresh:
-        good, bad = checkpointed(good), checkpointed(bad)
     steps, gone, links = {}, {}, old["syn_edge"]
     state = _states(good) if kinds & OF_SYNAPSE else None
     if kinds & (OF_SYNAPSE | OF_REGION):
@@ -493,6 +493,40 @@ def changed_rows(part: Edited) -> Graph:
     return out
 
 
+def touched_by(graph: Graph, part: Edited, **options) -> Graph:
+    """What `touched_nodes` says of graph before and after the edits of part, connections included (options: those of
+    `connections`). Compared are the rows that the edits concern; others are as they were."""
+    found = {}
+    for name, new in part.new.items():
+        if name in part.gone:
+            found[name] = checkpointed(part.gone[name].withColumn("change", F.lit("deleted")))
+        elif name in graph and new is not part.old[name]:
+            found[name] = checkpointed(changes(part.old[name], new, KEYS[name]))
+    links = _changed_connections(graph, found, **options)
+    return {node: checkpointed(keys) for node, keys in touched_nodes(graph, merged(graph, part), found | {"connection": links}).items()}
+
+
+def _changed_connections(graph: Graph, found: Graph, **options) -> DataFrame:
+    """Connections whose weights differ, with found, the changes of tables. A post counts for a connection once, whatever the
+    others do, so the weights that come from posts with a changed link, end or owner say which connections differ."""
+    after = lambda rows, t: with_delta(rows, [found[t].select(*KEYS[t], *(["now.*"] if "now" in found[t].columns else []), (F.col("change") == "deleted").alias("_gone"))], KEYS[t]) if t in found else rows
+    ids = checkpointed(reduce(DataFrame.unionByName, (found[t].select(F.col("syn_id").alias("key")) for t in ("synapse", "membership") if t in found), graph["membership"].select(F.col("syn_id").alias("key")).where(F.lit(False))).distinct())
+    posts = _with_keys(graph["syn_edge"], "pre_id", ids).select(F.col("post_id").alias("key")).unionByName(ids)
+    if "syn_edge" in found:
+        posts = posts.unionByName(found["syn_edge"].select(F.col("post_id").alias("key")))
+    old = checkpointed(_with_keys(graph["syn_edge"].select("pre_id", "post_id"), "post_id", posts.distinct()))
+    new = checkpointed(after(old, "syn_edge")) if "syn_edge" in found else old
+    ends = checkpointed(reduce(DataFrame.union, (g.select(c) for g in (old, new) for c in ("pre_id", "post_id"))).distinct().withColumnRenamed("pre_id", "key"))
+    synapse, membership = (checkpointed(_with_keys(graph[t].select("syn_id", c), "syn_id", ends)) for t, c in (("synapse", "confidence"), ("membership", "body_id")))
+
+    def weights(links: DataFrame, synapse: DataFrame, membership: DataFrame) -> DataFrame:
+        owned = synapse.join(membership, "syn_id")
+        end = lambda s: owned.select(*(F.col(c).alias(f"{s}_{n}") for c, n in (("syn_id", "id"), ("body_id", "body"), ("confidence", "conf"))))
+        return connections(links.join(end("pre"), "pre_id").join(end("post"), "post_id"), **options)
+
+    return checkpointed(changes(weights(old, synapse, membership), weights(new, after(synapse, "synapse"), after(membership, "membership")), KEYS["connection"]).select(*KEYS["connection"]))
+
+
 def apply_edits(graph: Graph, edits: DataFrame) -> tuple[Graph, DataFrame, DataFrame]:
     """The base tables after the edits, the bodies touched, and the rejected edits. Nothing is written, so a dry
     run is a call whose result is not stored. Of the base tables (see `edited`) only the rows that the edits concern are worked

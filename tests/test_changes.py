@@ -6,8 +6,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from axonweave.plans.changes import KEYS, changes, delta, stamp, with_delta
-from axonweave.plans.edits import apply_edits, changed_rows, edited, merged, new_edits
+from axonweave.operators.aggregate import connections
+from axonweave.operators.relate import resolve_edges, with_bodies
+from axonweave.plans.changes import KEYS, changes, delta, stamp, touched_nodes, with_delta
+from axonweave.plans.edits import apply_edits, changed_rows, edited, merged, new_edits, touched_by
 from axonweave.streaming.feed import apply_batch, compact, load_snapshot, save_snapshot, versions
 from test_edits import OneByOne, log, random_log, seen, tables, wanted
 
@@ -110,6 +112,31 @@ def test_unchanged_tables_and_deltas_of_keys(spark):
     assert graph["synapse"].count() == base["synapse"].count() - 1 and graph["membership"].where("syn_id = 3").count() == 0
 
 
+@pytest.mark.parametrize("seed", (5, 6))
+def test_touched_by_edits_as_of_the_whole_graph(spark, seed):
+    model, edits = random_log(seed, 24)
+    base = tables(spark, model.base)
+    part = edited(base, log(spark, edits))
+    conns = lambda g: g | {"connection": connections(resolve_edges(g["syn_edge"], with_bodies(g["synapse"], g["membership"])), 0.2, 0.8)}
+    want = touched_nodes(conns(base), conns(merged(base, part)))
+    got = touched_by(base, part, pre_hp=0.2, post_hp=0.8)
+    assert {t: sorted(map(tuple, k.collect())) for t, k in got.items()} == {t: sorted(map(tuple, k.collect())) for t, k in want.items()}
+
+
+def test_posts_of_several_links_touch_as_they_count(spark):
+    """A second link of a post from the same body adds nothing to a connection; one that goes from another body ends a connection."""
+    base = tables(spark, OneByOne(random.Random(0)).base)
+    synapse = spark.createDataFrame([(1, "pre", 1.0), (2, "pre", 1.0), (3, "pre", 1.0), (4, "post", 1.0)], "syn_id long, type string, confidence double")
+    synapse = synapse.select("syn_id", *((F.col("syn_id") if c in "xyz" else F.col(c) if c in synapse.columns else F.lit(None)).cast(t).alias(c) for c, t in base["synapse"].dtypes if c != "syn_id"))
+    graph = base | {
+        "synapse": synapse, "syn_edge": spark.createDataFrame([(1, 4), (2, 4), (3, 4)], "pre_id long, post_id long"),
+        "membership": spark.createDataFrame([(1, 1), (1, 2), (2, 3), (3, 4)], "body_id long, syn_id long"), "body": base["body"].where("body_id <= 3"),
+    }
+    touch = lambda syn: {t: sorted(r[0] for r in k.collect()) for t, k in touched_by(graph, edited(graph, log(spark, [{"seq": 1, "kind": "delete_synapse", "syn_id": syn}]))).items()}
+    assert touch(2) == {"synapse": [4], "body": [1], "skel_node": []}
+    assert touch(3) == {"synapse": [4], "body": [2, 3], "skel_node": []}
+
+
 def test_arguments_and_kinds(spark):
     base = tables(spark, OneByOne(random.Random(0)).base)
     place = {"type": "pre", "x": 900, "y": 1}

@@ -24,6 +24,7 @@ def moved(spark):
     ("k15_merged_bodies", 7),
     ("k08_regions_added_and_removed", 11),
     ("k05_bodies_deleted_and_added", 8.7),
+    ("k21_stamps_of_edits", 24),
 ])
 def test_rows_for_each_line(spark, name, most):
     """With tables that are too large to be sent to every task."""
