@@ -63,11 +63,10 @@ def edit_documents(lines: DataFrame, synapses: DataFrame) -> DataFrame:
     argument or kind, which `formed` rejects with its reason. Equal lines stay as many edits. Skeletons come from their
     own files (`read_skeletons`); names and status that a merge gives its target are edits of their own.
     """
-    kept = lines.groupBy("value").agg(F.count("*").cast("int").alias("_copies")).withColumn("_id", F.monotonically_increasing_id())  # stored below, so it stays
-    rows = kept.select("_id", "_copies", F.from_json("value", EDIT_DOCUMENT).alias("d"), F.from_json("value", ACTION_DOCUMENT).alias("a")).withColumn("kind", _kind())
+    rows = lines.select(F.monotonically_increasing_id().alias("_id"), F.from_json("value", EDIT_DOCUMENT).alias("d"), F.from_json("value", ACTION_DOCUMENT).alias("a")).withColumn("kind", _kind())  # stored below, so ids stay
     any_type, here = F.lit(None).cast("string"), F.coalesce("d.location", F.array("d.x", "d.y", "d.z"))
     rows = rows.select(
-        "_id", "_copies", "d.seq", "d.ts", "kind",
+        "_id", "d.seq", "d.ts", "kind",
         F.concat_ws(":", F.coalesce("d.mutationUUID", "a.DVIDuuid"), F.coalesce("d.mutationID", "a.MutationID", F.lit(0))).alias("mutation_key"),
         F.coalesce("d.mutationUUID", "a.DVIDuuid").isNotNull().alias("_keyed"),
         F.coalesce("d.bodyId", "d.id", "a.OrigBodyId").alias("body_id"),
@@ -79,7 +78,7 @@ def edit_documents(lines: DataFrame, synapses: DataFrame) -> DataFrame:
         F.when(F.col("kind") == "add_link", _at(F.array("d.postX", "d.postY", "d.postZ"), F.lit("post"))).alias("_post"),
         F.when(F.col("kind").isin("add_neuron", "split"), F.transform(F.coalesce("d.currentSynapses", "a.NewBodySynapses", F.array().cast("array<struct<location:array<double>,type:string>>")), lambda s: _at(s["location"], s["type"]))).alias("_own"),
     ).withColumn("mutation_key", F.when(F.col("_keyed"), F.col("mutation_key")))
-    rows = checkpointed(rows)  # four steps read them; lines are dealt and parsed once
+    rows = checkpointed(rows)  # four steps read them; lines are parsed once, where they are read
     new = rows.where("kind = 'add_synapse'").select("_at.*").where("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL AND type IN ('pre', 'post')").distinct()
     new = new.withColumn("syn_id", F.shiftrightunsigned(F.xxhash64("type", "x", "y", "z"), 2))
     asked = F.concat(
@@ -88,9 +87,9 @@ def edit_documents(lines: DataFrame, synapses: DataFrame) -> DataFrame:
     )
     asks = rows.select("_id", F.inline(asked)).where("p IS NOT NULL").select("_id", "role", "place", "p.x", "p.y", "p.z", F.col("p.type").alias("want"))
     known = synapses.select("syn_id", "x", "y", "z", "type").withColumn("old", F.lit(0)).unionByName(new.withColumn("old", F.lit(1)))
-    # an ask is a row with and without what is at its place, so few asks are sent to the synapses and one that meets nothing stays
+    # few asks are sent to the synapses; an ask of a list is a row without what is at its place too, so one that meets nothing stays
     at = asks.join(known, ["x", "y", "z"]).where("want IS NULL OR want = type").select("_id", "role", "place", F.struct("old", "syn_id").alias("m"))
-    met = at.unionByName(asks.select("_id", "role", "place"), allowMissingColumns=True).repartition("_id").groupBy("_id", "role", "place").agg(F.min("m").alias("m"))
+    met = at.unionByName(asks.where("role = '_many'").select("_id", "role", "place"), allowMissingColumns=True).repartition("_id").groupBy("_id", "role", "place").agg(F.min("m").alias("m"))
     found = met.groupBy("_id").agg(
         F.max(F.when(F.col("role") == "_syn", F.col("m.syn_id"))).alias("_syn"), F.max(F.when(F.col("role") == "_end", F.col("m.syn_id"))).alias("_end"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == "_many", F.struct("place", F.col("m.syn_id").alias("id"))))), lambda s: s["id"]).alias("_many"),
@@ -99,7 +98,7 @@ def edit_documents(lines: DataFrame, synapses: DataFrame) -> DataFrame:
     out = rows.join(found, "_id", "left").select(
         "seq", "ts", "mutation_key", "kind", "body_id", "bodies",
         F.when(added, F.when(F.expr("_at.x IS NOT NULL AND _at.y IS NOT NULL AND _at.z IS NOT NULL"), F.shiftrightunsigned(F.xxhash64("type", "_at.x", "_at.y", "_at.z"), 2))).otherwise(F.col("_syn")).alias("syn_id"),
-        F.col("_end").alias("post_id"), *(position(n) for n in "xyz"), "type", "confidence", "roi", "rois", F.when(F.col("kind").isin("add_neuron", "split"), F.coalesce("_many", F.array().cast("array<bigint>"))).alias("synapses"), "props", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy"),
+        F.col("_end").alias("post_id"), *(position(n) for n in "xyz"), "type", "confidence", "roi", "rois", F.when(F.col("kind").isin("add_neuron", "split"), F.coalesce("_many", F.array().cast("array<bigint>"))).alias("synapses"), "props",
     )
     schema = StructType.fromDDL(EDIT)
     return out.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema))

@@ -1,4 +1,4 @@
-"""How many rows registered queries deal between tasks, and write, for each line of the test tables."""
+"""How many rows and bytes registered queries deal between tasks, and write, for each line of the test tables."""
 
 import pytest
 
@@ -7,12 +7,12 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 
 
-def moved(spark):
-    """Rows shuffled and written by all stages so far."""
+def moved(spark, what="Records"):
+    """Rows, or Bytes, shuffled and written by all stages so far."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
-    return sum(stages.apply(i).shuffleWriteRecords() + stages.apply(i).outputRecords() for i in range(stages.size()))
+    return sum(getattr(stages.apply(i), f"shuffleWrite{what}")() + getattr(stages.apply(i), f"output{what}")() for i in range(stages.size()))
 
 
 @pytest.mark.parametrize("name, most", [
@@ -37,3 +37,15 @@ def test_rows_for_each_line(spark, name, most):
         assert (moved(spark) - before) / lines < most
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_bytes_for_each_line(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        before = moved(spark, "Bytes")
+        entry.queries()["a16_edit_documents"](spark, SF).write.format("noop").mode("overwrite").save()
+        assert (moved(spark, "Bytes") - before) / lines < 240
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
